@@ -107,7 +107,7 @@ def non_null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 
 def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True,
-            accuracy: int = 10000) -> DataFrame:
+            accuracy: int = 10000, digits: int | None = None) -> DataFrame:
     """pandas ``describe`` for numeric columns (AGG-8, D18), one row per column:
     column, count, mean, std, min, p25, p50, p75, max.
 
@@ -118,6 +118,10 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = T
     high-cardinality columns at scale use ``exact=False`` (``percentile_approx``,
     fixed-size sketch, rank error ≤ 1/accuracy).  All columns are profiled in a
     single aggregate: one scan.
+
+    ``digits`` rounds mean and std for reading.  Both are floating-point sums
+    whose last bits depend on the order rows are added in (partitioning, engine),
+    so unrounded values can differ between two correct runs.
     """
     if columns is None:
         columns = [f.name for f in df.schema.fields
@@ -140,8 +144,11 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = T
         ).alias(f"__p{i}"))
     wide = df.agg(*aggs)
     rows = wide.select(F.explode(F.array(*[F.col(f"__p{i}") for i in range(len(columns))])).alias("p"))
+    mean, std = F.col("p.mean"), F.col("p.std")
+    if digits is not None:
+        mean, std = F.round(mean, digits), F.round(std, digits)
     return rows.select(
-        "p.column", "p.count", "p.mean", "p.std", "p.min",
+        "p.column", "p.count", mean.alias("mean"), std.alias("std"), "p.min",
         F.col("p.q")[0].alias("p25"), F.col("p.q")[1].alias("p50"),
         F.col("p.q")[2].alias("p75"), "p.max")
 

@@ -231,14 +231,14 @@ def non_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("profile", "AGG-8", """
-SELECT 's_acctbal' AS "column", count(s_acctbal) AS count, avg(s_acctbal) AS mean,
-       stddev_samp(s_acctbal) AS std, min(s_acctbal) AS min,
+SELECT 's_acctbal' AS "column", count(s_acctbal) AS count, round(avg(s_acctbal), 8) AS mean,
+       round(stddev_samp(s_acctbal), 8) AS std, min(s_acctbal) AS min,
        quantile_cont(s_acctbal, 0.25) AS p25, quantile_cont(s_acctbal, 0.5) AS p50,
        quantile_cont(s_acctbal, 0.75) AS p75, max(s_acctbal) AS max
 FROM supplier
 """)
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.profile(table(spark, sf_dir, "supplier"), ["s_acctbal"])
+    return S.profile(table(spark, sf_dir, "supplier"), ["s_acctbal"], digits=8)
 
 
 @query("global_range", "AGG-9", """

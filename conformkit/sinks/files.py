@@ -33,11 +33,12 @@ def append_partitioned(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     """Append Parquet partitioned by ``partition_by`` (SNK-2).
 
     Rows are clustered by the partition values first so each task writes few
-    files (one open writer per partition value per task, not one per row
-    group).  Read such a folder back with its schema: a folder written with
-    zero rows has nothing to infer from.
+    files.  The REBALANCE hint (not ``repartition``) lets AQE split a value that
+    holds a large share of the rows over several tasks and merge small ones,
+    so one hot value does not become one huge task.  Read such a folder back
+    with its schema: a folder written with zero rows has nothing to infer from.
     """
-    (df.repartition(*[F.col(c) for c in partition_by])
+    (df.hint("rebalance", *partition_by)
        .write.mode("append").partitionBy(*partition_by).parquet(path))
 
 

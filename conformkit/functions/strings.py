@@ -52,8 +52,11 @@ def py_slice(c: Column | str, start: int, stop: int | None = None) -> Column:
 
 
 def chars(c: Column | str) -> Column:
-    """The characters of a string as an array (STR-10); no empty tail."""
-    return F.split(_c(c), "")
+    """The characters of a string as an array (STR-10), as ``list(s)``: no
+    empty tail, and the empty string gives an empty array (``split`` alone
+    gives ``['']``)."""
+    s = _c(c)
+    return F.when(F.length(s) == 0, F.array().cast("array<string>")).otherwise(F.split(s, ""))
 
 
 def py_step(c: Column | str, step: int, start: int = 0, stop: int | None = None) -> Column:

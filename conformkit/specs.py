@@ -16,6 +16,7 @@ Config shapes accepted (keys as in the reference's files):
 from __future__ import annotations
 
 import enum
+import re
 import os
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
@@ -41,20 +42,40 @@ _CONFIG_TYPE_NAMES: dict[str, T.DataType] = {
 }
 
 
+_DDL_PRIMITIVES: dict[str, T.DataType] = {
+    "varchar": T.StringType(), "bigint": T.LongType(), "long": T.LongType(),
+    "integer": T.IntegerType(), "smallint": T.ShortType(), "short": T.ShortType(),
+    "tinyint": T.ByteType(), "byte": T.ByteType(), "float": T.FloatType(),
+    "real": T.FloatType(), "boolean": T.BooleanType(), "bool": T.BooleanType(),
+    "timestamp": T.TimestampType(), "timestamp_ntz": T.TimestampNTZType(),
+    "binary": T.BinaryType(), "decimal": T.DecimalType(10, 0),
+}
+_DECIMAL = re.compile(r"^(?:decimal|numeric|dec)\s*\(\s*(\d+)\s*(?:,\s*(\d+)\s*)?\)$")
+
+
 def parse_type(name: str | T.DataType) -> T.DataType:
     """Type name from config → Spark type (PRJ-9).
 
-    Config names are matched without case; other names are parsed as Spark DDL
-    (``bigint``, ``decimal(18,2)``, ``array<string>`` ...); anything unparseable
-    becomes ``string``.
+    Config names are matched without case; primitive DDL names and
+    ``decimal(p,s)`` are mapped directly (no session needed); nested types
+    (``array<string>`` ...) are parsed by Spark.  A name Spark cannot parse
+    becomes ``string``, as in the reference.
     """
     if isinstance(name, T.DataType):
         return name
     key = str(name).strip().lower()
     if key in _CONFIG_TYPE_NAMES:
         return _CONFIG_TYPE_NAMES[key]
+    if key in _DDL_PRIMITIVES:
+        return _DDL_PRIMITIVES[key]
+    m = _DECIMAL.match(key)
+    if m:
+        return T.DecimalType(int(m.group(1)), int(m.group(2) or 0))
+    from pyspark import SparkContext
+    if SparkContext._active_spark_context is None:
+        raise SpecError(f"type {name!r} needs an active Spark session to parse")
     try:
-        return T._parse_datatype_string(key)  # needs an active SparkContext
+        return T._parse_datatype_string(key)
     except Exception:  # noqa: BLE001 - documented fallback
         return T.StringType()
 

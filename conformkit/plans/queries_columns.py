@@ -212,8 +212,12 @@ SELECT event_id,
 FROM events
 """)
 def map_basics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").select("event_id", "props")
-    m = MP.parse_json_map("props")
+    # Parse once into a column: every use below reads the parsed map instead of
+    # re-running from_json (Catalyst keeps a projection whose expensive result
+    # is used several times).
+    e = table(spark, sf_dir, "events").select(
+        "event_id", "props", MP.parse_json_map("props").alias("m"))
+    m = F.col("m")
     return e.select(
         "event_id",
         F.concat_ws(",", MP.keys(m)).alias("keys"),
@@ -297,11 +301,12 @@ def positional_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", STR.words("text").alias("w"))
     # Each word paired with the next one over the whole text: zip with the
     # array shifted by one, shortest wins.
-    pairs = J.zip_shortest(F.col("w"), F.slice("w", 2, F.size("w")))
-    return docs.select(
+    # Bound to a column once, so the zip is built once per row and not once per use.
+    pairs = docs.select("doc_id", J.zip_shortest(F.col("w"), F.slice("w", 2, F.size("w"))).alias("p"))
+    return pairs.select(
         "doc_id",
-        F.size(pairs).alias("n_pairs"),
-        F.size(F.filter(pairs, lambda p: p["_0"] == p["_1"])).alias("n_repeats"),
+        F.size("p").alias("n_pairs"),
+        F.size(F.filter("p", lambda p: p["_0"] == p["_1"])).alias("n_repeats"),
     )
 
 

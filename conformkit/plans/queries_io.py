@@ -79,6 +79,32 @@ def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SRC.read_text_lines(spark, path)
 
 
+@query("text_documents", "SRC-11", "SELECT p_name AS value FROM part")
+def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "part-name-docs")
+    SNK.write_text(table(spark, sf_dir, "part"), path, "p_name")
+    # One row per file with its whole text, then its lines in file order.
+    docs = SRC.read_text_documents(spark, path)
+    return docs.select(F.explode(SRC.document_lines("value")).alias("value"))
+
+
+@query("service_source_sql", "PRJ-6 PRJ-7 PRJ-14", """
+SELECT CAST(l_shipdate AS DATE) AS mis_date, l_partkey AS instrument, l_quantity AS qty,
+       l_extendedprice / l_quantity AS avg_cost, l_extendedprice AS invested
+FROM lineitem
+""")
+def service_source_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The source relation a service names (PRJ-7: the whole table, `select *`),
+    # and the service's projection written as SQL text (PRJ-6).  Only the
+    # columns the SQL uses are read from the files.
+    table(spark, sf_dir, "lineitem").createOrReplaceTempView("share_holdings_src")
+    src = SRC.read_source(spark, SourceSpec("share_holdings", "share_holdings_src", "table"))
+    return spark.sql("""
+        SELECT CAST(l_shipdate AS DATE) AS mis_date, l_partkey AS instrument, l_quantity AS qty,
+               l_extendedprice / l_quantity AS avg_cost, l_extendedprice AS invested
+        FROM {src}""", src=src)
+
+
 @query("json_multiline", "SRC-12", "SELECT * FROM supplier")
 def json_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = table(spark, sf_dir, "supplier")

@@ -13,7 +13,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conformkit.specs import SourceSpec, SpecError, build_schema
@@ -92,6 +93,14 @@ def read_text_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True)
 
 
+def document_lines(doc: Column | str = "value") -> Column:
+    """The lines of a whole-text document, in file order (SRC-11), as
+    ``text.splitlines()`` for ``\n`` endings: a final newline adds no empty line."""
+    d = F.col(doc) if isinstance(doc, str) else doc
+    parts = F.split(d, "\n")
+    return F.when(d.endswith("\n"), F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+
+
 def read_json_documents(spark: SparkSession, path: str, schema: Any = None,
                         mode: str = "PERMISSIVE") -> DataFrame:
     """Multi-line JSON (SRC-12): each file is one JSON value; a top-level array

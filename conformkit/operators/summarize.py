@@ -106,51 +106,90 @@ def non_null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in cols])
 
 
+PROFILE_SCHEMA = ("column string, count bigint, mean double, std double, min double, "
+                  "p25 double, p50 double, p75 double, max double")
+
+
 def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True,
-            accuracy: int = 10000, digits: int | None = None) -> DataFrame:
+            accuracy: int = 10000, digits: int | None = None,
+            max_distinct_in_memory: int = 1_000_000) -> DataFrame:
     """pandas ``describe`` for numeric columns (AGG-8, D18), one row per column:
-    column, count, mean, std, min, p25, p50, p75, max.
-
-    ``exact=True`` uses ``percentile`` (linear interpolation, as pandas and
-    DuckDB's ``quantile_cont``).  It partially aggregates a value→count map per
-    task; the final merge holds one entry per DISTINCT value of the column, so
-    its memory is bounded by the column's domain, not by the row count.  For
-    high-cardinality columns at scale use ``exact=False`` (``percentile_approx``,
-    fixed-size sketch, rank error ≤ 1/accuracy).  All columns are profiled in a
-    single aggregate: one scan.
-
-    ``digits`` rounds mean and std for reading.  Both are floating-point sums
-    whose last bits depend on the order rows are added in (partitioning, engine),
-    so unrounded values can differ between two correct runs.
+    column, count, mean, std, min, p25, p50, p75, max.  NaN counts as missing,
+    as in pandas.  This is an action (it runs its aggregates now) and returns
+    a small frame of the results.
+
+    Pass 1 is one aggregate over all columns: count, mean, std, min, max and an
+    approximate distinct count (fixed-size sketches, so it is safe at any
+    size).  Quartiles are then exact, interpolated as pandas / ``quantile_cont``:
+
+    * a column with at most ``max_distinct_in_memory`` distinct values uses
+      Spark's ``percentile`` (one pass; its final merge holds one entry per
+      distinct value, which is now bounded);
+    * a column with more uses ``quantiles.exact_quantiles``: a few aggregate
+      passes that never hold the column in one task.
+
+    ``exact=False`` takes ``percentile_approx`` quartiles in pass 1 (rank error
+    ≤ 1/accuracy).  ``digits`` rounds mean and std for reading: both are
+    floating-point sums whose last bits depend on the order rows are added in
+    (partitioning, engine).
     """
+    from conformkit.operators.quantiles import exact_quantiles
+
     if columns is None:
         columns = [f.name for f in df.schema.fields
                    if isinstance(f.dataType, T.NumericType)]
     if not columns:
         raise SpecError("profile: no numeric columns")
-    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    probs = [0.25, 0.5, 0.75]
+
+    def val(c: str) -> Column:
+        x = F.col(f"`{c}`").cast("double")
+        return F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
+
     aggs = []
     for i, c in enumerate(columns):
-        x = F.col(f"`{c}`").cast("double")
-        q = F.percentile(x, probs) if exact else F.percentile_approx(x, probs, accuracy)
-        aggs.append(F.struct(
-            F.lit(c).alias("column"),
-            F.count(x).alias("count"),
-            F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"),
-            q.alias("q"),
-            F.max(x).alias("max"),
-        ).alias(f"__p{i}"))
-    wide = df.agg(*aggs)
-    rows = wide.select(F.explode(F.array(*[F.col(f"__p{i}") for i in range(len(columns))])).alias("p"))
-    mean, std = F.col("p.mean"), F.col("p.std")
-    if digits is not None:
-        mean, std = F.round(mean, digits), F.round(std, digits)
-    return rows.select(
-        "p.column", "p.count", mean.alias("mean"), std.alias("std"), "p.min",
-        F.col("p.q")[0].alias("p25"), F.col("p.q")[1].alias("p50"),
-        F.col("p.q")[2].alias("p75"), "p.max")
+        x = val(c)
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"),
+                 F.stddev_samp(x).alias(f"std{i}"), F.min(x).alias(f"min{i}"),
+                 F.max(x).alias(f"max{i}")]
+        if exact:
+            aggs.append(F.approx_count_distinct(x, 0.05).alias(f"nd{i}"))
+        else:
+            aggs.append(F.percentile_approx(x, F.array(*map(F.lit, probs)), accuracy).alias(f"q{i}"))
+    stats = df.agg(*aggs).first()
+
+    quartiles: dict[int, list[float | None]] = {}
+    if exact:
+        bounded = [i for i in range(len(columns)) if stats[f"nd{i}"] <= max_distinct_in_memory]
+        if bounded:
+            row = df.agg(*[F.percentile(val(columns[i]), F.array(*map(F.lit, probs))).alias(f"q{i}")
+                           for i in bounded]).first()
+            quartiles.update({i: row[f"q{i}"] for i in bounded})
+        for i in range(len(columns)):
+            if i not in quartiles:
+                quartiles[i] = exact_quantiles(df, columns[i], probs, n=stats[f"n{i}"])
+    else:
+        quartiles = {i: stats[f"q{i}"] for i in range(len(columns))}
+
+    def rnd(v):
+        return None if v is None or digits is None else round_half_up(v, digits)
+
+    rows = []
+    for i, c in enumerate(columns):
+        q = quartiles[i] or [None, None, None]
+        mean, std = stats[f"mean{i}"], stats[f"std{i}"]
+        if digits is not None:
+            mean, std = rnd(mean), rnd(std)
+        rows.append((c, stats[f"n{i}"], mean, std, stats[f"min{i}"], q[0], q[1], q[2],
+                     stats[f"max{i}"]))
+    return df.sparkSession.createDataFrame(rows, PROFILE_SCHEMA)
+
+
+def round_half_up(v: float, digits: int) -> float:
+    """Round as Spark's ``round`` does: HALF_UP on the double's shortest
+    decimal form."""
+    from decimal import ROUND_HALF_UP, Decimal
+    return float(Decimal(repr(v)).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
 
 
 def global_range(df: DataFrame, column: str) -> DataFrame:

@@ -94,8 +94,9 @@ def read_text_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def document_lines(doc: Column | str = "value") -> Column:
-    """The lines of a whole-text document, in file order (SRC-11), as
-    ``text.splitlines()`` for ``\n`` endings: a final newline adds no empty line."""
+    """The lines of a whole-text document, in file order (SRC-11), like
+    ``text.splitlines()`` for newline-ended lines: a final newline adds no
+    empty line."""
     d = F.col(doc) if isinstance(doc, str) else doc
     parts = F.split(d, "\n")
     return F.when(d.endswith("\n"), F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)

@@ -58,6 +58,26 @@ def read_query(spark: SparkSession, profile: ConnectionProfile, query: str,
     return spark.read.format("jdbc").options(**opts).load()
 
 
+def read_query_parallel(spark: SparkSession, profile: ConnectionProfile, query: str,
+                        partition_column: str, num_partitions: int,
+                        fetchsize: int = DEFAULT_FETCHSIZE) -> DataFrame:
+    """SRC-8 with the bounds discovered first: one ``min/max`` query runs inside
+    the database (one row back), then ``num_partitions`` tasks each read one
+    stride of the numeric ``partition_column``.  The reference's only caller
+    passes no bounds, so its reads run in a single task."""
+    from conformkit.plans.load import check_identifier
+    col = check_identifier(partition_column, "partition column")
+    bounds = read_query(spark, profile,
+                        f"SELECT min({col}) AS lo, max({col}) AS hi FROM {subquery(query, 'b')}",
+                        fetchsize=fetchsize).first()
+    if bounds is None or bounds["lo"] is None:
+        return read_query(spark, profile, query, fetchsize=fetchsize)
+    lo, hi = int(bounds["lo"]), int(bounds["hi"])
+    return read_query(spark, profile, query, partition_column=col, lower_bound=lo,
+                      upper_bound=hi + 1, num_partitions=max(1, min(num_partitions, hi - lo + 1)),
+                      fetchsize=fetchsize)
+
+
 def read_named(spark: SparkSession, profiles: dict[str, ConnectionProfile],
                connection_name: str, query: str, **kw) -> DataFrame:
     """SRC-7 through a named connection profile (SRC-9)."""

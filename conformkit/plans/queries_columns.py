@@ -17,6 +17,7 @@ from conformkit.functions import strings as STR
 from conformkit.operators import joins as J
 from conformkit.operators import ordering as O
 from conformkit.plans.catalog import query, table
+from conformkit.session import spread_undersplit
 
 # ------------------------------------------------------------------ strings
 
@@ -86,7 +87,7 @@ SELECT doc_id, pos, word FROM (
 WHERE starts_with(word, 's')
 """)
 def words_with_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread_undersplit(table(spark, sf_dir, "documents").select("doc_id", "text"))
     # posexplode numbers every word of the whole text from 0 in the same task
     # that holds the row: no shuffle, no window.
     exploded = docs.select("doc_id", F.posexplode(STR.words("text")).alias("pos", "word"))
@@ -215,7 +216,7 @@ def map_basics(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Parse once into a column: every use below reads the parsed map instead of
     # re-running from_json (Catalyst keeps a projection whose expensive result
     # is used several times).
-    e = table(spark, sf_dir, "events").select(
+    e = spread_undersplit(table(spark, sf_dir, "events").select("event_id", "props")).select(
         "event_id", "props", MP.parse_json_map("props").alias("m"))
     m = F.col("m")
     return e.select(
@@ -298,7 +299,8 @@ SELECT doc_id, CAST(len(w) - 1 AS INTEGER) AS n_pairs,
 FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents)
 """)
 def positional_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", STR.words("text").alias("w"))
+    docs = spread_undersplit(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", STR.words("text").alias("w"))
     # Each word paired with the next one over the whole text: zip with the
     # array shifted by one, shortest wins.
     # Bound to a column once, so the zip is built once per row and not once per use.

@@ -63,3 +63,15 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete a path (driver-side metadata call)."""
     fs, jpath = hadoop_path(spark, path)
     return bool(fs.delete(jpath, True))
+
+
+def spread_undersplit(df: DataFrame) -> DataFrame:
+    """Round-robin a frame over the session's default parallelism only when it
+    has fewer partitions than that (e.g. one big file with one row group), and
+    leave it untouched otherwise.  For CPU-heavy per-row work (whole-text
+    splitting, JSON parsing) on an under-split input; a large input already
+    has one task per split and pays no shuffle here."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -12,6 +12,7 @@ them, then writes them in order (LOD-4).
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -92,9 +93,22 @@ def _same_location(a: str | None, b: str | None) -> bool:
     return norm(a) == norm(b)
 
 
+def _reads_target(job: JobSpec) -> bool:
+    """D16: does the job read the relation it writes?  Files: same path.  JDBC:
+    same URL and the target table named in the source SQL."""
+    if _same_location(_source_identity(job), job.load.target):
+        return True
+    src = job.source
+    if (isinstance(src, SourceSpec) and src.format == "jdbc" and job.load.format == "jdbc"
+            and job.profile is not None and src.options.get("url") == job.profile.url):
+        table = re.escape(job.load.target.split(".")[-1])
+        return re.search(rf"(?<![\w$]){table}(?![\w$])", src.path or "", re.I) is not None
+    return False
+
+
 def plan_job(spark: SparkSession, job: JobSpec, run_date: dt.date) -> PlannedJob:
     """Source → transformations → (slice filter) → alignment, all lazy."""
-    if _same_location(_source_identity(job), job.load.target):
+    if _reads_target(job):
         # D16: reading a relation lazily while overwriting it loses the rows.
         raise SpecError(f"job {job.name!r}: source and target are the same ({job.load.target})")
     df = _source_frame(spark, job, run_date)

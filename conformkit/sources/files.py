@@ -164,7 +164,8 @@ def optional_source(spark: SparkSession, read, schema: Any) -> DataFrame:
 
 
 def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """Read one ``SourceSpec`` (csv / parquet / json / json_documents / text / table)."""
+    """Read one ``SourceSpec`` (csv / parquet / json / json_documents / text /
+    table / jdbc)."""
     fmt = spec.format
     opts: Mapping[str, str] = dict(spec.options)
     if fmt != "table" and not spec.path:
@@ -187,6 +188,17 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
             return read_text_lines(spark, spec.path)
         if fmt == "table":
             return spark.table(spec.path or spec.name)
+        if fmt == "jdbc":
+            # path = source SQL or table; options = connection profile keys plus
+            # optional partition_column / num_partitions for a parallel read.
+            from conformkit.sources import jdbc
+            from conformkit.specs import ConnectionProfile
+            o = dict(opts)
+            part_col, n_parts = o.pop("partition_column", None), o.pop("num_partitions", None)
+            profile = ConnectionProfile.from_dict(o)
+            if part_col and n_parts:
+                return jdbc.read_query_parallel(spark, profile, spec.path, part_col, int(n_parts))
+            return jdbc.read_query(spark, profile, spec.path)
         raise SpecError(f"source {spec.name!r}: unsupported format {fmt!r}")
 
     if spec.optional:

@@ -137,3 +137,15 @@ def run_jobs(spark: SparkSession, jobs: Iterable[JobSpec],
     if len(set(targets)) != len(targets):
         raise SpecError(f"two jobs write the same target: {targets}")
     return [load(spark, p.frame, p.job.load, day, p.job.profile) for p in planned]
+
+
+def run_services(spark: SparkSession, services_config: Mapping[str, Sequence[str]] | str,
+                 run_date: dt.date | str | None = None, **factory_args) -> list[LoadResult]:
+    """The migration flow (LOD-4..7): the services a config names, looked up in
+    the registry, planned together and then written.  ``services_config`` is
+    the dict or the path of its JSON file; ``factory_args`` (connection
+    profiles, config folders, …) are passed to every service factory."""
+    if isinstance(services_config, str):
+        from conformkit.sources.files import read_config
+        services_config = read_config(spark, services_config)
+    return run_jobs(spark, resolve_services(services_config, **factory_args), run_date)

@@ -19,7 +19,7 @@ from conformkit.operators.conform import (
 )
 from conformkit.operators.summarize import summarize
 from conformkit.specs import MappingSpec, SpecError
-from conformkit.sources.files import read_source
+from conformkit.sources.files import read_config, read_source
 
 
 def transformed_sources(spark: SparkSession, spec: MappingSpec,
@@ -62,3 +62,8 @@ def run_mapping(spark: SparkSession, spec: MappingSpec,
         else:
             write_parquet(out, spec.output_path)
     return out
+
+
+def load_mapping(spark: SparkSession, path: str) -> MappingSpec:
+    """A mapping config file (local or object store) as a spec (SRC-13)."""
+    return MappingSpec.from_dict(read_config(spark, path))

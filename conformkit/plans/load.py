@@ -1,7 +1,8 @@
 """Full and incremental loads that can be rerun safely (LOD-1..3, SNK-5, FLT-2).
 
 Files (Parquet/CSV/JSON folders)
-    * full load: overwrite the target.
+    * full load: write to a sibling staging folder, then swap it in by renames
+      after the job commits, so a failed job leaves the old target intact.
     * incremental: the target is partitioned by the incremental column; the new
       slice replaces exactly its partition with dynamic partition overwrite,
       which commits the new files and swaps the partition in one job commit, so
@@ -24,13 +25,14 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conformkit.session import delete_path, path_exists
+from conformkit.session import delete_path, hadoop_path, path_exists
 from conformkit.specs import ConnectionProfile, LoadSpec, LoadType, SpecError
 
 
@@ -67,20 +69,52 @@ def kept_rows(df: DataFrame, column: str, run_date: dt.date | str) -> DataFrame:
 
 
 def full_load_files(df: DataFrame, target: str, fmt: str = "parquet",
-                    partition_by: tuple[str, ...] = ()) -> None:
-    """Overwrite a file target (LOD-1).  Spark refuses to overwrite a path the
-    same plan reads from (D16)."""
+                    partition_by: tuple[str, ...] = (), staged: bool = True) -> None:
+    """Replace a file target with ``df`` (LOD-1).
+
+    A plain overwrite deletes the target before the job runs, so a failed job
+    would leave it empty.  With ``staged`` (default) the rows are written to a
+    sibling folder first and swapped in by two renames only after the job has
+    committed; a failure leaves the old target as it was.  (Renames are atomic
+    on HDFS-like file systems; on object stores use a table format for
+    atomic replacement.)
+    """
     w = df
     if partition_by:
         # REBALANCE lets AQE split a hot partition value across tasks and merge
         # small ones, instead of one task per value.
         w = df.hint("rebalance", *partition_by)
+    out = f"{target.rstrip('/')}.__staging-{uuid.uuid4().hex}" if staged else target
     writer = w.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
         writer = writer.option("header", True)
-    writer.save(target)
+    try:
+        writer.save(out)
+    except Exception:
+        if staged:
+            delete_path(df.sparkSession, out)
+        raise
+    if staged:
+        _swap_in(df.sparkSession, out, target)
+
+
+def _swap_in(spark: SparkSession, staging: str, target: str) -> None:
+    """Move ``staging`` to ``target``, keeping the old target until the new one
+    is in place (and restoring it if the second rename fails)."""
+    fs, t = hadoop_path(spark, target.rstrip("/"))
+    _, s = hadoop_path(spark, staging)
+    _, old = hadoop_path(spark, f"{target.rstrip('/')}.__old-{uuid.uuid4().hex}")
+    had_target = bool(fs.exists(t))
+    if had_target and not fs.rename(t, old):
+        raise OSError(f"cannot move {target} aside")
+    if not fs.rename(s, t):
+        if had_target:
+            fs.rename(old, t)
+        raise OSError(f"cannot move {staging} to {target}")
+    if had_target:
+        fs.delete(old, True)
 
 
 def incremental_replace_files(spark: SparkSession, df: DataFrame, target: str, column: str,

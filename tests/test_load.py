@@ -69,6 +69,26 @@ def test_full_load_rerun_replaces(spark, tmp_path):
     L.full_load_files(df, target)
     L.full_load_files(df, target)
     assert spark.read.parquet(target).count() == 10
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["copy"]  # no staging left behind
+
+
+def test_failed_full_load_keeps_the_old_target(spark, tmp_path):
+    target = str(tmp_path / "copy")
+    L.full_load_files(spark.range(10), target)
+    failing = spark.range(5).select(F.assert_true(F.col("id") < 3).alias("x"), "id")
+    with pytest.raises(Exception):
+        L.full_load_files(failing, target)
+    assert spark.read.parquet(target).count() == 10
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["copy"]
+
+
+def test_full_load_may_read_its_own_target(spark, tmp_path):
+    # Staging makes a rewrite of a table from itself safe (the old files stay
+    # readable until the new ones are committed).
+    target = str(tmp_path / "copy")
+    L.full_load_files(spark.range(10), target)
+    L.full_load_files(spark.read.parquet(target).filter("id % 2 = 0"), target)
+    assert spark.read.parquet(target).count() == 5
 
 
 def test_unknown_load_type_is_refused():

@@ -30,7 +30,7 @@ def summarise(plan: str) -> dict:
         cols = re.findall(r"(\w+):", schema[len("struct<"):])
         scans.append(f"{table}[{','.join(cols)}]" + (f" pushed({pushed})" if pushed else "")
                      + (f" partition({pf})" if pf else ""))
-    if not scans and "LocalTableScan" in plan:
+    if not scans and ("LocalTableScan" in plan or "ExistingRDD" in plan):
         scans.append("local rows: results computed when the query was built")
     return {
         "hash": len(re.findall(r"Exchange hashpartitioning", plan)),

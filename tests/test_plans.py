@@ -76,3 +76,16 @@ def test_incremental_target_reads_prune_partitions(spark, tmp_path):
 def test_transform_chain_is_one_codegen_stage(spark):
     plan = _plan(E.queries()["string_basics"](spark, SF))
     assert "Exchange" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_aggregates_combine_before_the_shuffle(spark):
+    # A key holding a third of the rows leaves each map task as ONE partial row.
+    plan = _plan(E.queries()["mapping_summary"](spark, SF))
+    before_exchange = plan.split("Exchange hashpartitioning")[1]
+    assert "partial_count" in before_exchange and "partial_sum" in before_exchange
+
+
+def test_left_join_carries_no_hint(spark):
+    df = E.queries()["left_join"](spark, SF)
+    logical = df._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in logical.lower()

@@ -19,7 +19,7 @@ from conformkit.operators.joins import left_join
 from conformkit.plans.catalog import query, table
 from conformkit.plans.jobs import JobSpec, run_jobs
 from conformkit.plans.load import full_load_files, incremental_replace_files
-from conformkit.session import scratch_path
+from conformkit.session import scratch_path, write_small_text
 from conformkit.sinks import files as SNK
 from conformkit.sources import files as SRC
 from conformkit.specs import LoadSpec, LoadType, SliceMode, SourceSpec
@@ -219,9 +219,8 @@ def run_services(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "transformations": [{"column_name": "load_date",
                                               "expression": "cast(ts as date)"}]},
     }
-    cfg_path = f"{base}/config"
-    spark.createDataFrame([(json.dumps(config),)], "value STRING").coalesce(1) \
-        .write.mode("overwrite").text(cfg_path)
+    cfg_path = f"{base}/jobs.json"
+    write_small_text(spark, cfg_path, json.dumps(config, indent=2))
     cfg = SRC.read_config(spark, cfg_path)
     sup_spec = LoadSpec.from_dict(cfg["supplier_copy"])
     ev_spec = LoadSpec.from_dict(cfg["events_daily"])

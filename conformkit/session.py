@@ -65,13 +65,57 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(jpath, True))
 
 
+# A config file read or written on the driver must stay config-sized.
+MAX_SMALL_FILE_BYTES = 16 * 1024 * 1024
+
+
+def read_small_text(spark: SparkSession, path: str, limit: int = MAX_SMALL_FILE_BYTES) -> str:
+    """The text of one small file (a config), read on the driver through the
+    Hadoop FileSystem API, so local, HDFS and object-store paths behave alike
+    and no Spark job runs.  Refuses files above ``limit`` bytes."""
+    fs, jpath = hadoop_path(spark, path)
+    status = fs.getFileStatus(jpath)
+    if status.isDirectory():
+        files = [st for st in fs.listStatus(jpath)
+                 if st.isFile() and not st.getPath().getName().startswith(("_", "."))]
+        if len(files) != 1:
+            raise ValueError(f"{path}: expected one data file, found {len(files)}")
+        status, jpath = files[0], files[0].getPath()
+    if status.getLen() > limit:
+        raise ValueError(f"{path}: {status.getLen()} bytes is not a config-sized file")
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(jpath)
+    try:
+        data = jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
+    finally:
+        stream.close()
+    return bytes(data).decode("utf-8-sig")
+
+
+def write_small_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small file (a config) from the driver, replacing it."""
+    data = text.encode("utf-8")
+    if len(data) > MAX_SMALL_FILE_BYTES:
+        raise ValueError("write_small_text is for config-sized text")
+    fs, jpath = hadoop_path(spark, path)
+    out = fs.create(jpath, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
 def spread_undersplit(df: DataFrame) -> DataFrame:
     """Round-robin a frame over the session's default parallelism only when it
     has fewer partitions than that (e.g. one big file with one row group), and
     leave it untouched otherwise.  For CPU-heavy per-row work (whole-text
     splitting, JSON parsing) on an under-split input; a large input already
     has one task per split and pays no shuffle here."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access: leave as is
+        return df
+    if current >= target:
         return df
     return df.repartition(target)

@@ -132,14 +132,20 @@ def read_parquet(spark: SparkSession, path: str, schema: Any = None) -> DataFram
 def read_config(spark: SparkSession, path: str) -> dict:
     """A JSON config file as a dict (SRC-13, SNK-7).
 
-    Read through Spark so local and object-store paths behave alike; the file
-    is config-sized, so collecting its text to the driver is intended.
+    Read on the driver through the Hadoop FileSystem API, so local, HDFS and
+    object-store paths behave alike and no Spark job runs; files above a
+    config size are refused.  A folder holding one data file (as Spark writes
+    text) is accepted too.
     """
-    docs = read_text_documents(spark, path).collect()
-    if len(docs) != 1:
-        raise SpecError(f"config {path!r}: expected one file, found {len(docs)}")
+    from conformkit.session import path_exists, read_small_text
+    if not path_exists(spark, path):
+        raise SpecError(f"config {path!r} does not exist")
     try:
-        return json.loads(docs[0].value)
+        text = read_small_text(spark, path)
+    except ValueError as e:
+        raise SpecError(f"config {path!r}: {e}") from e
+    try:
+        return json.loads(text)
     except json.JSONDecodeError as e:
         raise SpecError(f"config {path!r} is not valid JSON: {e}") from e
 

@@ -88,6 +88,10 @@ def test_config_file_read_through_spark(spark, write_text_file):
     bad = write_text_file("bad.json", "{not json")
     with pytest.raises(SpecError):
         read_config(spark, bad)
+    with pytest.raises(SpecError, match="does not exist"):
+        read_config(spark, path + ".missing")
+    bom = write_text_file("bom.json", "\ufeff" + json.dumps({"a": 1}))
+    assert read_config(spark, bom) == {"a": 1}
 
 
 def test_jdbc_query_is_wrapped_as_subquery():

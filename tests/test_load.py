@@ -160,3 +160,16 @@ def test_jdbc_job_reading_its_own_target_is_refused():
                                      options={"url": url}), tgt, profile=ConnectionProfile(url=url))
     from conformkit.plans.jobs import _reads_target
     assert not _reads_target(other)
+
+
+def test_failed_incremental_replace_keeps_the_old_slice(spark, events, tmp_path):
+    # D6: the new slice is committed with the job; a job that fails midway
+    # leaves the old day untouched.
+    target = str(tmp_path / "daily")
+    L.full_load_files(events, target, partition_by=("load_date",))
+    before = _counts(spark, target)
+    failing = (events.filter(F.col("load_date") == F.lit(DAY)).drop("load_date")
+               .withColumn("value", F.assert_true(F.col("event_id") < 0).cast("double")))
+    with pytest.raises(Exception):
+        L.incremental_replace_files(spark, failing, target, "load_date", DAY)
+    assert _counts(spark, target) == before

@@ -24,7 +24,6 @@ replaced (D5).
 from __future__ import annotations
 
 import datetime as dt
-import re
 import uuid
 from dataclasses import dataclass
 
@@ -33,7 +32,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conformkit.session import delete_path, hadoop_path, path_exists
-from conformkit.specs import ConnectionProfile, LoadSpec, LoadType, SpecError
+from conformkit.sinks.jdbc import write_jdbc
+from conformkit.sources.jdbc import table_schema
+from conformkit.specs import ConnectionProfile, LoadSpec, LoadType, SpecError, check_identifier
 
 
 @dataclass(frozen=True)
@@ -142,20 +143,8 @@ def incremental_replace_files(spark: SparkSession, df: DataFrame, target: str, c
 
 # --------------------------------------------------------------------------- JDBC
 
-_IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_$]*(\.[A-Za-z_][A-Za-z0-9_$]*){0,2}$")
-
-
-def check_identifier(name: str, what: str = "identifier") -> str:
-    """Table/column names are spliced into SQL text, so they must be plain
-    identifiers (values always go through bind parameters)."""
-    if not _IDENT.match(name or ""):
-        raise SpecError(f"unsafe {what}: {name!r}")
-    return name
-
-
 def full_load_jdbc(df: DataFrame, profile: ConnectionProfile, table: str) -> None:
     """Overwrite a JDBC table keeping its definition (LOD-1, D15)."""
-    from conformkit.sinks.jdbc import write_jdbc
     write_jdbc(df, profile, check_identifier(table, "table"), mode="overwrite")
 
 
@@ -169,9 +158,6 @@ def incremental_replace_jdbc(spark: SparkSession, df: DataFrame, profile: Connec
        ``INSERT INTO t (cols) SELECT cols FROM staging``, one commit, rollback on
        any error.  Only column names present in the target are used.
     """
-    from conformkit.sinks.jdbc import write_jdbc
-    from conformkit.sources.jdbc import table_schema
-
     check_identifier(table, "table")
     check_identifier(column, "column")
     staging = check_identifier(staging_table or f"{table}_staging", "staging table")

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from conformkit.specs import ConnectionProfile, SpecError
+from conformkit.specs import ConnectionProfile, SpecError, check_identifier
 
 DEFAULT_FETCHSIZE = 10000
 
@@ -65,7 +65,6 @@ def read_query_parallel(spark: SparkSession, profile: ConnectionProfile, query:
     the database (one row back), then ``num_partitions`` tasks each read one
     stride of the numeric ``partition_column``.  The reference's only caller
     passes no bounds, so its reads run in a single task."""
-    from conformkit.plans.load import check_identifier
     col = check_identifier(partition_column, "partition column")
     bounds = read_query(spark, profile,
                         f"SELECT min({col}) AS lo, max({col}) AS hi FROM {subquery(query, 'b')}",

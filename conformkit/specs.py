@@ -99,6 +99,19 @@ def build_schema(fields: Iterable[Mapping[str, Any]] | Iterable[tuple[str, Any]]
     return T.StructType(out)
 
 
+# --------------------------------------------------------------------------- identifiers
+
+_IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_$]*(\.[A-Za-z_][A-Za-z0-9_$]*){0,2}$")
+
+
+def check_identifier(name: str, what: str = "identifier") -> str:
+    """Table/column names are spliced into SQL text, so they must be plain
+    identifiers (values always go through bind parameters)."""
+    if not _IDENT.match(name or ""):
+        raise SpecError(f"unsafe {what}: {name!r}")
+    return name
+
+
 # --------------------------------------------------------------------------- specs
 
 @dataclass(frozen=True)

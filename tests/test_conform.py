@@ -240,3 +240,20 @@ def test_undeclared_schema_is_first_seen_order_and_type(spark):
     assert [(f.name, f.dataType.simpleString()) for f in out.schema.fields] == [
         ("id", "bigint"), ("name", "string"), ("score", "double")]
     assert sorted((r.id, r.name, r.score) for r in out.collect()) == [(1, "x", None), (2, "y", 5.0)]
+
+
+def test_empty_source_and_bom_absent(spark, write_text_file):
+    # One source has only a header; the other has no BOM.  The mapping still
+    # conforms both; the empty one contributes no rows.
+    spec = MappingSpec.from_dict({
+        "data_sources": [
+            {"source_name": "E", "path": write_text_file("e.csv", BOM + "student_id,mark\n"),
+             "transformations": [{"column_name": "source_key", "expression": "'E'"}]},
+            {"source_name": "N", "path": write_text_file("n.csv", "student_id,mark\n7,40\n"),
+             "transformations": [{"column_name": "source_key", "expression": "'N'"}]}],
+        "columns": [{"col_name": "student_id", "col_type": "string"},
+                    {"col_name": "mark", "col_type": "int"},
+                    {"col_name": "source_key", "col_type": "string"}],
+        "keys": ["source_key"],
+        "measures": [{"name": "n", "func": "count_star"}, {"name": "total", "func": "sum", "column": "mark"}]})
+    assert [(r.source_key, r.n, r.total) for r in M.summary(spark, spec).collect()] == [("N", 1, 40)]

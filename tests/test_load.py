@@ -173,3 +173,13 @@ def test_failed_incremental_replace_keeps_the_old_slice(spark, events, tmp_path)
     with pytest.raises(Exception):
         L.incremental_replace_files(spark, failing, target, "load_date", DAY)
     assert _counts(spark, target) == before
+
+
+def test_rows_with_a_null_load_date_survive_a_replace(spark, tmp_path):
+    target = str(tmp_path / "daily")
+    rows = spark.createDataFrame([(1, DAY), (2, None), (3, dt.date(2024, 1, 1))],
+                                 "id int, load_date date")
+    L.full_load_files(rows, target, partition_by=("load_date",))
+    L.incremental_replace_files(spark, spark.createDataFrame([(9,)], "id int"), target, "load_date", DAY)
+    got = sorted((r.id, r.load_date) for r in spark.read.parquet(target).collect())
+    assert got == [(2, None), (3, dt.date(2024, 1, 1)), (9, DAY)]

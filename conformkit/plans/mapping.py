@@ -7,7 +7,7 @@ The whole job is one lazy plan.  Per source: scan + one Project; then a Union
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +19,7 @@ from conformkit.operators.conform import (
 )
 from conformkit.operators.summarize import summarize
 from conformkit.sinks.files import write_csv, write_parquet
-from conformkit.specs import MappingSpec, SpecError
+from conformkit.specs import MappingSpec, MeasureSpec, SpecError
 from conformkit.sources.files import read_config, read_source
 
 
@@ -42,20 +42,27 @@ def conformed(spark: SparkSession, spec: MappingSpec,
 
 
 def summary(spark: SparkSession, spec: MappingSpec,
-            frames: Mapping[str, DataFrame] | None = None, **opts: Any) -> DataFrame:
-    """The configured measures by the configured keys over the conformed rows."""
-    if not spec.measures:
-        raise SpecError("mapping has no measures to summarise")
-    return summarize(conformed(spark, spec, frames), spec.keys, spec.measures, **opts)
+            frames: Mapping[str, DataFrame] | None = None,
+            keys: Sequence[str] | None = None,
+            measures: Sequence[MeasureSpec | dict] | None = None, **opts: Any) -> DataFrame:
+    """The measures by the keys over the conformed rows.  ``keys`` and
+    ``measures`` given here override the config's (mapping files that carry
+    none leave them to the job)."""
+    keys = list(keys if keys is not None else spec.keys)
+    measures = list(measures if measures is not None else spec.measures)
+    if not measures:
+        raise SpecError("mapping has no measures to summarise; pass measures=")
+    return summarize(conformed(spark, spec, frames), keys, measures, **opts)
 
 
 def run_mapping(spark: SparkSession, spec: MappingSpec,
                 frames: Mapping[str, DataFrame] | None = None,
-                output_format: str = "csv") -> DataFrame:
+                output_format: str = "csv",
+                keys: Sequence[str] | None = None,
+                measures: Sequence[MeasureSpec | dict] | None = None) -> DataFrame:
     """Run the mapping and, if ``output_path`` is set, write the summary there
-    (overwrite; CSV with header as the reference does, SNK-1).  Returns the
-    summary frame."""
-    out = summary(spark, spec, frames)
+    (overwrite; CSV with header, SNK-1).  Returns the summary frame."""
+    out = summary(spark, spec, frames, keys=keys, measures=measures)
     if spec.output_path:
         if output_format == "csv":
             write_csv(out, spec.output_path)

@@ -257,3 +257,12 @@ def test_empty_source_and_bom_absent(spark, write_text_file):
         "keys": ["source_key"],
         "measures": [{"name": "n", "func": "count_star"}, {"name": "total", "func": "sum", "column": "mark"}]})
     assert [(r.source_key, r.n, r.total) for r in M.summary(spark, spec).collect()] == [("N", 1, 40)]
+
+
+def test_keys_and_measures_can_come_from_the_job(spark, marks):
+    bare = MappingSpec(sources=marks.sources, columns=marks.columns)
+    with pytest.raises(SpecError, match="measures"):
+        M.summary(spark, bare)
+    out = M.summary(spark, bare, keys=["source_key"],
+                    measures=[MeasureSpec("n", "count_star"), MeasureSpec("hi", "max", "mark")])
+    assert sorted((r.source_key, r.n, r.hi) for r in out.collect()) == [("KL", 2, 80), ("TN", 4, 100)]

@@ -123,9 +123,10 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = T
     approximate distinct count (fixed-size sketches, so it is safe at any
     size).  Quartiles are then exact, interpolated as pandas / ``quantile_cont``:
 
-    * a column with at most ``max_distinct_in_memory`` distinct values uses
-      Spark's ``percentile`` (one pass; its final merge holds one entry per
-      distinct value, which is now bounded);
+    * a column with at most ``max_distinct_in_memory`` distinct values: a
+      distributed count per (column, value), then Spark's frequency-weighted
+      ``percentile`` over those counts; its final merge receives each distinct
+      value once (bounded), not one value map per map task;
     * a column with more uses ``quantiles.exact_quantiles``: a few aggregate
       passes that never hold the column in one task.
 
@@ -161,9 +162,18 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = T
     if exact:
         bounded = [i for i in range(len(columns)) if stats[f"nd{i}"] <= max_distinct_in_memory]
         if bounded:
-            row = df.agg(*[F.percentile(val(columns[i]), F.array(*map(F.lit, probs))).alias(f"q{i}")
-                           for i in bounded]).first()
-            quartiles.update({i: row[f"q{i}"] for i in bounded})
+            # Count each (column, value) first: the shuffle spreads distinct
+            # values over tasks and map-side combining collapses repeats, so the
+            # final percentile sees every distinct value once, weighted by its
+            # count, instead of one value map from every map task.
+            pairs = df.select(F.explode(F.array(*[
+                F.struct(F.lit(i).alias("c"), val(columns[i]).alias("v")) for i in bounded])).alias("s"))
+            counted = (pairs.select("s.c", "s.v").filter(F.col("v").isNotNull())
+                       .groupBy("c", "v").count())
+            got = (counted.groupBy("c")
+                   .agg(F.percentile("v", F.array(*map(F.lit, probs)), F.col("count")).alias("q"))
+                   .collect())
+            quartiles.update({r["c"]: r["q"] for r in got})
         for i in range(len(columns)):
             if i not in quartiles:
                 quartiles[i] = exact_quantiles(df, columns[i], probs, n=stats[f"n{i}"])

@@ -1,24 +1,28 @@
 """Exact quantiles without holding a whole column in one task (AGG-8, D18).
 
 Spark's exact ``percentile`` merges a map of every distinct value into one final
-task.  ``exact_quantiles`` selects the needed order statistics instead:
-
-1. ``n`` = non-null count; the ranks needed for linear interpolation are
-   ``floor((n-1)p)`` and ``ceil((n-1)p)`` (pandas / ``quantile_cont``).
-2. Every rank starts in the bracket (-inf, +inf) with 0 values below it.
-3. Each round, ONE aggregate counts the rows and estimates the distinct values
-   inside every open bracket.  A bracket with at most ``max_local`` distinct
-   values (or rows) is resolved exactly: a distributed ``GROUP BY value`` of the
-   rows inside it returns at most ~``max_local`` (value, count) pairs, walked in
-   order on the driver.  A value holding a third of all rows is one pair.
-4. Other brackets are narrowed: ``percentile_approx`` inside the bracket gives
-   candidate bounds around the target rank, and one exact counting pass checks
-   that the rank still lies between them (otherwise the margin is widened).
-   Each round shrinks a bracket by about ``accuracy / 6``, so a trillion rows
-   need two or three rounds.
-
-Every pass is a partial + final aggregate over one column; only bracket bounds
-and bounded (value, count) lists reach the driver.
+task, and ``percentile_approx`` sends one sketch per map task to one final task.
+``exact_quantiles`` selects the needed order statistics with plain distributed
+aggregates instead:
+
+1. One pass: count, finite min and max, and the number of -inf / +inf values.
+   The ranks needed for linear interpolation are ``floor((n-1)p)`` and
+   ``ceil((n-1)p)`` (pandas / ``quantile_cont``).
+2. Every rank starts in the bracket [finite min, finite max]; the rows below
+   the bracket are counted.
+3. Each round, one ``GROUP BY (bracket, bin)`` splits every open bracket into
+   ``bins`` value ranges with a monotone bin function and returns count, min
+   and max per bin (at most ``bins`` small rows per bracket).  Walking the
+   cumulative counts finds the bin holding the rank; its actual [min, max]
+   becomes the new bracket.  A bin whose min equals its max is the answer (a
+   value holding a third of all rows resolves in one round).  A bracket's
+   min and max always fall in different bins, so every round shrinks it.
+4. A bracket with at most ``max_local`` rows is finished exactly: a
+   distributed ``GROUP BY value`` returns its (value, count) pairs, walked in
+   order on the driver.
+
+Typical data needs two or three rounds; only bins and bounded (value, count)
+lists reach the driver, and no task merges per-task state from every map task.
 """
 
 from __future__ import annotations
@@ -30,16 +34,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _X = "__q_x"
+_INF = float("inf")
 
 
-def _inside(lo: float | None, hi: float | None) -> Column:
+def _inside(lo: float, hi: float) -> Column:
     x = F.col(_X)
-    cond = F.lit(True)
-    if lo is not None:
-        cond = cond & (x >= F.lit(lo))
-    if hi is not None:
-        cond = cond & (x <= F.lit(hi))
-    return cond
+    return (x >= F.lit(lo)) & (x <= F.lit(hi))
+
+
+def _bin(lo: float, hi: float, bins: int) -> Column:
+    """A monotone (non-decreasing) bin number in [0, bins) for values in
+    [lo, hi]; ``lo`` falls in bin 0 and ``hi`` in the last bin."""
+    x = F.col(_X)
+    span = hi - lo
+    if math.isinf(span):  # huge opposite-signed bounds: scale first
+        w = hi / bins - lo / bins
+        raw = x / F.lit(w) - F.lit(lo / w)
+    else:
+        w = span / bins
+        if w == 0.0 or not math.isfinite(w):
+            return F.when(x < F.lit(hi), F.lit(0)).otherwise(F.lit(1))
+        raw = (x - F.lit(lo)) / F.lit(w)
+    return F.least(F.greatest(F.floor(raw), F.lit(0)), F.lit(bins - 1)).cast("int")
 
 
 def interpolate(values: dict[int, float], pos: float) -> float:
@@ -51,89 +67,80 @@ def interpolate(values: dict[int, float], pos: float) -> float:
     return (higher - pos) * values[lower] + (pos - lower) * values[higher]
 
 
-def order_statistics(values: DataFrame, n: int, ranks: Sequence[int], max_local: int = 100_000,
-                     accuracy: int = 20_000, max_rounds: int = 30) -> dict[int, float]:
+def order_statistics(values: DataFrame, ranks: Sequence[int], max_local: int = 10_000,
+                     bins: int = 256, max_rounds: int = 200) -> dict[int, float]:
     """The values at 0-based ``ranks`` of the single double column ``__q_x``
-    (non-null, no NaN) of ``values``, which has ``n`` rows."""
-    # rank -> (lo, hi, below): the rank's value lies in [lo, hi]; `below` rows are < lo.
-    brackets: dict[int, tuple[float | None, float | None, int]] = {k: (None, None, 0) for k in ranks}
-    margin: dict[int, float] = {k: 3.0 / accuracy for k in ranks}
-    found: dict[int, float] = {}
+    (non-null, no NaN) of ``values``."""
     x = F.col(_X)
+    finite = (x != F.lit(_INF)) & (x != F.lit(-_INF))
+    ext = values.agg(F.count(F.lit(1)).alias("n"),
+                     F.min(F.when(finite, x)).alias("lo"), F.max(F.when(finite, x)).alias("hi"),
+                     F.count_if(x == F.lit(-_INF)).alias("neg"),
+                     F.count_if(x == F.lit(_INF)).alias("pos")).first()
+    n, neg, pos = ext["n"], ext["neg"], ext["pos"]
+    found: dict[int, float] = {}
+    # rank -> (lo, hi, below, count): the rank's value lies in [lo, hi], which
+    # holds `count` rows; `below` rows are smaller than lo.
+    brackets: dict[int, tuple[float, float, int, int]] = {}
+    for k in ranks:
+        if k < neg:
+            found[k] = -_INF
+        elif k >= n - pos:
+            found[k] = _INF
+        else:
+            brackets[k] = (ext["lo"], ext["hi"], neg, n - neg - pos)
+
     for _ in range(max_rounds):
         todo = [k for k in ranks if k not in found]
         if not todo:
             return found
-        groups: dict[tuple[float | None, float | None], list[int]] = {}
+        groups: dict[tuple[float, float], list[int]] = {}
         for k in todo:
-            lo, hi, _below = brackets[k]
-            groups.setdefault((lo, hi), []).append(k)
-        keys = list(groups)
-        aggs = []
-        for i, (lo, hi) in enumerate(keys):
-            inside = _inside(lo, hi)
-            aggs += [F.count_if(inside).alias(f"c{i}"),
-                     F.approx_count_distinct(F.when(inside, x), 0.05).alias(f"d{i}")]
-        stats = values.agg(*aggs).first()
-
-        narrow: list[tuple[int, float | None, float | None, int]] = []
-        small: list[int] = []
-        for i, (lo, hi) in enumerate(keys):
-            cnt, nd = stats[f"c{i}"], stats[f"d{i}"]
-            if cnt <= max_local or nd <= max_local:
-                small.append(i)
+            lo, hi, _below, _cnt = brackets[k]
+            if lo == hi:
+                found[k] = lo
             else:
-                narrow += [(k, lo, hi, cnt) for k in groups[(lo, hi)]]
+                groups.setdefault((lo, hi), []).append(k)
+        small = [g for g in groups if brackets[groups[g][0]][3] <= max_local]
+        big = [g for g in groups if g not in small]
+
         if small:
-            # All small brackets in one job: (bracket, value) → count, at most
-            # ~max_local pairs per bracket.
-            tags = F.array(*[F.when(_inside(*keys[i]), F.lit(i)) for i in small])
+            # Every small bracket in one job: (bracket, value) -> count.
+            tags = F.array(*[F.when(_inside(*g), F.lit(i)) for i, g in enumerate(small)])
             counted = (values.select(F.explode(tags).alias("__b"), _X).filter(F.col("__b").isNotNull())
                        .groupBy("__b", _X).count().orderBy("__b", _X).collect())
-            by_bracket: dict[int, list[tuple[float, int]]] = {}
+            per: dict[int, list[tuple[float, int]]] = {}
             for b, v, c in counted:
-                by_bracket.setdefault(b, []).append((v, c))
-            for i in small:
-                pairs = by_bracket.get(i, [])
-                for k in groups[keys[i]]:
-                    pos = k - brackets[k][2]
-                    seen = 0
-                    for v, c in pairs:
+                per.setdefault(b, []).append((v, c))
+            for i, g in enumerate(small):
+                for k in groups[g]:
+                    target, seen = k - brackets[k][2], 0
+                    for v, c in per.get(i, []):
                         seen += c
-                        if seen > pos:
+                        if seen > target:
                             found[k] = v
                             break
-        if not narrow:
-            continue
-
-        # Candidate bounds from approximate quantiles inside each bracket.
-        q_aggs = []
-        for j, (k, lo, hi, cnt) in enumerate(narrow):
-            t = (k - brackets[k][2] + 0.5) / cnt
-            lo_f, hi_f = max(0.0, t - margin[k]), min(1.0, t + margin[k])
-            q_aggs.append(F.percentile_approx(F.when(_inside(lo, hi), x),
-                                              F.array(F.lit(lo_f), F.lit(hi_f)), accuracy).alias(f"q{j}"))
-        qs = values.agg(*q_aggs).first()
-        cands = []
-        for j, (k, lo, hi, cnt) in enumerate(narrow):
-            t = (k - brackets[k][2] + 0.5) / cnt
-            a, b = qs[f"q{j}"]
-            new_lo = lo if t - margin[k] <= 0 else a
-            new_hi = hi if t + margin[k] >= 1 else b
-            cands.append((k, new_lo, new_hi))
-        # Exact check: rank k must satisfy count(x < lo) <= k < count(x <= hi).
-        v_aggs = []
-        for j, (k, new_lo, new_hi) in enumerate(cands):
-            v_aggs.append((F.count_if(x < F.lit(new_lo)) if new_lo is not None else F.lit(0)).alias(f"b{j}"))
-            v_aggs.append((F.count_if(x <= F.lit(new_hi)) if new_hi is not None else F.lit(n)).alias(f"u{j}"))
-        vs = values.agg(*v_aggs).first()
-        for j, (k, new_lo, new_hi) in enumerate(cands):
-            below, upto = vs[f"b{j}"], vs[f"u{j}"]
-            if below <= k < upto:
-                brackets[k] = (new_lo, new_hi, below)
-            else:
-                margin[k] *= 4
-    raise RuntimeError("exact_quantiles did not converge; raise max_rounds or accuracy")
+
+        if big:
+            # Every big bracket in one job: (bracket, bin) -> count, min, max.
+            tags = F.array(*[F.when(_inside(*g), F.struct(F.lit(i).alias("b"), _bin(*g, bins).alias("bin")))
+                             for i, g in enumerate(big)])
+            hist = (values.select(F.explode(tags).alias("t"), _X).filter(F.col("t").isNotNull())
+                    .groupBy(F.col("t.b").alias("b"), F.col("t.bin").alias("bin"))
+                    .agg(F.count(F.lit(1)).alias("c"), F.min(_X).alias("lo"), F.max(_X).alias("hi"))
+                    .orderBy("b", "bin").collect())
+            per_bins: dict[int, list[tuple[int, float, float]]] = {}
+            for r in hist:
+                per_bins.setdefault(r["b"], []).append((r["c"], r["lo"], r["hi"]))
+            for i, g in enumerate(big):
+                for k in groups[g]:
+                    seen = brackets[k][2]
+                    for c, blo, bhi in per_bins.get(i, []):
+                        if seen + c > k:
+                            brackets[k] = (blo, bhi, seen, c)
+                            break
+                        seen += c
+    raise RuntimeError("exact_quantiles did not converge")
 
 
 def non_null_values(df: DataFrame, column: str) -> DataFrame:
@@ -143,7 +150,7 @@ def non_null_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
-                    max_local: int = 100_000, accuracy: int = 20_000,
+                    max_local: int = 10_000, bins: int = 256,
                     n: int | None = None) -> list[float | None]:
     """Exact linearly interpolated quantiles of ``column`` (nulls and NaN
     skipped), with bounded memory per task and on the driver.  This is an
@@ -156,5 +163,5 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
         return [None for _ in probs]
     pos = [(n - 1) * p for p in probs]
     ranks = sorted({r for h in pos for r in (math.floor(h), math.ceil(h))})
-    vals = order_statistics(values, n, ranks, max_local, accuracy)
+    vals = order_statistics(values, ranks, max_local, bins)
     return [interpolate(vals, h) for h in pos]

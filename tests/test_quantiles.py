@@ -36,10 +36,10 @@ def skewed(spark):
     return vals, spark.createDataFrame([(v,) for v in vals], "x double").repartition(6)
 
 
-@pytest.mark.parametrize("max_local,accuracy", [(100_000, 20_000), (500, 200), (50, 100)])
-def test_matches_brute_force_whatever_the_number_of_rounds(skewed, max_local, accuracy):
+@pytest.mark.parametrize("max_local,bins", [(100_000, 256), (500, 16), (50, 4), (1, 2)])
+def test_matches_brute_force_whatever_the_number_of_rounds(skewed, max_local, bins):
     vals, df = skewed
-    got = exact_quantiles(df, "x", PROBS, max_local=max_local, accuracy=accuracy)
+    got = exact_quantiles(df, "x", PROBS, max_local=max_local, bins=bins)
     assert got == brute(vals, PROBS)
 
 
@@ -47,7 +47,20 @@ def test_same_bits_as_spark_percentile(spark, skewed):
     _, df = skewed
     clean = df.filter(~F.isnan("x"))
     sp = clean.agg(F.percentile("x", F.array(*map(F.lit, PROBS)))).first()[0]
-    assert exact_quantiles(df, "x", PROBS, max_local=50, accuracy=100) == sp
+    assert exact_quantiles(df, "x", PROBS, max_local=50, bins=4) == sp
+
+
+def test_infinities_extremes_and_single_values(spark):
+    rnd = random.Random(5)
+    vals = [float("-inf")] * 3 + [float("inf")] * 2 + [-1.7e308, 1.7e308, 5e-324, -5e-324, 0.0]
+    vals += [rnd.uniform(-1e6, 1e6) for _ in range(300)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    assert exact_quantiles(df, "x", PROBS, max_local=1, bins=2) == brute(vals, PROBS)
+    same = spark.createDataFrame([(7.5,)] * 1000, "x double")
+    assert exact_quantiles(same, "x", PROBS, max_local=1) == [7.5] * len(PROBS)
+    close = spark.createDataFrame([(1.0,), (1.0000000000000002,)] * 300, "x double")
+    assert exact_quantiles(close, "x", PROBS, max_local=1, bins=2) == \
+        brute([1.0, 1.0000000000000002] * 300, PROBS)
 
 
 def test_empty_column(spark):

@@ -165,3 +165,27 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
     ranks = sorted({r for h in pos for r in (math.floor(h), math.ceil(h))})
     vals = order_statistics(values, ranks, max_local, bins)
     return [interpolate(vals, h) for h in pos]
+
+
+def approx_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+                     k: int = 2048, fan_in: int = 64) -> list[list[float | None]]:
+    """Approximate quantiles of several columns from mergeable KLL sketches.
+
+    Each map task builds one sketch per column; the sketches are merged in at
+    most ``fan_in`` groups (by the task that built them), and those ``fan_in``
+    are merged once more.  So the last task receives ``fan_in`` sketches however
+    many map tasks there were (a global ``percentile_approx`` sends it one
+    buffer per map task).  Normalized rank error is about 1.65% x 200 / ``k``.
+    """
+    vals = [F.col(f"`{c}`").cast("double") for c in columns]
+    vals = [F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v) for v in vals]
+    group = F.pmod(F.spark_partition_id(), F.lit(fan_in)).alias("__g")
+    partial = df.groupBy(group).agg(*[F.kll_sketch_agg_double(v, k).alias(f"s{i}")
+                                      for i, v in enumerate(vals)])
+    merged = partial.agg(*[F.kll_merge_agg_double(f"s{i}", k).alias(f"s{i}")
+                           for i in range(len(columns))])
+    row = merged.select(*[
+        F.when(F.col(f"s{i}").isNotNull() & (F.kll_sketch_get_n_double(f"s{i}") > 0),
+               F.array(*[F.kll_sketch_get_quantile_double(f"s{i}", F.lit(float(p))) for p in probs]))
+        .alias(f"q{i}") for i in range(len(columns))]).first()
+    return [row[f"q{i}"] for i in range(len(columns))]

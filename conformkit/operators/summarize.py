@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conformkit.operators.quantiles import exact_quantiles
+from conformkit.operators.quantiles import approx_quantiles, exact_quantiles
 from conformkit.specs import MeasureSpec, SpecError, parse_type
 
 _NUMERIC_FUNCS = {"sum", "avg", "mean", "min", "max", "stddev"}
@@ -112,7 +112,7 @@ PROFILE_SCHEMA = ("column string, count bigint, mean double, std double, min dou
 
 
 def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True,
-            accuracy: int = 10000, digits: int | None = None,
+            accuracy: int = 2048, digits: int | None = None,
             max_distinct_in_memory: int = 1_000_000) -> DataFrame:
     """pandas ``describe`` for numeric columns (AGG-8, D18), one row per column:
     column, count, mean, std, min, p25, p50, p75, max.  NaN counts as missing,
@@ -130,8 +130,9 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = T
     * a column with more uses ``quantiles.exact_quantiles``: a few aggregate
       passes that never hold the column in one task.
 
-    ``exact=False`` takes ``percentile_approx`` quartiles in pass 1 (rank error
-    ≤ 1/accuracy).  ``digits`` rounds mean and std for reading: both are
+    ``exact=False`` takes approximate quartiles from mergeable KLL sketches
+    (``quantiles.approx_quantiles``, sketch size ``accuracy``), merged in two
+    levels so no task receives one sketch per map task.  ``digits`` rounds mean and std for reading: both are
     floating-point sums whose last bits depend on the order rows are added in
     (partitioning, engine).
     """
@@ -154,8 +155,6 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = T
                  F.max(x).alias(f"max{i}")]
         if exact:
             aggs.append(F.approx_count_distinct(x, 0.05).alias(f"nd{i}"))
-        else:
-            aggs.append(F.percentile_approx(x, F.array(*map(F.lit, probs)), accuracy).alias(f"q{i}"))
     stats = df.agg(*aggs).first()
 
     quartiles: dict[int, list[float | None]] = {}
@@ -178,7 +177,7 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = T
             if i not in quartiles:
                 quartiles[i] = exact_quantiles(df, columns[i], probs, n=stats[f"n{i}"])
     else:
-        quartiles = {i: stats[f"q{i}"] for i in range(len(columns))}
+        quartiles = dict(enumerate(approx_quantiles(df, columns, probs, k=accuracy)))
 
     def rnd(v):
         return None if v is None or digits is None else round_half_up(v, digits)

@@ -74,3 +74,14 @@ def test_profile_paths_agree(skewed):
     distributed = S.profile(df, ["x"], max_distinct_in_memory=0).first()
     assert in_memory == distributed
     assert in_memory["count"] == 29990
+
+
+def test_approx_quantiles_are_close_and_merge_in_two_levels(spark):
+    from conformkit.operators.quantiles import approx_quantiles
+    df = spark.range(0, 100_000, numPartitions=16).selectExpr("cast(id as double) as x", "cast(id % 7 as double) as y")
+    qx, qy = approx_quantiles(df, ["x", "y"], [0.25, 0.5, 0.75])
+    for got, want in zip(qx, [25_000, 50_000, 75_000]):
+        assert abs(got - want) <= 0.01 * 100_000
+    assert qy == [1.0, 3.0, 5.0]
+    empty = spark.createDataFrame([(None,)], "x double")
+    assert approx_quantiles(empty, ["x"], [0.5]) == [None]

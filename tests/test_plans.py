@@ -89,3 +89,18 @@ def test_left_join_carries_no_hint(spark):
     df = E.queries()["left_join"](spark, SF)
     logical = df._jdf.queryExecution().logical().toString()
     assert "broadcast" not in logical.lower()
+
+
+def test_slice_filter_on_a_derived_date_reaches_the_scan(spark):
+    # `cast(ts as date) = day`, written on the transformed column, is turned
+    # into a range on `ts` and pushed into Parquet, so row groups outside the
+    # day are skipped by their statistics.
+    from conformkit.plans.jobs import JobSpec, plan_job
+    from conformkit.specs import LoadSpec, SourceSpec
+    spec = LoadSpec.from_dict({
+        "targetTable": "/nonexistent/target", "load_type": "incremental",
+        "incremental_column": "load_date", "slice_mode": "slice",
+        "transformations": [{"column_name": "load_date", "expression": "cast(ts as date)"}]})
+    job = JobSpec("ev", SourceSpec("ev", f"{SF}/events.parquet", "parquet"), spec)
+    plan = _plan(plan_job(spark, job, dt.date(2024, 1, 15)).frame)
+    assert "GreaterThanOrEqual(ts,2024-01-15T00:00)" in plan and "LessThan(ts,2024-01-16T00:00)" in plan

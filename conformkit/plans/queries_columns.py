@@ -118,6 +118,8 @@ SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
 WHERE CAST(l_quantity AS INTEGER) % 3 = 0 AND CAST(l_quantity AS INTEGER) % 5 = 0
 """)
 def divisible(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The divisibility test IS the operator (multiples of 3 and 5); it runs over
+    # the whole lineitem table and is not a way of sampling it.
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     return li.filter(N.divisible_by(F.col("l_quantity").cast("int"), 3, 5))
 

@@ -20,10 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conformkit.operators.conform import align_to_target, apply_transformations
+from conformkit.operators.conform import align_to_target, apply_transformations, cast_rejects
 from conformkit.plans.load import LoadResult, load
 from conformkit.specs import ConnectionProfile, LoadSpec, SliceMode, SourceSpec, SpecError
 from conformkit.functions.dates import business_date
+from conformkit.session import path_exists
+from conformkit.sources.jdbc import table_schema
 from conformkit.sources.files import read_config, read_source
 
 
@@ -32,8 +34,13 @@ class JobSpec:
     """One service: where rows come from, how they are shaped, where they go.
 
     ``source`` is a ``SourceSpec`` or a callable ``(spark, run_date) -> DataFrame``
-    (the reference's ``get_sql_query``).  ``target_schema``, when given (or
-    probed from an existing target), aligns the rows to it (PRJ-4).
+    (the reference's ``get_sql_query``).  Rows are aligned (PRJ-4) to
+    ``target_schema`` when given, or, with ``align_to_target``, to the schema
+    probed from the existing target (SRC-10: no rows are read; a first load
+    has nothing to probe and is written as shaped).  ``safe_cast`` turns
+    values that do not fit the target type into nulls instead of failing the
+    job, and ``reject_path`` then receives those source rows with the names of
+    the failing columns (appended as Parquet).
     """
 
     name: str
@@ -43,12 +50,31 @@ class JobSpec:
     profile: ConnectionProfile | None = None
     source_id: str | None = None
     options: Mapping[str, object] = field(default_factory=dict)
+    align_to_target: bool = False
+    safe_cast: bool = False
+    reject_path: str | None = None
 
 
 @dataclass(frozen=True)
 class PlannedJob:
     job: JobSpec
     frame: DataFrame
+    rejects: DataFrame | None = None
+
+
+def probe_target_schema(spark: SparkSession, job: JobSpec) -> T.StructType | None:
+    """The existing target's schema, without reading its rows (SRC-10)."""
+    spec = job.load
+    if spec.format == "jdbc":
+        if job.profile is None:
+            raise SpecError(f"job {job.name!r}: a jdbc target needs a connection profile")
+        return table_schema(spark, job.profile, spec.target)
+    if not path_exists(spark, spec.target):
+        return None
+    reader = spark.read.format(spec.format)
+    if spec.format == "csv":
+        reader = reader.option("header", True).option("inferSchema", True)
+    return reader.load(spec.target).schema
 
 
 _REGISTRY: dict[str, Callable[..., JobSpec]] = {}
@@ -119,9 +145,17 @@ def plan_job(spark: SparkSession, job: JobSpec, run_date: dt.date) -> PlannedJob
         # FLT-3: only the business date's rows.  Written on the transformed
         # column; Catalyst moves the filter below the projection into the scan.
         df = df.filter(F.col(spec.incremental_column).cast("date") == F.lit(run_date))
-    if job.target_schema is not None:
-        df = align_to_target(df, job.target_schema)
-    return PlannedJob(job, df)
+    schema = job.target_schema
+    if schema is None and job.align_to_target:
+        schema = probe_target_schema(spark, job)
+    rejects = None
+    if schema is not None:
+        if job.reject_path:
+            if not job.safe_cast:
+                raise SpecError(f"job {job.name!r}: reject_path needs safe_cast")
+            rejects = cast_rejects(df, schema).withColumn("run_date", F.lit(run_date))
+        df = align_to_target(df, schema, safe_cast=job.safe_cast)
+    return PlannedJob(job, df, rejects)
 
 
 def run_jobs(spark: SparkSession, jobs: Iterable[JobSpec],
@@ -136,7 +170,12 @@ def run_jobs(spark: SparkSession, jobs: Iterable[JobSpec],
     targets = [p.job.load.target for p in planned]
     if len(set(targets)) != len(targets):
         raise SpecError(f"two jobs write the same target: {targets}")
-    return [load(spark, p.frame, p.job.load, day, p.job.profile) for p in planned]
+    results = []
+    for p in planned:
+        results.append(load(spark, p.frame, p.job.load, day, p.job.profile))
+        if p.rejects is not None:
+            p.rejects.write.mode("append").parquet(p.job.reject_path)
+    return results
 
 
 def run_services(spark: SparkSession, services_config: Mapping[str, Sequence[str]] | str,

@@ -183,3 +183,26 @@ def test_rows_with_a_null_load_date_survive_a_replace(spark, tmp_path):
     L.incremental_replace_files(spark, spark.createDataFrame([(9,)], "id int"), target, "load_date", DAY)
     got = sorted((r.id, r.load_date) for r in spark.read.parquet(target).collect())
     assert got == [(2, None), (3, dt.date(2024, 1, 1)), (9, DAY)]
+
+
+def test_jobs_align_to_an_existing_target_and_report_rejects(spark, tmp_path):
+    target = str(tmp_path / "t")
+    spark.createDataFrame([(1, 1.5)], "ID int, AMOUNT double").write.parquet(target)
+    src = str(tmp_path / "src.csv")
+    with open(src, "w") as f:
+        f.write("id,amount,extra\n2,2.5,x\n3,oops,y\n")
+    job = JobSpec("j", SourceSpec("s", src, "csv"), LoadSpec(target), align_to_target=True,
+                  safe_cast=True, reject_path=str(tmp_path / "rejects"))
+    run_jobs(spark, [job], DAY)
+    got = spark.read.parquet(target)
+    assert got.columns == ["ID", "AMOUNT"]
+    assert sorted(tuple(r) for r in got.collect()) == [(2, 2.5), (3, None)]
+    rej = spark.read.parquet(str(tmp_path / "rejects")).collect()
+    assert [(r.id, r.amount, r.rejected_columns, r.run_date) for r in rej] == [("3", "oops", ["AMOUNT"], DAY)]
+
+
+def test_first_load_has_no_target_to_align_to(spark, tmp_path):
+    job = JobSpec("j", SourceSpec("s", EVENTS, "parquet"), LoadSpec(str(tmp_path / "new")),
+                  align_to_target=True)
+    run_jobs(spark, [job], DAY)
+    assert spark.read.parquet(str(tmp_path / "new")).count() == spark.read.parquet(EVENTS).count()

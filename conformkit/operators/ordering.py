@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from conformkit.functions.numbers import seeded_order_key
 
@@ -21,9 +22,19 @@ def top_rows(df: DataFrame, n: int, order_by: Sequence[Column | str]) -> DataFra
     return df.orderBy(*order_by).limit(n)
 
 
-def sort_rows(df: DataFrame, order_by: Sequence[Column | str]) -> DataFrame:
-    """Ascending sort (SRT-2)."""
-    return df.orderBy(*order_by)
+def sort_rows(df: DataFrame, order_by: Sequence[Column | str], split_ties: bool = True) -> DataFrame:
+    """Sort (SRT-2).
+
+    A global sort range-partitions on its keys, and equal keys cannot be split
+    across ranges: a key value holding a third of the rows would land in one
+    task.  ``split_ties`` adds a hash of the whole row as the last key, so
+    rows tied on the requested keys spread over several ranges; the order the
+    caller asked for is unchanged (ties have no defined order anyway).
+    """
+    keys = list(order_by)
+    if split_ties:
+        keys.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    return df.orderBy(*keys)
 
 
 def seeded_order(df: DataFrame, key: str, seed: int) -> DataFrame:

@@ -39,5 +39,6 @@ def sort_rows(df: DataFrame, order_by: Sequence[Column | str], split_ties: bool
 
 def seeded_order(df: DataFrame, key: str, seed: int) -> DataFrame:
     """A shuffled but repeatable row order (SRT-4): sorted by a hash of the key
-    and the seed."""
-    return df.orderBy(seeded_order_key(key, seed), key)
+    and the seed, ties (rows sharing a key) by a hash of the whole row, so a
+    hot key also spreads over several sort ranges."""
+    return sort_rows(df, [seeded_order_key(key, seed), key])

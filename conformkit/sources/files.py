@@ -82,9 +82,9 @@ def empty(spark: SparkSession, schema: Any) -> DataFrame:
     return spark.createDataFrame([], as_schema(schema))
 
 
-def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_text_lines(spark: SparkSession, path: str, **options) -> DataFrame:
     """One row per line, column ``value`` (SRC-15)."""
-    return spark.read.text(path)
+    return spark.read.options(**options).text(path)
 
 
 def read_text_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -104,26 +104,26 @@ def document_lines(doc: Column | str = "value") -> Column:
 
 
 def read_json_documents(spark: SparkSession, path: str, schema: Any = None,
-                        mode: str = "PERMISSIVE") -> DataFrame:
+                        mode: str = "PERMISSIVE", **options) -> DataFrame:
     """Multi-line JSON (SRC-12): each file is one JSON value; a top-level array
     gives one row per element.  Unsplittable, one task per file."""
-    reader = spark.read.option("multiLine", True).option("mode", mode)
+    reader = spark.read.options(**options).option("multiLine", True).option("mode", mode)
     st = as_schema(schema)
     if st is not None:
         reader = reader.schema(st)
     return reader.json(path)
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: Any = None) -> DataFrame:
-    reader = spark.read
+def read_json_lines(spark: SparkSession, path: str, schema: Any = None, **options) -> DataFrame:
+    reader = spark.read.options(**options)
     st = as_schema(schema)
     if st is not None:
         reader = reader.schema(st)
     return reader.json(path)
 
 
-def read_parquet(spark: SparkSession, path: str, schema: Any = None) -> DataFrame:
-    reader = spark.read
+def read_parquet(spark: SparkSession, path: str, schema: Any = None, **options) -> DataFrame:
+    reader = spark.read.options(**options)
     st = as_schema(schema)
     if st is not None:
         reader = reader.schema(st)
@@ -185,13 +185,13 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
                 return read_csv_ddl(spark, spec.path, spec.schema, header=False, **opts)
             return read_csv_typed(spark, spec.path, spec.schema, header=spec.header, **opts)
         if fmt == "parquet":
-            return read_parquet(spark, spec.path, spec.schema)
+            return read_parquet(spark, spec.path, spec.schema, **opts)
         if fmt == "json":
-            return read_json_lines(spark, spec.path, spec.schema)
+            return read_json_lines(spark, spec.path, spec.schema, **opts)
         if fmt == "json_documents":
-            return read_json_documents(spark, spec.path, spec.schema)
+            return read_json_documents(spark, spec.path, spec.schema, **opts)
         if fmt == "text":
-            return read_text_lines(spark, spec.path)
+            return read_text_lines(spark, spec.path, **opts)
         if fmt == "table":
             return spark.table(spec.path or spec.name)
         if fmt == "jdbc":

@@ -59,3 +59,12 @@ def test_persisted_releases_the_cache(spark):
         assert d.storageLevel == StorageLevel.MEMORY_AND_DISK
         assert d.count() == 10 and d.agg(F.sum("x")).first()[0] == 55
     assert df.storageLevel == StorageLevel.NONE
+
+
+def test_source_options_reach_every_reader(spark, tmp_path):
+    from conformkit.specs import SourceSpec
+    spark.range(3).write.parquet(str(tmp_path / "root" / "a"))
+    spark.range(3, 5).write.parquet(str(tmp_path / "root" / "deeper" / "b"))
+    spec = SourceSpec("nested", str(tmp_path / "root"), "parquet",
+                      options={"recursiveFileLookup": "true"})
+    assert SRC.read_source(spark, spec).count() == 5

@@ -259,6 +259,16 @@ class SliceMode(enum.Enum):
     SNAPSHOT = "snapshot"
     SLICE = "slice"
 
+    @classmethod
+    def parse(cls, value: str | SliceMode | None) -> SliceMode:
+        if isinstance(value, SliceMode):
+            return value
+        v = (value or "snapshot").strip().lower()
+        for m in cls:
+            if m.value == v:
+                return m
+        raise SpecError(f"unknown slice_mode {value!r}; use 'snapshot' or 'slice'")
+
 
 @dataclass(frozen=True)
 class LoadSpec:
@@ -289,7 +299,7 @@ class LoadSpec:
             incremental_column=d.get("incremental_column"),
             transformations=transforms_from(d.get("transformations")),
             format=str(d.get("format", "parquet")).lower(),
-            slice_mode=SliceMode(str(d.get("slice_mode", "snapshot")).lower()),
+            slice_mode=SliceMode.parse(d.get("slice_mode")),
         )
 
 

@@ -67,6 +67,10 @@ def test_load_config_shape():
                                                     "expression": "current_date() - 1"}]})
     assert spec.load_type is LoadType.INCREMENTAL and spec.incremental_column == "mis_date"
     assert LoadSpec.from_dict({"targetTable": "T1", "load_type": "FULL"}).load_type is LoadType.FULL
+    with pytest.raises(SpecError, match="slice_mode"):
+        LoadSpec.from_dict({"targetTable": "T1", "slice_mode": "daily"})
+    with pytest.raises(SpecError, match="targetTable"):
+        LoadSpec.from_dict({"load_type": "full"})
 
 
 def test_profiles_read_password_from_environment(monkeypatch):

@@ -6,6 +6,7 @@ transformations collapses into one Project in the optimized plan.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -31,6 +32,44 @@ def check_case_unique(df: DataFrame, source: str = "input") -> DataFrame:
     return df
 
 
+def _mentions(expression: str, names: Iterable[str]) -> bool:
+    """Whether ``expression`` may refer to any of ``names`` (or to every
+    column, via ``*``).  Textual and conservative: a false alarm only splits a
+    batch."""
+    if re.search(r"(^|[(,.])\s*\*", expression):  # `*`, `f(*)`, `t.*`: every column
+        return True
+    low = expression.lower()
+    return any(re.search(rf"(?<![\w$]){re.escape(n.lower())}(?![\w$])", low) for n in names)
+
+
+def _batches(transforms: list[Transform]) -> list[list[Transform]]:
+    """Split the ordered transformations into runs that can be applied at once:
+    no transformation in a run reads or redefines a column set earlier in the
+    same run."""
+    runs: list[list[Transform]] = []
+    current: list[Transform] = []
+    defined: set[str] = set()
+    for t in transforms:
+        name = t.column_name.lower()
+        if current and (name in defined or _mentions(t.expression, defined)):
+            runs.append(current)
+            current, defined = [], set()
+        current.append(t)
+        defined.add(name)
+    if current:
+        runs.append(current)
+    return runs
+
+
+def _apply_one(df: DataFrame, t: Transform, source: str) -> DataFrame:
+    try:
+        return df.withColumn(t.column_name, F.expr(t.expression))
+    except (ParseException, AnalysisException) as e:
+        raise ConformError(
+            f"source {source!r}, column {t.column_name!r}: cannot apply "
+            f"{t.expression!r}: {e}") from e
+
+
 def apply_transformations(df: DataFrame, transforms: Iterable[Transform | dict],
                           source: str = "input") -> DataFrame:
     """Apply ``column_name := expression`` in order (PRJ-1).
@@ -39,15 +78,21 @@ def apply_transformations(df: DataFrame, transforms: Iterable[Transform | dict],
     the last wins (D10).  ``column_name`` wins over an alias inside the
     expression (D8).  An existing column is matched without case, keeps its
     position and takes the new spelling (D9).
+
+    Independent neighbours are applied together with one ``withColumns`` (one
+    analysis, one Project) instead of one ``withColumn`` each, so configs with
+    hundreds of columns do not build hundreds of nested projections.
     """
-    for t in transforms:
-        t = t if isinstance(t, Transform) else Transform.from_dict(t)
+    ts = [t if isinstance(t, Transform) else Transform.from_dict(t) for t in transforms]
+    for run in _batches(ts):
+        if len(run) == 1:
+            df = _apply_one(df, run[0], source)
+            continue
         try:
-            df = df.withColumn(t.column_name, F.expr(t.expression))
-        except (ParseException, AnalysisException) as e:
-            raise ConformError(
-                f"source {source!r}, column {t.column_name!r}: cannot apply "
-                f"{t.expression!r}: {e}") from e
+            df = df.withColumns({t.column_name: F.expr(t.expression) for t in run})
+        except (ParseException, AnalysisException):
+            for t in run:  # replay one by one to name the failing column
+                df = _apply_one(df, t, source)
     return df
 
 

@@ -266,3 +266,25 @@ def test_keys_and_measures_can_come_from_the_job(spark, marks):
     out = M.summary(spark, bare, keys=["source_key"],
                     measures=[MeasureSpec("n", "count_star"), MeasureSpec("hi", "max", "mark")])
     assert sorted((r.source_key, r.n, r.hi) for r in out.collect()) == [("KL", 2, 80), ("TN", 4, 100)]
+
+
+def test_many_independent_transformations_batch_into_one_projection(spark):
+    import time
+    df = spark.range(5).withColumn("base", F.col("id") * 2)
+    ts = [{"column_name": f"c{i}", "expression": f"base + {i}"} for i in range(300)]
+    ts += [{"column_name": "total", "expression": "c0 + c299"},     # reads this batch: new run
+           {"column_name": "BASE", "expression": "base * 10"}]     # redefines: same position
+    t0 = time.time()
+    out = C.apply_transformations(df, ts)
+    assert time.time() - t0 < 30
+    r = out.filter("id = 1").first()
+    assert (r.c0, r.c299, r.total, r.BASE) == (2, 301, 303, 20)
+    assert out.columns[:2] == ["id", "BASE"]
+    assert C._batches([C.Transform(t["column_name"], t["expression"]) for t in ts]).__len__() == 2
+
+
+def test_batching_keeps_sequential_meaning():
+    from conformkit.specs import Transform
+    runs = C._batches([Transform("x", "x + 1"), Transform("y", "X * 10"), Transform("z", "q * 2"),
+                       Transform("w", "struct(*)"), Transform("x", "1"), Transform("v", "count(*)")])
+    assert [[t.column_name for t in r] for r in runs] == [["x"], ["y", "z"], ["w", "x"], ["v"]]

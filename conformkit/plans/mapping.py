@@ -18,7 +18,7 @@ from conformkit.operators.conform import (
     conform_and_union,
 )
 from conformkit.operators.summarize import summarize
-from conformkit.sinks.files import write_csv, write_parquet
+from conformkit.sinks.files import append_partitioned, write_csv, write_parquet
 from conformkit.specs import MappingSpec, MeasureSpec, SpecError
 from conformkit.sources.files import read_config, read_source
 
@@ -59,15 +59,19 @@ def run_mapping(spark: SparkSession, spec: MappingSpec,
                 frames: Mapping[str, DataFrame] | None = None,
                 output_format: str = "csv",
                 keys: Sequence[str] | None = None,
-                measures: Sequence[MeasureSpec | dict] | None = None) -> DataFrame:
+                measures: Sequence[MeasureSpec | dict] | None = None,
+                partition_by: Sequence[str] = (), mode: str = "overwrite") -> DataFrame:
     """Run the mapping and, if ``output_path`` is set, write the summary there
-    (overwrite; CSV with header, SNK-1).  Returns the summary frame."""
+    (CSV with header by default, SNK-1; or Parquet, optionally appended and
+    partitioned, e.g. by ``source_key``, SNK-2).  Returns the summary frame."""
     out = summary(spark, spec, frames, keys=keys, measures=measures)
     if spec.output_path:
-        if output_format == "csv":
-            write_csv(out, spec.output_path)
+        if partition_by and mode == "append":
+            append_partitioned(out, spec.output_path, list(partition_by))
+        elif output_format == "csv":
+            write_csv(out, spec.output_path, mode=mode)
         else:
-            write_parquet(out, spec.output_path)
+            write_parquet(out, spec.output_path, mode=mode, partition_by=tuple(partition_by))
     return out
 
 

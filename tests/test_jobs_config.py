@@ -89,3 +89,16 @@ def test_services_from_config_file(spark, write_text_file, tmp_path):
     got = spark.read.parquet(str(tmp_path / "daily"))
     want = spark.read.parquet(events).filter(F.col("ts").cast("date") == F.lit(day)).count()
     assert got.count() == want > 0
+
+
+def test_mapping_summary_appended_partitioned_by_source(spark, write_text_file, tmp_path):
+    a = write_text_file("a2.csv", "id,v\n1,10\n2,5\n")
+    cfg = {"data_sources": [{"source_name": "A", "path": a, "transformations": [
+        {"column_name": "source_key", "expression": "'A'"}]}],
+        "output_path": str(tmp_path / "parts")}
+    spec = load_mapping(spark, write_text_file("m2.json", json.dumps(cfg)))
+    for _ in range(2):
+        run_mapping(spark, spec, keys=["source_key", "id"], measures=[{"name": "n", "func": "count_star"}],
+                    output_format="parquet", partition_by=["source_key"], mode="append")
+    assert (tmp_path / "parts" / "source_key=A").is_dir()
+    assert spark.read.parquet(str(tmp_path / "parts")).count() == 4  # appended twice

@@ -133,3 +133,28 @@ def white_class() -> np.ndarray:
     t = np.ones(256, np.uint8)
     t[[ord(c) for c in WHITE]] = 0
     return t
+
+
+def summed(df: DataFrame, count, rows: int, width: int) -> np.ndarray:
+    """The sum over all rows of ``df`` of a (rows x width) integer matrix.
+
+    ``count(batch, total)`` adds one Arrow batch to the task's matrix.  Each task
+    gives one row per non-zero matrix row; Spark sums them, so what reaches the
+    driver is one matrix of that fixed size, however large ``df`` is."""
+    names = [f"c{i}" for i in range(width)]
+
+    def run(batches):
+        total = np.zeros((rows, width), np.int64)
+        for b in batches:
+            count(b, total)
+        at = np.flatnonzero(total.any(1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at), *[pa.array(total[at, i]) for i in range(width)]], ["r", *names])
+
+    schema = "r long, " + ", ".join(f"{n} long" for n in names)
+    sums = (df.mapInArrow(run, schema).groupBy("r")
+            .agg(*[F.sum(n).alias(n) for n in names]).toArrow())
+    out = np.zeros((rows, width), np.int64)
+    if sums.num_rows:
+        out[sums["r"].to_numpy()] = np.stack([sums[n].to_numpy() for n in names], 1)
+    return out

@@ -17,10 +17,9 @@ sequence to its border, 1 in some thousands.
 A null text is an empty one (a piece with id 0 alone).  Repeated rows are packed
 each on its own.  An empty table gives an empty result.  Other columns are not read.
 
-Tokens: a text whose characters the tokenizer's normaliser cannot compose
-(ASCII, Latin-1, Latin Extended-A) is split into words by the tokenizer's own pattern and
-each distinct word is encoded once per task; any other text is encoded whole.
-``tests/llm`` compares both.
+Tokens: a text of plain characters (ASCII, Latin-1, Latin Extended-A) is split
+into words by the tokenizer's own pattern and each distinct word is encoded once
+per task; any other text is encoded whole.  ``tests/llm`` compares both.
 """
 
 from __future__ import annotations
@@ -37,7 +36,7 @@ from .common import table, written
 
 TOKENS = 2048
 GROUP = 8192  # pieces packed together; a task's size, not a limit on anything
-CACHE = 200_000  # words remembered by a task; the rest are encoded again
+CACHE = 500_000  # words remembered by a task (about 75 MB); beyond it they are encoded again
 
 
 class WordEncoder:
@@ -45,56 +44,73 @@ class WordEncoder:
 
     def __init__(self, path: str):
         import os
+        import re
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        # The split pattern of the vocabulary file (a fixed value).
-        self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
-        # Characters that stay as they are under NFC next to any others of them
-        # and have a one-character lower case; U+0130 and U+0149 do not.
-        self.plain = regex.compile(r"[\x00-\x7f\xa0-įı-ňŊ-ž]*").fullmatch
+        # Plain characters: printable ones up to U+017E and usual white space.
+        # NFC leaves any text of them as it is, and each has a one-character
+        # lower case among them (U+0130 and U+0149 do not).
+        self.plain = re.compile("[\t\n\r -~\xa1-\u012f\u0131-\u0148\u014a-\u017e]*").fullmatch
+        # The split pattern of the vocabulary file (a fixed value), its classes
+        # written out for plain lower-case characters: letters, numbers, the rest.
+        letters, numbers = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017e", "0-9\xb2\xb3\xb9\xbc-\xbe"
+        self.words = re.compile(
+            rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+").findall
         self.special = tuple(t.content for t in self.tok.get_added_tokens_decoder().values())
+        vocab = self.tok.get_vocab(with_added_tokens=False)
+        self.last = np.zeros(max(vocab.values()) + 1, bool)  # tokens that end a word
+        self.last[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
         self.reset()
 
     def reset(self) -> None:
         self.number: dict[str, int] = {}
-        self.parts: list[np.ndarray] = []
-        self.n = 0
-        self.ids = np.zeros(0, np.uint32)
-        self.start = np.zeros(1, np.int64)
+        self.ids, self.start = np.zeros(1 << 20, np.uint32), np.zeros(1 << 19, np.int64)
 
     def learn(self, new: list[str]) -> None:
-        if not new:
-            return
-        found = [e.ids for e in self.tok.encode_batch_fast(new, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for f in found for i in f), np.uint32, int(sizes.sum()))
-        for w in new:
-            self.number[w] = len(self.number)
-        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
-        self.ids = np.concatenate([self.ids, flat])
-
-    def encode(self, text: str) -> np.ndarray:
-        if not self.plain(text) or any(s in text for s in self.special):
-            return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
-        words = self.words(text.lower())
-        if not words:
-            return np.zeros(0, np.uint32)
+        """Remember the ids of words; a text of words with spaces between is
+        encoded at once and cut where a token ends a word."""
+        for at in range(0, len(new), 4096):
+            part = new[at:at + 4096]
+            flat = np.array(self.tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.last[flat]) + 1
+            if len(ends) != len(part):
+                raise ValueError("a word of the split pattern is not one word of the vocabulary")
+            n = len(self.number)
+            used = self.start[n]
+            while len(self.start) <= n + len(part):
+                self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+            while len(self.ids) < used + len(flat):
+                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            self.start[n + 1:n + 1 + len(part)] = used + ends
+            self.ids[used:used + len(flat)] = flat
+            self.number.update(zip(part, range(n, n + len(part))))
+
+    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+        out: list[np.ndarray | None] = [None] * len(texts)
+        words: list[str] = []
+        upto, which = [], []
+        for i, text in enumerate(texts):
+            if self.plain(text) and not any(s in text for s in self.special):
+                words += self.words(text.lower())
+                upto.append(len(words))
+                which.append(i)
+            else:
+                out[i] = np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
         if len(self.number) > CACHE:
             self.reset()
-        get = self.number.get
-        at = [get(w, -1) for w in words]
-        if -1 in at:
-            number = self.number
-            self.learn(list(dict.fromkeys(w for w in words if w not in number)))
-            at = [number[w] for w in words]
-        at = np.array(at, np.int64)
-        first, size = self.start[at], self.start[at + 1] - self.start[at]
+        self.learn(list(set(words) - self.number.keys()))
+        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        first = self.start[at]
+        size = self.start[at + 1] - first
         ends = np.cumsum(size)
-        return self.ids[np.arange(ends[-1]) + np.repeat(first - (ends - size), size)]
+        flat = self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - size), size)]
+        cuts = np.concatenate([[0], ends])[[0, *upto]]
+        for k, i in enumerate(which):
+            out[i] = flat[cuts[k]:cuts[k + 1]]
+        return out
 
 
 def pieces(docs: DataFrame, tokenizer: str, tokens: int = TOKENS) -> DataFrame:
@@ -104,11 +120,12 @@ def pieces(docs: DataFrame, tokenizer: str, tokens: int = TOKENS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(tokenizer)
         for b in batches:
-            for at in range(0, b.num_rows, 256):  # a few texts as Python strings at a time
+            for at in range(0, b.num_rows, 256):  # a few texts' words at a time
                 part = b.slice(at, 256)
                 out = []
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = np.append(encoder.encode(text or ""), np.uint32(0)).astype("<u4")
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                for doc, ids in zip(part.column(0).to_pylist(), encoder.encode_batch(texts)):
+                    ids = np.append(ids, np.uint32(0)).astype("<u4")
                     for k, s in enumerate(range(0, len(ids), tokens)):
                         cut = ids[s:s + tokens]
                         out.append((doc, k, s, len(cut), zlib.crc32(cut.tobytes())))

@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, exact_dedup, langid, mixing, packing, sharding, url_filter
+from . import ann, chat_format, exact_dedup, langid, mixing, packing, quality, sharding, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_rank_order_language": langid.op1_rank_order_language,
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+        "op3_pruned_graph_search": ann.op3_pruned_graph_search,
         "op5_hash_tree_sharding": sharding.op5_hash_tree_sharding,
         "op6_chat_format": chat_format.op6_chat_format,
+        "op7_random_indexing_quality": quality.op7_random_indexing_quality,
         "op8_url_language_model": url_filter.op8_url_language_model,
         "op9_min_cost_mixing": mixing.op9_min_cost_mixing,
         "op10_vector_best_fit": packing.op10_vector_best_fit,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, chat_format, exact_dedup, langid, mixing, packing, quality, sharding, url_filter
+from . import ann, chat_format, exact_dedup, langid, mixing, near_dedup, packing, quality, sharding, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_rank_order_language": langid.op1_rank_order_language,
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op3_pruned_graph_search": ann.op3_pruned_graph_search,
+        "op4_weighted_minhash": near_dedup.op4_weighted_minhash,
         "op5_hash_tree_sharding": sharding.op5_hash_tree_sharding,
         "op6_chat_format": chat_format.op6_chat_format,
         "op7_random_indexing_quality": quality.op7_random_indexing_quality,

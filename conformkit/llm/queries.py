@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from . import ann, chat_format, exact_dedup, langid, mixing, near_dedup, packing, quality, sharding, url_filter
 
 
@@ -21,8 +23,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_language_model": url_filter.op8_url_language_model,
         "op9_min_cost_mixing": mixing.op9_min_cost_mixing,
         "op10_vector_best_fit": packing.op10_vector_best_fit,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.OP2_SQL, "op6_chat_format": chat_format.OP6_SQL}
+    sql = {"op2_exact_dedup": exact_dedup.OP2_SQL, "op6_chat_format": chat_format.OP6_SQL,
+           "pipeline": corpus_pipeline.ORACLE_SQL}
+    return {name: text for name, text in sql.items() if text}

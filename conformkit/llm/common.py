@@ -135,6 +135,22 @@ def white_class() -> np.ndarray:
     return t
 
 
+def freed(run):
+    """A task function for mapInArrow that hands its freed memory back to the
+    system at its end: Python workers live on from stage to stage."""
+    def go(batches):
+        yield from run(batches)
+        import ctypes
+        import gc
+
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+    return go
+
+
 def summed(df: DataFrame, count, rows: int, width: int) -> np.ndarray:
     """The sum over all rows of ``df`` of a (rows x width) integer matrix.
 
@@ -152,7 +168,7 @@ def summed(df: DataFrame, count, rows: int, width: int) -> np.ndarray:
             [pa.array(at), *[pa.array(total[at, i]) for i in range(width)]], ["r", *names])
 
     schema = "r long, " + ", ".join(f"{n} long" for n in names)
-    sums = (df.mapInArrow(run, schema).groupBy("r")
+    sums = (df.mapInArrow(freed(run), schema).groupBy("r")
             .agg(*[F.sum(n).alias(n) for n in names]).toArrow())
     out = np.zeros((rows, width), np.int64)
     if sums.num_rows:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import table, text_buffers
+from .common import freed, table, text_buffers
 
 PROFILE = 300  # n-grams of a profile, and of a document
 MAX_LANGUAGES = 2_000  # more are refused, not cut
@@ -144,7 +144,7 @@ def counted_per_language(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 def train(docs: DataFrame, k: int = PROFILE) -> dict[str, np.ndarray]:
     """{language: n-gram codes in rank order} from the text and lang of docs."""
     rows = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
-    counts = (rows.mapInArrow(counted_per_language, "lang string, gram long, n long")
+    counts = (rows.mapInArrow(freed(counted_per_language), "lang string, gram long, n long")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     # Codes are unsigned: those with the top bit (2-grams) come after the others.
     order = W.partitionBy("lang").orderBy(F.desc("n"), F.col("gram") < 0, "gram")
@@ -202,7 +202,7 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), lang, pa.array(score)],
                                              ["doc_id", "lang_pred", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return docs.select("doc_id", "text").mapInArrow(freed(run), "doc_id long, lang_pred string, score double")
 
 
 def accepted(docs: DataFrame, profiles: dict[str, np.ndarray], least_score: float = 0.0) -> DataFrame:
@@ -217,7 +217,7 @@ def accepted(docs: DataFrame, profiles: dict[str, np.ndarray], least_score: floa
             which, score = scorer.judge(b.column(at), letters)
             yield b.filter(pa.array((which >= 0) & (score > least_score)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(freed(run), docs.schema)
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:

@@ -32,11 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import freed, table, written
 
 TOKENS = 2048
 GROUP = 8192  # pieces packed together; a task's size, not a limit on anything
-CACHE = 500_000  # words remembered by a task (about 75 MB); beyond it they are encoded again
+CACHE = 200_000  # words remembered by a task (about 30 MB); beyond it they are encoded again
 
 
 class WordEncoder:
@@ -133,7 +133,7 @@ def pieces(docs: DataFrame, tokenizer: str, tokens: int = TOKENS) -> DataFrame:
                     [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), *[pa.int64()] * 3))],
                     ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(freed(run), schema)
 
 
 def best_fit(length: np.ndarray, capacity=(TOKENS, TOKENS, TOKENS ** 2), weights=(1.0, 0.05, 0.05),

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Powers, runs, span_hashes, summed, table, text_buffers, white_class
+from .common import Powers, freed, runs, span_hashes, summed, table, text_buffers, white_class
 from .langid import held_out
 
 WORDS, DIM, NONZERO, WINDOW = 1 << 14, 32, 4, 2
@@ -175,7 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, vectors: np.ndarray) -> Network:
 
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # MAX_TRAIN rows at most
     found = (rows.select("doc_id", F.col("y").cast("int").alias("y"), "text")
-             .mapInArrow(run, "doc_id long, y int, x array<double>")
+             .mapInArrow(freed(run), "doc_id long, y int, x array<double>")
              .groupBy("doc_id").agg(F.min(F.struct("x", "y")).alias("r")).orderBy("doc_id").collect())
     x = np.array([r["r"]["x"] for r in found]).reshape(-1, DIM)
     return Network(x, np.array([r["r"]["y"] for r in found], float))
@@ -189,7 +189,7 @@ def scored(docs: DataFrame, vectors: np.ndarray, network: Network) -> DataFrame:
             score = network.score(pooled(b.column("text"), vectors, classes, powers))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(score)], ["doc_id", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+    return docs.select("doc_id", "text").mapInArrow(freed(run), "doc_id long, score double")
 
 
 def op7_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

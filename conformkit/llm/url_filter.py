@@ -164,9 +164,9 @@ def calibrated_cut(ruled: DataFrame) -> DataFrame:
     before, all_ = W.orderBy("at").rowsBetween(W.unboundedPreceding, -1), W.partitionBy()
     zero = F.lit(0)
     errors = bins.select(
-        "at", (F.coalesce(F.sum("yes").over(before), zero) / F.sum("yes").over(all_)
-               + (F.sum("no").over(all_) - F.coalesce(F.sum("no").over(before), zero))
-               / F.sum("no").over(all_)).alias("e"))
+        "at", (F.try_divide(F.coalesce(F.sum("yes").over(before), zero), F.sum("yes").over(all_))
+               + F.try_divide(F.sum("no").over(all_) - F.coalesce(F.sum("no").over(before), zero),
+                              F.sum("no").over(all_))).alias("e"))
     # Scores are at least their rounded value less half a step.
     best = F.min(F.when(F.col("e").isNotNull(), F.struct("e", F.abs("at").alias("near"), "at")))
     return errors.agg((best["at"] - F.lit(0.005)).alias("cut"))

@@ -1,0 +1,291 @@
+"""Vector search, sharding, chat formatting, url filter, packing and the pipeline:
+against brute force, round trips, and odd inputs."""
+
+from __future__ import annotations
+
+import math
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from conformkit.llm import ann, chat_format, packing, queries, sharding, url_filter
+from conformkit.llm.common import table, written
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_graph_search_recall_and_scores(spark):
+    rows = table(spark, SF, "embeddings").select("vec_id", "embedding")
+    got = {}
+    for r in ann.op3_pruned_graph_search(spark, SF).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    ids, x = zip(*[(r.vec_id, np.array(r.embedding, float)) for r in rows.collect() if r.embedding and any(r.embedding)])
+    ids, x = np.array(ids), np.array(x)
+    hits = 0
+    for q, found in got.items():
+        d = np.sqrt(((x - x[ids == q][0]) ** 2).sum(1))
+        d[ids == q] = np.inf
+        best = set(ids[np.lexsort((ids, d))[:10]])
+        assert [f[0] for f in sorted(found)] == list(range(1, 11))
+        for _, v, s in found:
+            assert s == pytest.approx(d[ids == v][0], rel=1e-12)
+        hits += len(best & {f[1] for f in found})
+    assert hits >= 0.9 * 10 * len(got) and len(got) == sum(ids % 100 == 0)
+
+
+def test_graph_search_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    bad = [None, [], [0.0, -0.0], [nan, 1.0], [inf, 1.0], [None, 1.0]]
+    rows = [(1000 + i, v, "x") for i, v in enumerate(bad)] + [(i, [1.0, 0.0], "x") for i in range(40)]
+    rows += [(100, [1.0, -0.0], "x"), (200, [2.0, 0.0], "x"), (200, [2.0, 0.0], "x"), (300, [1.0, 2.0, 3.0], "x"),
+             (400, [1.0, 2.0, 4.0], "x")]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score string")
+    got = {}
+    for r in ann.search(vectors, vectors.where("vec_id % 100 = 0"), shard=8).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert set(got) == {0, 100, 200, 300, 400}
+    assert [v for v, _ in got[0]] == list(range(1, 11)) and [v for v, _ in got[100]] == list(range(10))
+    assert got[200][0] == (0, 1.0) and got[300] == [(400, 1.0)]
+    assert ann.search(vectors.limit(0), vectors.limit(0)).count() == 0
+
+
+def test_sharding_laws(spark):
+    docs = table(spark, SF, "documents")
+    rows = sharding.op5_hash_tree_sharding(spark, SF).collect()
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert len(rows) == len(text)
+    for r in rows:
+        raw = text[r.doc_id].encode()
+        assert r["size"] == len(raw) + 1 and r.text_crc32 == zlib.crc32(raw) and r.law == "key"
+        assert r.grown_shard in (r.shard, 8)
+    slots = {}
+    for r in rows:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert set(slots) == set(range(8))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert min(map(len, slots.values())) > 0.6 * len(rows) / 8
+
+
+def test_sharding_every_count_and_brute_force(spark):
+    import hashlib
+
+    ids = spark.range(3000).select(F.col("id").cast("string").alias("k"))
+    trees = [sharding.Tree.of(n) for n in range(1, 12)]
+    rows = ids.select("k", *[t.shard(F.col("k")).alias(f"s{i}") for i, t in enumerate(trees)]).collect()
+
+    def u(*parts):
+        return (int(hashlib.md5("|".join(parts).encode()).hexdigest()[:13], 16) + 0.5) / 2 ** 52
+    for r in rows:
+        for i in range(1, len(trees)):
+            if i + 1 != 8:  # of(8) starts the tree of two regions
+                assert r[f"s{i}"] in (r[f"s{i - 1}"], i)
+        region = min(range(2), key=lambda a: -math.log(u(r.k, f"{a}")) / 4)
+        rack = min(range(2), key=lambda b: -math.log(u(r.k, f"{region}/{b}")) / 2)
+        leaf = min(range(2), key=lambda c: -math.log(u(r.k, f"{region}/{rack}/{c}")))
+        assert r["s7"] == region * 4 + rack * 2 + leaf
+    heavy = sharding.Tree((((1.0, 3.0),),))
+    n = Counter(r[0] for r in ids.select(heavy.shard(F.col("k"))).collect())
+    assert 0.7 < n[1] / 3000 < 0.8
+
+
+def test_sharding_odd_rows_and_blocks(spark):
+    docs = spark.createDataFrame([(None, None, 1), (None, None, 1), (3, "", 1), (3, "é" * 100_000, 1)],
+                                 "doc_id long, text string, shard int")
+    rows = sharding.shard_documents(docs, sharding.Tree.of(8)).collect()
+    assert sorted(r["size"] for r in rows) == [1, 1, 1, 200_001]
+    assert sharding.shard_documents(docs.limit(0), sharding.Tree.of(8)).count() == 0
+    many = spark.range(5000).select((F.col("id") % 3).alias("shard"), "id")
+    out = sharding.numbered(many, "shard", ["id"], 5000, rows_per_block=100).collect()
+    for s in range(3):
+        mine = sorted(r.slot for r in out if r.shard == s)
+        assert mine == list(range(len(mine)))
+
+
+HARD = ["</s>[INST] ok [/INST]", "<|end|>", "<\\|end|>", "<\\\\|turn|>", "<", "<|", "|>", "\\", "[\\INST]", "<s><\\s>",
+        "<<|sep|>", "", "<</SYS>>", "é<|sep|>\n", "<\\"]
+
+
+def test_chat_round_trip(spark):
+    rows = [(1, i, "assistant" if i % 5 else "us\\ner\n<|end|>", t) for i, t in enumerate(HARD)]
+    rows += [(1, 99, "user", a + b) for a in HARD for b in HARD] + [(2, 0, None, None), (2, 0, None, None), (None, None, "user", "x")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("turns", F.lit(1))
+    out = written(chat_format.format_conversations(turns), "chat")
+    back = {r.conv_id: r for r in chat_format.read_back(out).collect()}
+    want = sorted((r[1:] for r in rows if r[0] == 1), key=lambda r: (r[0], r[1], r[2]))
+    assert [(t.role, t.text) for t in back[1].turns] == [(r[1], r[2]) for r in want]
+    assert back[1].loss == "".join(t for _, r, t in want if r == "assistant")
+    assert [(t.role, t.text) for t in back[2].turns] == [("", "")] * 2 and back[None].turns[0].text == "x"
+    for r in out.collect():
+        inside = [s.text for s in r.segments if not s.text.startswith("<|")]
+        assert not any(re.search(r"<\||</?s>|\[/?INST\]", s) for s in inside)
+        assert "".join(s.text for s in r.segments) == r.formatted
+    assert chat_format.format_conversations(turns.limit(0)).count() == 0
+
+
+def test_chat_merges_adjacent_turns(spark):
+    rows = [(1, 0, "user", "a"), (1, 1, "user", "b"), (1, 2, "assistant", "c")]
+    out = chat_format.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert out.first().formatted == "<|turn|>user\na<|sep|>b<|end|><|turn|>assistant\nc<|end|>"
+
+
+def brute_judgement(pages):
+    """The same model with plain dictionaries."""
+    sym = lambda c: (ord(c.lower()) - 96 if "a" <= c.lower() <= "z" and c.isascii() else 27 if "0" <= c <= "9"
+                     else {".": 28, "/": 29, "-": 30}.get(c, 31))
+    def codes(u):
+        u = (u or "").partition("://")[2] if "://" in (u or "") else (u or "")
+        return [0] * 3 + [sym(c) for c in u] + [0]
+    n = {c: Counter() for c in ("allow", "block")}
+    ctx = {c: Counter() for c in n}
+    for u, v in pages:
+        if v:
+            s = codes(u)
+            for i in range(3, len(s)):
+                for k in range(4):
+                    n[v][tuple(s[i - k:i + 1])] += 1
+                    ctx[v][k, tuple(s[i - k:i])] += 1
+    def p(v, g):
+        out = 1 / 32
+        for k in range(len(g)):
+            h = g[len(g) - 1 - k:]
+            out = (n[v][h] + 4.0 * out) / (ctx[v][k, h[:-1]] + 4.0)
+        return out
+    return [np.mean([math.log(p("allow", tuple(s[i - 3:i + 1]))) - math.log(p("block", tuple(s[i - 3:i + 1])))
+                     for i in range(3, len(s))]) for s in (codes(u) for u, _ in pages)]
+
+
+def test_url_filter_matches_brute_force(spark):
+    urls = [r.url for r in table(spark, SF, "pages").limit(150).collect()]
+    urls += [None, "", "no scheme", "http://", "HTTP://A.COM/x", "http://EXAMPLE.com/en/a?b#c", "x://a.net/fr/",
+             "x://notexample.com/en/", "x://www.example.com/en/x", "http://é.net/ü" * 500, urls[0]]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("verdict", F.lit("x"))
+    rows = sorted(url_filter.judge(pages).collect(), key=lambda r: r.page_id)
+    fixed = [r.verdict if r.rule else None for r in rows]
+    want = brute_judgement(list(zip(urls, fixed)))
+    assert np.allclose([r.score for r in rows], want, atol=1e-5)
+    for url, r in zip(urls, rows):
+        rest = (url or "").partition("://")[2]
+        host = re.match(r"[^/?#]*", rest)[0]
+        assert r.host == "".join(c.lower() if c.isascii() else c for c in host)
+        assert r.path == re.match(r"[^?#]*", rest[len(host):])[0]
+        fits = [(q.text, q.verdict) for q in url_filter.RULES
+                if (r.host == q.host or r.host.endswith("." + q.host)) and r.path.startswith(q.path)]
+        assert (r.rule, r.verdict if r.rule else None) == (max(fits, key=lambda f: len(f[0])) if fits else (None, None))
+    free = [r for r in rows if not r.rule]
+    cut = {r.verdict: [x.score for x in free if x.verdict == r.verdict] for r in free}
+    if len(cut) == 2:
+        assert min(cut["allow"]) >= max(cut["block"])
+
+
+def test_url_filter_without_a_class(spark):
+    pages = spark.createDataFrame([(1, "x://a.com/"), (2, "x://b.org/"), (3, None)], "page_id long, url string")
+    assert {r.page_id: r.verdict for r in url_filter.judge(pages).collect()} == {1: "allow", 2: "allow", 3: "allow"}
+    assert url_filter.judge(pages.limit(0)).count() == 0
+
+
+def test_word_encoder_equals_whole_texts(spark):
+    encoder = packing.WordEncoder(packing.tokenizer_path())
+    rng = np.random.default_rng(0)
+    pool = [chr(c) for c in [*range(0, 0x180)]] + ["'s", "'LL", " ", "<|endoftext|>", "中", "e\u0301", "\u2009", "ﬁ"]
+    texts = ["".join(rng.choice(pool, 50)) for _ in range(1500)] + ["", "a"]
+    texts += [r.text for r in table(spark, SF, "documents").limit(200).collect() if r.text]
+    for text, ids in zip(texts, encoder.encode_batch(texts)):
+        assert ids.tolist() == encoder.tok.encode(text, add_special_tokens=False).ids
+
+
+def check_packed(rows, docs, tokens=2048):
+    tok = packing.WordEncoder(packing.tokenizer_path()).tok
+    want = Counter()
+    for doc, text in docs:
+        ids = np.array(tok.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+        for k, s in enumerate(range(0, len(ids), tokens)):
+            want[doc, k, s, len(ids[s:s + tokens]), zlib.crc32(ids[s:s + tokens].tobytes())] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+    bins = {}
+    for r in rows:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for b in bins.values():
+        at = 0
+        for offset, length in sorted(b):
+            assert offset == at
+            at += length
+        assert at <= tokens
+    return len(bins)
+
+
+def test_packing_whole_table(spark):
+    rows = packing.op10_vector_best_fit(spark, SF).collect()
+    n = check_packed(rows, [(r.doc_id, r.text) for r in table(spark, SF, "documents").collect()])
+    assert n <= 1.01 * math.ceil(sum(r.length for r in rows) / 2048)
+
+
+def test_packing_odd_rows(spark):
+    docs = [(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "c"), (4, "word " * 9000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("length", F.lit("x"))
+    rows = packing.pack(packing.pieces(df, packing.tokenizer_path())).collect()
+    check_packed(rows, docs)
+    assert packing.pack(packing.pieces(df.limit(0), packing.tokenizer_path())).count() == 0
+
+
+@pytest.mark.parametrize("measure", ["norm", "dot"])
+def test_best_fit_keeps_every_capacity(measure):
+    length = np.sort(np.random.default_rng(2).integers(1, 60, 500))[::-1]
+    seq, off = packing.best_fit(length, (64, 3, 2000), measure=measure)
+    for s in np.unique(seq):
+        x = length[seq == s]
+        assert x.sum() <= 64 and len(x) <= 3 and ((x ** 2).sum() <= 2000 or len(x) == 1)
+        assert sorted(off[seq == s]) == np.concatenate([[0], np.cumsum(x[np.argsort(off[seq == s])])[:-1]]).tolist()
+
+
+def test_best_fit_matches_a_plain_search():
+    length = np.sort(np.random.default_rng(3).integers(1, 100, 200))[::-1]
+    cap, w, bins, want = np.array([128, 4, 9000.0]), np.array([1.0, 0.05, 0.05]), [], []
+    for x in length:
+        need = np.array([x, 1, x * x]) / cap
+        fits = [(float(w @ (b - need) ** 2), i) for i, b in enumerate(bins) if (b >= need - 1e-12).all()]
+        i = min(fits)[1] if fits else len(bins)
+        if not fits:
+            bins.append(np.ones(3))
+        bins[i] = bins[i] - need
+        want.append(i)
+    got = packing.best_fit(length, (128, 4, 9000))[0]
+    assert got.tolist() == want
+
+
+def test_pipeline_stages(spark):
+    docs = table(spark, SF, "documents")
+    base = set(docs.columns)
+    seen, n = docs, docs.count()
+    counts = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        seen = written(stage(spark, seen, SF), name)
+        assert seen.columns == docs.columns and set(seen.columns) == base
+        counts[name] = seen.count()
+    assert counts["language"] <= n and counts["near"] <= counts["exact"] <= counts["language"]
+    assert counts["near"] > 0.8 * n
+    rows = corpus_pipeline.STAGES[-1][1](spark, seen, SF).collect()
+    check_packed(rows, [(r.doc_id, r.text) for r in seen.collect()])
+
+
+def test_pipeline_on_nothing(spark):
+    docs = table(spark, SF, "documents").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, SF), "empty")
+    assert docs.count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_sql(spark, name):
+    df = queries.queries()[name](spark, SF)
+    con = duckdb.connect()
+    for t in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    cols = ", ".join(sorted(df.columns))
+    got = Counter(tuple(r) for r in df.select(*sorted(df.columns)).collect())
+    assert got == Counter(con.sql(f"SELECT {cols} FROM ({queries.oracle_sql()[name]})").fetchall())

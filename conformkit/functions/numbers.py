@@ -27,17 +27,23 @@ def plus_ten_percent(c: Column | str) -> Column:
     return x + x / 10
 
 
+def _seeded(key: Column | str, seed: int) -> Column:
+    """52 bits of md5(key|seed): a hash that other engines have too."""
+    text = F.concat(_c(key).cast("string"), F.lit(f"|{seed}"))
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
+
+
 def seeded_int(key: Column | str, seed: int, low: int = 0, high: int = 100) -> Column:
     """A repeatable 'random' integer in [low, high] per key (MTH-3): a hash of
     the key and the seed, so a re-run task (lost executor) yields the same
     value, unlike ``rand()`` whose result depends on partitioning."""
     span = high - low + 1
-    return (F.pmod(F.xxhash64(_c(key), F.lit(seed)), F.lit(span)) + F.lit(low)).cast("int")
+    return (_seeded(key, seed) % F.lit(span) + F.lit(low)).cast("int")
 
 
 def seeded_order_key(key: Column | str, seed: int) -> Column:
     """Sort key for a repeatable shuffle of rows (SRT-4)."""
-    return F.xxhash64(_c(key), F.lit(seed))
+    return _seeded(key, seed)
 
 
 def compare_label(a: Column | str, b) -> Column:

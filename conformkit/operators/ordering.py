@@ -33,7 +33,10 @@ def sort_rows(df: DataFrame, order_by: Sequence[Column | str], split_ties: bool
     """
     keys = list(order_by)
     if split_ties:
-        keys.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+        # A map has no hash; the other columns split the ties.
+        hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+        if hashed:
+            keys.append(F.xxhash64(*hashed))
     return df.orderBy(*keys)
 
 

@@ -3,8 +3,8 @@
 Every aggregate here is algebraic (count, sum, min, max, avg, stddev) and so
 runs as partial aggregate → shuffle on the keys → final aggregate: a key that
 holds a third of all rows is collapsed to one row per map task before the
-shuffle, so hot keys do not pile up in one reducer.  The exact percentile in
-``profile`` is the one holistic aggregate; see its docstring.
+shuffle, so hot keys do not pile up in one reducer.  Exact quartiles
+in ``profile`` come from bounded sketches; see ``quantiles``.
 """
 
 from __future__ import annotations
@@ -21,6 +21,17 @@ from conformkit.specs import MeasureSpec, SpecError, parse_type
 _NUMERIC_FUNCS = {"sum", "avg", "mean", "min", "max", "stddev"}
 
 
+def _column(df: DataFrame, name: str) -> str:
+    """The column that ``name`` means, without regard to case (D9); an exact match
+    comes first."""
+    if name in df.columns:
+        return name
+    found = [c for c in df.columns if c.lower() == name.lower()]
+    if not found:
+        raise SpecError(f"no column {name!r}")
+    return found[0]
+
+
 def _measure(df: DataFrame, m: MeasureSpec, null_sum_as_zero: bool) -> Column:
     func = m.func.lower()
     if func == "count_star" or (func == "count" and m.column in (None, "*")):
@@ -28,10 +39,11 @@ def _measure(df: DataFrame, m: MeasureSpec, null_sum_as_zero: bool) -> Column:
     else:
         if not m.column:
             raise SpecError(f"measure {m.name!r}: {func} needs a column")
-        c = F.col(m.column)
+        source = _column(df, m.column)
+        c = F.col(f"`{source}`")
         if m.cast:
             c = c.cast(parse_type(m.cast))
-        elif func in _NUMERIC_FUNCS and isinstance(df.schema[m.column].dataType, T.StringType):
+        elif func in _NUMERIC_FUNCS and isinstance(df.schema[source].dataType, T.StringType):
             # D2: text compared as text gives max('100','90','9') = '90'.
             c = c.cast(T.DoubleType())
         if func == "count":
@@ -72,7 +84,10 @@ def summarize(df: DataFrame, keys: Sequence[str], measures: Iterable[MeasureSpec
     if drop_null_keys and keys:
         cond = F.lit(True)
         for k in keys:
-            cond = cond & F.col(k).isNotNull()
+            source = _column(df, k)
+            cond = cond & F.col(f"`{source}`").isNotNull()
+            if isinstance(df.schema[source].dataType, (T.FloatType, T.DoubleType)):
+                cond = cond & ~F.isnan(F.col(f"`{source}`"))  # pandas drops NaN keys too
         df = df.filter(cond)
     out = df.groupBy(*keys).agg(*[_measure(df, m, null_sum_as_zero) for m in ms])
     return out.orderBy(*keys) if order_by_keys and keys else out
@@ -112,23 +127,15 @@ PROFILE_SCHEMA = ("column string, count bigint, mean double, std double, min dou
 
 
 def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True,
-            accuracy: int = 2048, digits: int | None = None,
-            max_distinct_in_memory: int = 1_000_000) -> DataFrame:
+            accuracy: int = 2048, digits: int | None = None) -> DataFrame:
     """pandas ``describe`` for numeric columns (AGG-8, D18), one row per column:
     column, count, mean, std, min, p25, p50, p75, max.  NaN counts as missing,
     as in pandas.  This is an action (it runs its aggregates now) and returns
     a small frame of the results.
 
-    Pass 1 is one aggregate over all columns: count, mean, std, min, max and an
-    approximate distinct count (fixed-size sketches, so it is safe at any
-    size).  Quartiles are then exact, interpolated as pandas / ``quantile_cont``:
-
-    * a column with at most ``max_distinct_in_memory`` distinct values: a
-      distributed count per (column, value), then Spark's frequency-weighted
-      ``percentile`` over those counts; its final merge receives each distinct
-      value once (bounded), not one value map per map task;
-    * a column with more uses ``quantiles.exact_quantiles``: a few aggregate
-      passes that never hold the column in one task.
+    Count, mean, std, min and max are one aggregate over all columns.  Quartiles
+    are exact, interpolated as pandas / ``quantile_cont`` (``quantiles.exact_quantiles``:
+    one job per pass for all columns, the same at every size).
 
     ``exact=False`` takes approximate quartiles from mergeable KLL sketches
     (``quantiles.approx_quantiles``, sketch size ``accuracy``), merged in two
@@ -153,31 +160,12 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = T
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"),
                  F.stddev_samp(x).alias(f"std{i}"), F.min(x).alias(f"min{i}"),
                  F.max(x).alias(f"max{i}")]
-        if exact:
-            aggs.append(F.approx_count_distinct(x, 0.05).alias(f"nd{i}"))
     stats = df.agg(*aggs).first()
 
-    quartiles: dict[int, list[float | None]] = {}
     if exact:
-        bounded = [i for i in range(len(columns)) if stats[f"nd{i}"] <= max_distinct_in_memory]
-        if bounded:
-            # Count each (column, value) first: the shuffle spreads distinct
-            # values over tasks and map-side combining collapses repeats, so the
-            # final percentile sees every distinct value once, weighted by its
-            # count, instead of one value map from every map task.
-            pairs = df.select(F.explode(F.array(*[
-                F.struct(F.lit(i).alias("c"), val(columns[i]).alias("v")) for i in bounded])).alias("s"))
-            counted = (pairs.select("s.c", "s.v").filter(F.col("v").isNotNull())
-                       .groupBy("c", "v").count())
-            got = (counted.groupBy("c")
-                   .agg(F.percentile("v", F.array(*map(F.lit, probs)), F.col("count")).alias("q"))
-                   .collect())
-            quartiles.update({r["c"]: r["q"] for r in got})
-        for i in range(len(columns)):
-            if i not in quartiles:
-                quartiles[i] = exact_quantiles(df, columns[i], probs, n=stats[f"n{i}"])
+        quartiles = exact_quantiles(df, columns, probs, [stats[f"n{i}"] for i in range(len(columns))])
     else:
-        quartiles = dict(enumerate(approx_quantiles(df, columns, probs, k=accuracy)))
+        quartiles = approx_quantiles(df, columns, probs, k=accuracy)
 
     def rnd(v):
         return None if v is None or digits is None else round_half_up(v, digits)

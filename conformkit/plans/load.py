@@ -118,6 +118,19 @@ def _swap_in(spark: SparkSession, staging: str, target: str) -> None:
         fs.delete(old, True)
 
 
+def check_layout(spark: SparkSession, target: str, column: str) -> None:
+    """Refuse a target whose files are not partitioned by ``column``: a slice next
+    to files at the root would hide their rows from readers."""
+    fs, root = hadoop_path(spark, target)
+    if not fs.exists(root):
+        return
+    for entry in fs.listStatus(root):
+        name = entry.getPath().getName()
+        if not name.startswith(("_", ".")) and not (
+                entry.isDirectory() and name.lower().startswith(f"{column.lower()}=")):
+            raise SpecError(f"{target} is not partitioned by {column!r} ({name}); load it in full first")
+
+
 def incremental_replace_files(spark: SparkSession, df: DataFrame, target: str, column: str,
                               run_date: dt.date | str, fmt: str = "parquet") -> LoadResult:
     """Replace the ``column = run_date`` slice of a file target with ``df``
@@ -125,6 +138,7 @@ def incremental_replace_files(spark: SparkSession, df: DataFrame, target: str, c
     the slice replaced cannot disagree.  Running it twice gives the same target
     as running it once; other slices are untouched.
     """
+    check_layout(spark, target, column)
     new = stamp(df, column, run_date)
     name = [f.name for f in new.schema.fields if f.name.lower() == column.lower()][0]
     if new.isEmpty():
@@ -215,7 +229,9 @@ def load(spark: SparkSession, df: DataFrame, spec: LoadSpec, run_date: dt.date |
             raise SpecError("an incremental load needs a run_date")
         return incremental_replace_files(spark, df, spec.target, spec.incremental_column,
                                          run_date, spec.format)
-    full_load_files(df, spec.target, spec.format)
+    if spec.incremental_column and spec.incremental_column.lower() not in [c.lower() for c in df.columns]:
+        df = stamp(df, spec.incremental_column, run_date)
+    full_load_files(df, spec.target, spec.format, spec.partition_by)
     return LoadResult(spec.target, "full", run_date, None)
 
 

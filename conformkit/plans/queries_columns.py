@@ -17,7 +17,6 @@ from conformkit.functions import strings as STR
 from conformkit.operators import joins as J
 from conformkit.operators import ordering as O
 from conformkit.plans.catalog import query, table
-from conformkit.session import spread_undersplit
 
 # ------------------------------------------------------------------ strings
 
@@ -87,7 +86,7 @@ SELECT doc_id, pos, word FROM (
 WHERE starts_with(word, 's')
 """)
 def words_with_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread_undersplit(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     # posexplode numbers every word of the whole text from 0 in the same task
     # that holds the row: no shuffle, no window.
     exploded = docs.select("doc_id", F.posexplode(STR.words("text")).alias("pos", "word"))
@@ -153,7 +152,10 @@ def labels_when(spark: SparkSession, sf_dir: str) -> DataFrame:
                     N.even_or_odd_label("p_size").alias("even_or_odd"))
 
 
-@query("seeded_int", "MTH-3")
+@query("seeded_int", "MTH-3", """
+SELECT o_orderkey, CAST(('0x' || substr(md5(o_orderkey || '|42'), 1, 13))::BIGINT % 101 AS INTEGER) AS lucky_number
+FROM orders
+""")
 def seeded_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select("o_orderkey", N.seeded_int("o_orderkey", 42).alias("lucky_number"))
@@ -218,7 +220,7 @@ def map_basics(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Parse once into a column: every use below reads the parsed map instead of
     # re-running from_json (Catalyst keeps a projection whose expensive result
     # is used several times).
-    e = spread_undersplit(table(spark, sf_dir, "events").select("event_id", "props")).select(
+    e = table(spark, sf_dir, "events").select("event_id", "props").select(
         "event_id", "props", MP.parse_json_map("props").alias("m"))
     m = F.col("m")
     return e.select(
@@ -286,10 +288,13 @@ def sort_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.sort_rows(o, ["o_totalprice", "o_orderkey"])
 
 
-@query("seeded_order", "SRT-4")
+@query("seeded_order", "SRT-4", """
+SELECT o_orderkey, o_totalprice, ('0x' || substr(md5(o_orderkey || '|42'), 1, 13))::BIGINT AS order_key
+FROM orders ORDER BY order_key, o_orderkey
+""")
 def seeded_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    return O.seeded_order(o, "o_orderkey", 42)
+    return O.seeded_order(o.withColumn("order_key", N.seeded_order_key("o_orderkey", 42)), "o_orderkey", 42)
 
 
 # ------------------------------------------------------------------ pairing
@@ -301,7 +306,7 @@ SELECT doc_id, CAST(len(w) - 1 AS INTEGER) AS n_pairs,
 FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents)
 """)
 def positional_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread_undersplit(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").select(
         "doc_id", STR.words("text").alias("w"))
     # Each word paired with the next one over the whole text: zip with the
     # array shifted by one, shortest wins.

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +19,11 @@ from conformkit.operators.conform import union_conformed
 from conformkit.operators.joins import left_join
 from conformkit.plans.catalog import query, table
 from conformkit.plans.jobs import JobSpec, run_jobs
-from conformkit.plans.load import full_load_files, incremental_replace_files
+from conformkit.plans.load import full_load_files, incremental_replace_files, load
 from conformkit.session import scratch_path, write_small_text
 from conformkit.sinks import files as SNK
 from conformkit.sources import files as SRC
-from conformkit.specs import LoadSpec, SourceSpec
+from conformkit.specs import LoadSpec, LoadType, SourceSpec
 
 NATION_DDL = "n_nationkey INT, n_name STRING, n_regionkey INT"
 EVENTS_DDL = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
@@ -95,8 +96,8 @@ def service_source_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The source relation a service names (PRJ-7: the whole table, `select *`),
     # and the service's projection written as SQL text (PRJ-6).  Only the
     # columns the SQL uses are read from the files.
-    table(spark, sf_dir, "lineitem").createOrReplaceTempView("share_holdings_src")
-    src = SRC.read_source(spark, SourceSpec("share_holdings", "share_holdings_src", "table"))
+    table(spark, sf_dir, "lineitem").createOrReplaceTempView("nation_rows_src")
+    src = SRC.read_source(spark, SourceSpec("nation_rows", "nation_rows_src", "table"))
     return spark.sql("""
         SELECT CAST(l_shipdate AS DATE) AS mis_date, l_partkey AS instrument, l_quantity AS qty,
                l_extendedprice / l_quantity AS avg_cost, l_extendedprice AS invested
@@ -148,10 +149,26 @@ def partitioned_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "events-by-type")
     day = F.col("ts").cast("date")
     SNK.append_partitioned(ev.filter(day < F.lit(RUN_DATE)), path, ["event_type"])
-    SNK.append_partitioned(ev.filter(day >= F.lit(RUN_DATE)), path, ["event_type"])
+    SNK.append_partitioned(ev.filter((day >= F.lit(RUN_DATE)) | day.isNull()), path, ["event_type"])
     return SRC.read_parquet(spark, path, EVENTS_DDL).select(*ev.columns)
 
 
+@query("full_then_incremental", "LOD-1 LOD-2 LOD-3", f"""
+SELECT *, CAST(ts AS DATE) AS load_date FROM events
+WHERE CAST(ts AS DATE) IS DISTINCT FROM DATE '{RUN_DATE}'
+UNION ALL
+SELECT * REPLACE (value * 2 AS value), CAST(ts AS DATE) FROM events WHERE CAST(ts AS DATE) = DATE '{RUN_DATE}'
+""")
+def full_then_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full load of every event, then one day replaced, through one LoadSpec."""
+    ev = table(spark, sf_dir, "events").withColumn("load_date", F.col("ts").cast("date"))
+    full = LoadSpec(scratch_path(spark, "full-then-incremental"), incremental_column="load_date")
+    load(spark, ev, full, None)
+    day = ev.filter(F.col("load_date") == F.lit(RUN_DATE)).withColumn("value", F.col("value") * 2)
+    load(spark, day, replace(full, load_type=LoadType.INCREMENTAL), RUN_DATE)
+    return SRC.read_parquet(spark, full.target, f"{EVENTS_DDL}, load_date date").select(*ev.columns)
+
+
 @query("left_join", "JON-1", """
 SELECT d.doc_id, d.lang, l.quality, l.toxic
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id

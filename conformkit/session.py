@@ -1,14 +1,13 @@
 """Scratch locations and small session helpers.
 
 Intermediate files (round-trip tests of file formats, staging slices) go under the
-shared folder the cluster names in ``spark.checkpoint.dir``.  Only when that is
-unset (local tests) do we pick a local folder and register it.
+shared folder the cluster names in ``spark.checkpoint.dir``.  A cluster that names
+none is refused; a local session uses a folder below its warehouse.
 """
 
 from __future__ import annotations
 
 import contextlib
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -17,13 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session, set only if missing."""
+    """The shared checkpoint folder of the session."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="conformkit-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return root.rstrip("/")
 
 
@@ -103,19 +103,3 @@ def write_small_text(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(data))
     finally:
         out.close()
-
-
-def spread_undersplit(df: DataFrame) -> DataFrame:
-    """Round-robin a frame over the session's default parallelism only when it
-    has fewer partitions than that (e.g. one big file with one row group), and
-    leave it untouched otherwise.  For CPU-heavy per-row work (whole-text
-    splitting, JSON parsing) on an under-split input; a large input already
-    has one task per split and pays no shuffle here."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access: leave as is
-        return df
-    if current >= target:
-        return df
-    return df.repartition(target)

@@ -7,9 +7,8 @@ re-run and no partial file becomes visible.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,34 +47,17 @@ def write_text(df: DataFrame, path: str, column: str | None = None, mode: str =
     df.select(F.col(col).cast("string").alias("value")).write.mode(mode).text(path)
 
 
-def _json_array_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    # Per task: "[", then each record ("," before all but the first), then "]".
-    # The text writer joins rows with newlines, so every file written is one
-    # valid multi-line JSON array.  Memory per batch only.
-    yield pd.DataFrame({"value": ["["]})
-    first = True
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        v = pdf["json"].astype(str)
-        if first:
-            v = pd.concat([v.iloc[:1], "," + v.iloc[1:]], ignore_index=True)
-            first = False
-        else:
-            v = "," + v
-        yield pd.DataFrame({"value": v.to_numpy()})
-    yield pd.DataFrame({"value": ["]"]})
-
-
-def write_json_documents(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write one multi-line JSON array document per task (the shape SRC-12 reads).
-
-    Records are serialised JVM-side (``to_json``); Python only adds the array
-    brackets and commas.  Files are bounded by the partition size.
-    """
-    records = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("json"))
-    lines = records.mapInPandas(_json_array_lines, "value string")
-    lines.write.mode(mode).text(path)
+def write_json_documents(df: DataFrame, path: str, mode: str = "overwrite",
+                         records_per_document: int = 10_000) -> None:
+    """Write multi-line JSON array documents (the shape SRC-12 reads), one per
+    file.  Up to ``records_per_document`` records of one task form a document,
+    built by ``to_json`` and array functions; each document is a row of its own
+    file whatever ``spark.sql.files.maxRecordsPerFile`` says."""
+    records = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("json"),
+                        F.floor(F.monotonically_increasing_id() / records_per_document).alias("document"))
+    documents = records.groupBy("document").agg(F.array_join(F.collect_list("json"), ",\n").alias("all"))
+    (documents.select(F.concat(F.lit("[\n"), "all", F.lit("\n]")).alias("value"))
+     .write.option("maxRecordsPerFile", 1).mode(mode).text(path))
 
 
 def preview(df: DataFrame, n: int = 20, order_by: Sequence[str] = ()) -> DataFrame:

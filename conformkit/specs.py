@@ -283,10 +283,16 @@ class LoadSpec:
     transformations: tuple[Transform, ...] = ()
     format: str = "parquet"
     slice_mode: SliceMode = SliceMode.SNAPSHOT
+    partition_by: tuple[str, ...] = ()
 
     def __post_init__(self):
         if self.load_type is LoadType.INCREMENTAL and not self.incremental_column:
             raise SpecError("incremental load needs incremental_column")
+        if not self.partition_by and self.incremental_column:
+            # Full and incremental loads of one target must agree on its layout.
+            object.__setattr__(self, "partition_by", (self.incremental_column,))
+        if self.incremental_column and [c.lower() for c in self.partition_by] != [self.incremental_column.lower()]:
+            raise SpecError("a target with incremental_column is partitioned by that column alone")
 
     @classmethod
     def from_dict(cls, d: Mapping[str, Any]) -> LoadSpec:
@@ -300,6 +306,7 @@ class LoadSpec:
             transformations=transforms_from(d.get("transformations")),
             format=str(d.get("format", "parquet")).lower(),
             slice_mode=SliceMode.parse(d.get("slice_mode")),
+            partition_by=tuple(d.get("partition_by") or ()),
         )
 
 

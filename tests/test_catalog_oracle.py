@@ -8,10 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from conformkit.plans import catalog
 from tools.oracle_check import TABLES, digest, spark_type
 
 SF = "/root/testdata/sf0.01"
-NAMES = sorted(E.queries())
+NAMES = sorted(catalog.queries())
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +29,7 @@ def test_every_query_has_an_operator_list_and_most_have_an_oracle():
     es = entries()
     assert all(e.operators for e in es.values())
     no_oracle = sorted(k for k, e in es.items() if e.sql is None)
-    assert no_oracle == ["seeded_int", "seeded_order"]
+    assert no_oracle == []
 
 
 def test_entry_smoke(spark):

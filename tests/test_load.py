@@ -150,13 +150,13 @@ def test_services_resolve_from_the_registry_only(tmp_path):
 def test_jdbc_job_reading_its_own_target_is_refused():
     from conformkit.specs import ConnectionProfile
     url = "jdbc:none://db/x"
-    src = SourceSpec("holdings", "SELECT mis_date, qty FROM public.T1_SHARE_HOLDINGS", "jdbc",
+    src = SourceSpec("holdings", "SELECT mis_date, qty FROM public.CARGO_DAYS", "jdbc",
                      options={"url": url})
-    tgt = LoadSpec("T1_SHARE_HOLDINGS", LoadType.INCREMENTAL, "mis_date", format="jdbc")
+    tgt = LoadSpec("CARGO_DAYS", LoadType.INCREMENTAL, "mis_date", format="jdbc")
     job = JobSpec("loop", src, tgt, profile=ConnectionProfile(url=url))
     with pytest.raises(SpecError, match="same"):
         plan_job(None, job, DAY)
-    other = JobSpec("ok", SourceSpec("h", "SELECT * FROM T1_SHARE_HOLDINGS_SRC", "jdbc",
+    other = JobSpec("ok", SourceSpec("h", "SELECT * FROM CARGO_DAYS_SRC", "jdbc",
                                      options={"url": url}), tgt, profile=ConnectionProfile(url=url))
     from conformkit.plans.jobs import _reads_target
     assert not _reads_target(other)

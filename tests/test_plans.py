@@ -36,19 +36,10 @@ def test_mapping_summary_unions_without_shuffle_and_aggregates_once(spark):
 def test_word_positions_need_no_key_shuffle(spark):
     plan = _plan(E.queries()["words_with_prefix"](spark, SF))
     # Numbering happens in the task holding the row: no window, no shuffle by key.
-    # (A one-file input is only spread round-robin over the cores.)
-    assert "hashpartitioning" not in plan and "Window" not in plan
+    assert "Exchange" not in plan and "Window" not in plan
     assert "Generate" in plan and "posexplode" in plan
 
 
-def test_spread_is_a_no_op_on_split_inputs(spark):
-    from conformkit.session import spread_undersplit
-    wide = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism)
-    assert spread_undersplit(wide) is wide
-    narrow = spark.range(0, 1000, numPartitions=1)
-    assert spread_undersplit(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-
-
 def test_top_rows_is_a_per_task_top_n(spark):
     plan = _plan(E.queries()["top_rows"](spark, SF))
     assert "TakeOrderedAndProject" in plan

@@ -108,7 +108,9 @@ TEST_TURN = "</s>[INST] ok [/INST]"
 
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    extra = spark.createDataFrame([(-1, 0, "user", TEST_TURN), (-1, 1, "assistant", TEST_TURN)], rows.schema)
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    made = {"conv_id": F.lit(-1), "turn": F.col("id"), "role": role, "text": F.lit(TEST_TURN)}
+    extra = spark.range(2).select(*[made[f.name].cast(f.dataType).alias(f.name) for f in rows.schema])
     back = read_back(format_conversations(rows.unionByName(extra)))
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return back.select(

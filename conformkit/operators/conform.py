@@ -108,7 +108,10 @@ def conformed_schema(frames: Sequence[DataFrame],
     """The one schema all sources are projected to.
 
     Declared (name, type) pairs win; otherwise names in first-seen order over
-    the frames and the first-seen type (D1, D23).
+    the frames (D1, D23), each with a type that holds every source's values:
+    untyped nulls give way to any type, text and another simple type give text,
+    the rest widen as Spark widens them.  Types without a common one are refused
+    here, before any job runs.
     """
     declared = list(declared)
     if declared:
@@ -116,10 +119,31 @@ def conformed_schema(frames: Sequence[DataFrame],
     fields: dict[str, T.StructField] = {}
     for df in frames:
         for f in df.schema.fields:
-            fields.setdefault(f.name.lower(), T.StructField(f.name, f.dataType, True))
+            first = fields.get(f.name.lower())
+            name = first.name if first else f.name
+            typ = _common_type(df, name, first.dataType, f.dataType) if first else f.dataType
+            fields[name.lower()] = T.StructField(name, typ, True)
     return T.StructType(list(fields.values()))
 
 
+def _common_type(df: DataFrame, name: str, a: T.DataType, b: T.DataType) -> T.DataType:
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    nested = (T.ArrayType, T.MapType, T.StructType, T.BinaryType)
+    if isinstance(a, T.StringType) or isinstance(b, T.StringType):
+        if not isinstance(a, nested) and not isinstance(b, nested):
+            return T.StringType()
+    else:
+        try:
+            both = F.coalesce(F.lit(None).cast(a), F.lit(None).cast(b))
+            return df.sparkSession.range(0).select(both).schema[0].dataType
+        except AnalysisException:
+            pass
+    raise ConformError(f"column {name!r}: no common type of {a.simpleString()} and {b.simpleString()}")
+
+
 def conform_to(df: DataFrame, schema: T.StructType, source: str = "input",
                safe_cast: bool = False) -> DataFrame:
     """Project ``df`` to exactly ``schema``: matched columns cast to the declared

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conformkit.operators.conform import align_to_target, apply_transformations, cast_rejects
-from conformkit.plans.load import LoadResult, load
+from conformkit.plans.load import LoadResult, incremental_replace_files, load
 from conformkit.specs import ConnectionProfile, LoadSpec, SliceMode, SourceSpec, SpecError
 from conformkit.functions.dates import business_date
 from conformkit.session import path_exists
@@ -116,12 +116,13 @@ def _source_identity(job: JobSpec) -> str | None:
 def _same_location(a: str | None, b: str | None) -> bool:
     if not a or not b:
         return False
-    norm = lambda p: p.rstrip("/").lower().removeprefix("file:")
-    return norm(a) == norm(b)
+    one, two = ("/" + p.removeprefix("file:").strip("/") + "/" for p in (a, b))
+    return one.startswith(two) or two.startswith(one)  # the same folder or one inside the other
 
 
 def _reads_target(job: JobSpec) -> bool:
-    """D16: does the job read the relation it writes?  Files: same path.  JDBC:
+    """D16: does the job read the relation it writes?  Files: same path, or one
+    inside the other.  JDBC:
     same URL and the target table named in the source SQL."""
     if _same_location(_source_identity(job), job.load.target):
         return True
@@ -174,7 +175,8 @@ def run_jobs(spark: SparkSession, jobs: Iterable[JobSpec],
     for p in planned:
         results.append(load(spark, p.frame, p.job.load, day, p.job.profile))
         if p.rejects is not None:
-            p.rejects.write.mode("append").parquet(p.job.reject_path)
+            # One folder per run date, replaced: a rerun does not add rejects twice.
+            incremental_replace_files(spark, p.rejects, p.job.reject_path, "run_date", day)
     return results
 
 

@@ -27,7 +27,7 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -141,18 +141,19 @@ def incremental_replace_files(spark: SparkSession, df: DataFrame, target: str, c
     check_layout(spark, target, column)
     new = stamp(df, column, run_date)
     name = [f.name for f in new.schema.fields if f.name.lower() == column.lower()][0]
-    if new.isEmpty():
-        # Dynamic overwrite only touches partitions it writes; an empty slice
-        # writes none, so remove the day explicitly (delete-then-append would
-        # leave it empty too).
-        delete_path(spark, f"{target.rstrip('/')}/{name}={_partition_value(run_date)}")
-        return LoadResult(target, "incremental", run_date, 0)
-    writer = (new.write.mode("overwrite").format(fmt)
+    seen = Observation()  # counted by the write itself: the source runs once
+    writer = (new.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").format(fmt)
               .option("partitionOverwriteMode", "dynamic").partitionBy(name))
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.save(target)
-    return LoadResult(target, "incremental", run_date, None)
+    rows = int(seen.get.get("n") or 0)
+    if rows == 0:
+        # Dynamic overwrite only touches partitions it writes; an empty slice
+        # writes none, so remove the day explicitly (delete-then-append would
+        # leave it empty too).
+        delete_path(spark, f"{target.rstrip('/')}/{name}={_partition_value(run_date)}")
+    return LoadResult(target, "incremental", run_date, rows)
 
 
 # --------------------------------------------------------------------------- JDBC
@@ -167,14 +168,15 @@ def incremental_replace_jdbc(spark: SparkSession, df: DataFrame, profile: Connec
                              staging_table: str | None = None) -> LoadResult:
     """Replace one date slice of a JDBC table atomically (LOD-2, SNK-5).
 
-    1. executors write the stamped slice to ``staging_table`` (overwrite);
+    1. executors write the stamped slice to a staging table: ``staging_table``
+       (overwritten and kept), else one of a fresh name, dropped at the end;
     2. the driver opens one connection: ``DELETE FROM t WHERE col = ?`` then
        ``INSERT INTO t (cols) SELECT cols FROM staging``, one commit, rollback on
        any error.  Only column names present in the target are used.
     """
     check_identifier(table, "table")
     check_identifier(column, "column")
-    staging = check_identifier(staging_table or f"{table}_staging", "staging table")
+    staging = check_identifier(staging_table or f"{table}_stg_{uuid.uuid4().hex[:12]}", "staging table")
     target_cols = [f.name for f in table_schema(spark, profile, table).fields]
     if column.lower() not in {c.lower() for c in target_cols}:
         raise SpecError(f"{table} has no column {column!r}")
@@ -207,7 +209,12 @@ def incremental_replace_jdbc(spark: SparkSession, df: DataFrame, profile: Connec
         conn.rollback()
         raise
     finally:
-        conn.close()
+        try:
+            if not staging_table:
+                conn.createStatement().executeUpdate(f"DROP TABLE {staging}")
+                conn.commit()
+        finally:
+            conn.close()
 
 
 # --------------------------------------------------------------------------- dispatch

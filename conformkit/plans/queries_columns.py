@@ -17,6 +17,7 @@ from conformkit.functions import strings as STR
 from conformkit.operators import joins as J
 from conformkit.operators import ordering as O
 from conformkit.plans.catalog import query, table
+from conformkit.sinks.files import preview
 
 # ------------------------------------------------------------------ strings
 
@@ -272,7 +273,14 @@ def date_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ ordering
 
 
-@query("top_rows", "SRT-1 SNK-6", """
+@query("preview", "SNK-6", """
+SELECT n_nationkey, n_name FROM nation ORDER BY n_name, n_nationkey LIMIT 20
+""")
+def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preview(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), 20, ["n_name", "n_nationkey"])
+
+
+@query("top_rows", "SRT-1", """
 SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5
 """)
 def top_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

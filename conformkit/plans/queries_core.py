@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conformkit.operators import summarize as S
-from conformkit.operators.conform import align_to_target, apply_transformations
+from conformkit.operators.conform import align_to_target, apply_transformations, conform_and_union
 from conformkit.operators.joins import left_join
 from conformkit.plans import mapping as M
 from conformkit.plans.catalog import query, table
@@ -76,12 +76,12 @@ GROUP BY source_key, nation_key
 """
 
 
-@query("mapping_summary", "LOD-8 PRJ-1 PRJ-2 PRJ-3 PRJ-10 SET-1 SET-2 AGG-1", _PARTY_SUMMARY_SQL)
+@query("mapping_summary", "LOD-8 PRJ-1 PRJ-3 PRJ-10 SET-1 SET-2 AGG-1", _PARTY_SUMMARY_SQL)
 def mapping_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.summary(spark, party_mapping(sf_dir))
 
 
-@query("mapping_rows", "PRJ-1 PRJ-2 PRJ-3 PRJ-15 SET-1 SET-2 STR-1",
+@query("mapping_rows", "PRJ-1 PRJ-3 PRJ-15 SET-1 SET-2 STR-1",
        f"SELECT * FROM ({_PARTY_SQL}) conformed")
 def mapping_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.conformed(spark, party_mapping(sf_dir))
@@ -101,7 +101,7 @@ def mapping_summary_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
         GROUP BY source_key, nation_key""", party=rows)
 
 
-@query("mapping_separate_measures", "AGG-3 PRJ-16", f"""
+@query("mapping_separate_measures", "AGG-3", f"""
 WITH c AS ({_PARTY_SQL})
 SELECT source_key, nation_key, 'counts' AS measure_set, 'n_rows' AS measure,
        CAST(count(*) AS DOUBLE) AS value FROM c GROUP BY source_key, nation_key
@@ -138,7 +138,7 @@ ORDERS_TARGET = build_schema([
 ])
 
 
-@query("align_to_target", "PRJ-4 PRJ-5 PRJ-15 SRC-10 FLT-1", """
+@query("align_to_target", "PRJ-4 PRJ-5 PRJ-15", """
 SELECT CAST(o_orderkey AS BIGINT) AS O_ORDERKEY, CAST(o_custkey AS VARCHAR) AS o_custkey,
        o_orderstatus AS O_OrderStatus, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice,
        CAST(o_orderdate AS DATE) AS o_orderdate, CAST(NULL AS VARCHAR) AS o_clerk,
@@ -149,6 +149,26 @@ def align_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_to_target(table(spark, sf_dir, "orders"), ORDERS_TARGET)
 
 
+@query("derived_columns", "PRJ-2 PRJ-3 SET-1 SET-2", """
+SELECT CAST(r_regionkey AS VARCHAR) AS id, r_name AS name, CAST(NULL AS BIGINT) AS region,
+       CAST(NULL AS DOUBLE) AS balance FROM region
+UNION ALL
+SELECT CAST(n_nationkey AS VARCHAR), NULL, CAST(n_regionkey AS BIGINT), NULL FROM nation
+UNION ALL
+SELECT s_name, NULL, NULL, CAST(s_acctbal AS DOUBLE) FROM supplier
+""")
+def derived_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # No declared columns: names and types come from the three sources, whose id
+    # is a number in two and text in one.
+    region = table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))
+    nation = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("ID"), F.lit(None).alias("name"), F.col("n_regionkey").cast("long").alias("region"))
+    supplier = table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("id"), F.col("s_acctbal").cast("double").alias("balance"))
+    return conform_and_union([("region", region), ("nation", nation), ("supplier", supplier)])
+
+
 # --------------------------------------------------------------- roll-ups (AGG-4..8)
 
 @query("holdings_rollup", "AGG-4 PRJ-11 PRJ-1", """

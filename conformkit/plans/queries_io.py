@@ -15,12 +15,12 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conformkit.operators.conform import union_conformed
+from conformkit.operators.conform import align_to_target, union_conformed
 from conformkit.operators.joins import left_join
 from conformkit.plans.catalog import query, table
-from conformkit.plans.jobs import JobSpec, run_jobs
+from conformkit.plans.jobs import JobSpec, probe_target_schema, run_services, service
 from conformkit.plans.load import full_load_files, incremental_replace_files, load
-from conformkit.session import scratch_path, write_small_text
+from conformkit.session import persisted, scratch_path, write_small_text
 from conformkit.sinks import files as SNK
 from conformkit.sources import files as SRC
 from conformkit.specs import LoadSpec, LoadType, SourceSpec
@@ -216,39 +216,74 @@ def incremental_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SRC.read_parquet(spark, target, EVENTS_DDL + ", load_date DATE")
 
 
-@query("run_services", "LOD-4 LOD-5 LOD-6 LOD-7 SRC-13 SNK-7", """
-SELECT 'supplier_copy' AS target, count(*) AS n_rows FROM supplier
+@service("catalogue_supplier_copy")
+def _supplier_copy(sf: str, loads: dict) -> JobSpec:
+    return JobSpec("supplier_copy", SourceSpec("supplier", f"{sf}/supplier.parquet", "parquet"),
+                   LoadSpec.from_dict(loads["supplier_copy"]))
+
+
+@service("catalogue_events_daily")
+def _events_daily(sf: str, loads: dict) -> JobSpec:
+    return JobSpec("events_daily", SourceSpec("events", f"{sf}/events.parquet", "parquet"),
+                   LoadSpec.from_dict(loads["events_daily"]))
+
+
+@query("run_services", "LOD-4 LOD-5 LOD-6 FLT-3 SRC-13 SNK-7", """
+SELECT 'supplier_copy' AS target, CAST(s_suppkey AS BIGINT) AS key, trim(s_name) AS label,
+       CAST(s_acctbal AS DOUBLE) AS value FROM supplier
 UNION ALL
-SELECT 'events_daily', count(*) FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'
+SELECT 'events_daily', CAST(event_id AS BIGINT), event_type, CAST(value AS DOUBLE)
+FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'
 """)
-def run_services(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_services_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "services")
-    sf = sf_dir.rstrip("/")
-    # The job configs travel as a JSON file in shared storage (SRC-13).
+    # The services to run and their loads travel as a JSON file in shared storage (SRC-13).
     config = {
-        "supplier_copy": {"targetTable": f"{base}/supplier_copy", "load_type": "full",
-                          "transformations": [{"column_name": "s_name",
-                                               "expression": "trim(s_name)"}]},
-        "events_daily": {"targetTable": f"{base}/events_daily", "load_type": "incremental",
-                         "incremental_column": "load_date", "slice_mode": "slice",
-                         "transformations": [{"column_name": "load_date",
-                                              "expression": "cast(ts as date)"}]},
-    }
+        "services": ["catalogue_supplier_copy", "catalogue_events_daily"],
+        "loads": {
+            "supplier_copy": {"targetTable": f"{base}/supplier_copy", "load_type": "full",
+                              "transformations": [{"column_name": "s_name",
+                                                   "expression": "trim(s_name)"}]},
+            "events_daily": {"targetTable": f"{base}/events_daily", "load_type": "incremental",
+                             "incremental_column": "load_date", "slice_mode": "slice",
+                             "transformations": [{"column_name": "load_date",
+                                                  "expression": "cast(ts as date)"}]},
+        }}
     cfg_path = f"{base}/jobs.json"
     write_small_text(spark, cfg_path, json.dumps(config, indent=2))
-    cfg = SRC.read_config(spark, cfg_path)
-    sup_spec = LoadSpec.from_dict(cfg["supplier_copy"])
-    ev_spec = LoadSpec.from_dict(cfg["events_daily"])
-    jobs = [
-        JobSpec("supplier_copy", SourceSpec("supplier", f"{sf}/supplier.parquet", "parquet"),
-                sup_spec),
-        JobSpec("events_daily", SourceSpec("events", f"{sf}/events.parquet", "parquet"),
-                ev_spec),
-    ]
-    run_jobs(spark, jobs, RUN_DATE)
-    sup_rows = SRC.read_parquet(spark, sup_spec.target)
-    ev_rows = SRC.read_parquet(spark, ev_spec.target)
-    def rows_in(name: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("target"), "n_rows")
-
-    return rows_in("supplier_copy", sup_rows).unionByName(rows_in("events_daily", ev_rows))
+    loads = SRC.read_config(spark, cfg_path)["loads"]
+    run_services(spark, cfg_path, RUN_DATE, sf=sf_dir.rstrip("/"), loads=loads)
+    suppliers = SRC.read_parquet(spark, loads["supplier_copy"]["targetTable"]).select(
+        F.lit("supplier_copy").alias("target"), F.col("s_suppkey").cast("long").alias("key"),
+        F.col("s_name").alias("label"), F.col("s_acctbal").cast("double").alias("value"))
+    events = SRC.read_parquet(spark, loads["events_daily"]["targetTable"]).select(
+        F.lit("events_daily"), F.col("event_id").cast("long"), "event_type", F.col("value").cast("double"))
+    return suppliers.union(events)
+
+
+@query("persisted_actions", "PRJ-16", """
+SELECT o_orderstatus, count(*) AS n_rows, (SELECT count(*) FROM orders) AS total
+FROM orders GROUP BY o_orderstatus
+""")
+def persisted_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # One frame, two actions: its count, then a written summary.
+    path = scratch_path(spark, "persisted")
+    with persisted(table(spark, sf_dir, "orders").select("o_orderstatus")) as rows:
+        total = rows.count()
+        (rows.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_rows"))
+         .withColumn("total", F.lit(total).cast("long")).write.parquet(path))
+    return spark.read.parquet(path)
+
+
+@query("probe_target", "SRC-10 FLT-1 PRJ-4", """
+SELECT CAST(n_nationkey AS BIGINT) AS key, n_name AS name FROM nation
+""")
+def probe_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The target's own schema decides: its files give name and type, no rows are read.
+    target = scratch_path(spark, "probed")
+    spark.createDataFrame([], "key long, name string").write.parquet(target)
+    job = JobSpec("probe", SourceSpec("nation", f"{sf_dir.rstrip('/')}/nation.parquet", "parquet"),
+                  LoadSpec(target))
+    rows = table(spark, sf_dir, "nation").select(
+        F.col("n_name").alias("NAME"), F.col("n_nationkey").alias("Key"), "n_regionkey")
+    return align_to_target(rows, probe_target_schema(spark, job))

@@ -10,6 +10,7 @@ single task reads the whole result.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,19 +19,24 @@ from pyspark.sql import types as T
 from conformkit.specs import ConnectionProfile, SpecError, check_identifier
 
 DEFAULT_FETCHSIZE = 10000
+_PART = r"""(?:[\w$#]+|"[^"]+"|`[^`]+`|\[[^\]]+\])"""
+TABLE_NAME = re.compile(rf"{_PART}(?:\.{_PART})*")
 
 
 def subquery(query: str, alias: str = "src") -> str:
+    """A table name, or a subquery with its own alias, as it is; anything else is
+    SQL and becomes a subquery."""
     q = query.strip().rstrip(";")
-    if q.lower().startswith("select") or q.lower().startswith("with"):
-        return f"({q}) {alias}"
-    return q  # a plain table name
+    if TABLE_NAME.fullmatch(q) or q.startswith("("):
+        return q
+    end = "\n" if "--" in q else ""  # a last line may be a comment
+    return f"({q}{end}) {alias}"
 
 
 def read_query(spark: SparkSession, profile: ConnectionProfile, query: str,
                partition_column: str | None = None, lower_bound: int | None = None,
                upper_bound: int | None = None, num_partitions: int | None = None,
-               fetchsize: int = DEFAULT_FETCHSIZE,
+               fetchsize: int | None = None,
                predicates: Sequence[str] | None = None) -> DataFrame:
     """Rows of ``query`` (SQL text or a table name) (SRC-7, SRC-8).
 
@@ -41,7 +47,7 @@ def read_query(spark: SparkSession, profile: ConnectionProfile, query: str,
     """
     opts = profile.jdbc_options()
     opts["dbtable"] = subquery(query)
-    opts["fetchsize"] = str(fetchsize)
+    opts["fetchsize"] = str(fetchsize or opts.get("fetchsize") or DEFAULT_FETCHSIZE)
     if predicates:
         if partition_column:
             raise SpecError("use either predicates or a partition column, not both")
@@ -60,7 +66,7 @@ def read_query(spark: SparkSession, profile: ConnectionProfile, query: str,
 
 def read_query_parallel(spark: SparkSession, profile: ConnectionProfile, query: str,
                         partition_column: str, num_partitions: int,
-                        fetchsize: int = DEFAULT_FETCHSIZE) -> DataFrame:
+                        fetchsize: int | None = None) -> DataFrame:
     """SRC-8 with the bounds discovered first: one ``min/max`` query runs inside
     the database (one row back), then ``num_partitions`` tasks each read one
     stride of the numeric ``partition_column``.  The reference's only caller

@@ -340,7 +340,7 @@ class ConnectionProfile:
         return self.password
 
     def jdbc_options(self) -> dict[str, str]:
-        opts = {"url": self.url}
+        opts = {**self.extra, "url": self.url}
         if self.driver:
             opts["driver"] = self.driver
         if self.user:

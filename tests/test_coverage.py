@@ -9,7 +9,7 @@ import re
 from conformkit.plans.catalog import entries
 
 # Operators whose only meaningful run needs a JDBC database (see README).
-NEEDS_DATABASE = {"SRC-7", "SRC-8", "SRC-9", "SNK-3", "SNK-4", "SNK-5"}
+NEEDS_DATABASE = {"SRC-7", "SRC-8", "SRC-9", "SNK-3", "SNK-4", "SNK-5", "LOD-7"}
 
 
 def survey_ids() -> set[str]:

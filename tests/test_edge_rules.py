@@ -6,6 +6,8 @@ import dataclasses
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conformkit.operators import ordering as O
 from conformkit.operators import summarize as S
@@ -59,3 +61,60 @@ def test_measures_ignore_case_and_pandas_keys_drop_nan(spark):
 def test_sort_with_a_map_column_is_ordered(spark):
     df = spark.createDataFrame([(2, {"a": 1}), (1, {"b": 2}), (2, {})], "k int, m map<string,int>")
     assert [r.k for r in O.sort_rows(df, ["k"]).collect()] == [1, 2, 2]
+
+
+def test_derived_schema_widens(spark):
+    from conformkit.operators.conform import ConformError, conform_and_union
+
+    a = spark.createDataFrame([(1, 2, None)], "k int, v int, n void")
+    b = spark.createDataFrame([("x", 2.5, 7)], "K string, v double, n long")
+    for frames in ([("a", a), ("b", b)], [("b", b), ("a", a)]):
+        out = conform_and_union(frames)
+        assert [t for _, t in out.dtypes] == ["string", "double", "bigint"]
+        assert {tuple(r) for r in out.collect()} == {("1", 2.0, None), ("x", 2.5, 7)}
+    with pytest.raises(ConformError, match="no common type"):
+        conform_and_union([("a", a), ("c", spark.createDataFrame([([1],)], "k array<int>"))])
+
+
+def test_slice_is_counted_by_its_write(spark, tmp_path):
+    from conformkit.plans.load import incremental_replace_files
+
+    target = str(tmp_path / "t")
+    rows = spark.range(5).withColumn("day", F.lit(None).cast("date"))
+    for df, n in ((rows, 5), (rows.where("id < 2"), 2), (rows.where("id < 0"), 0), (rows.where("false"), 0)):
+        assert incremental_replace_files(spark, rows.limit(3), target, "day", "2024-01-01").rows_in_slice == 3
+        assert incremental_replace_files(spark, df, target, "day", "2024-01-02").rows_in_slice == n
+        found = spark.read.schema("id long, day date").parquet(target).groupBy("day").count().collect()
+        assert {str(r["day"]): r["count"] for r in found} == {"2024-01-01": 3} | ({"2024-01-02": n} if n else {})
+
+
+def test_rejects_are_replaced_per_run_date(spark, tmp_path):
+    from conformkit.plans.jobs import JobSpec, run_jobs
+    from conformkit.specs import LoadSpec
+
+    rejects = str(tmp_path / "rejects")
+    job = JobSpec("j", lambda s, d: s.createDataFrame([("1",), ("oops",)], "n string"),
+                  LoadSpec(str(tmp_path / "out")), target_schema=T.StructType([T.StructField("n", T.IntegerType())]),
+                  safe_cast=True, reject_path=rejects)
+    for day in ("2024-01-01", "2024-01-01", "2024-01-02"):
+        run_jobs(spark, [job], day)
+    assert spark.read.parquet(rejects).count() == 2
+
+
+def test_folders_inside_each_other_are_the_same_location():
+    from conformkit.plans.jobs import _same_location
+
+    assert _same_location("file:/d/a", "/d/a/") and _same_location("/d/a", "/d/a/day=1")
+    assert not _same_location("/d/A", "/d/a") and not _same_location("/d/a", "/d/ab")
+
+
+def test_table_names_and_sql_are_told_apart():
+    from conformkit.sources.jdbc import subquery
+    from conformkit.specs import ConnectionProfile
+
+    for name in ("withdrawals", "selections", "dbo.with_x", '"My Schema"."t 1"', "[a b].[c]"):
+        assert subquery(name) == name
+    assert subquery("-- all\nselect 1 -- end;") == "(-- all\nselect 1 -- end\n) src"
+    assert subquery("(select 1) t") == "(select 1) t"
+    p = ConnectionProfile.from_dict({"url": "jdbc:x", "fetchsize": 5, "ssl": "true"})
+    assert p.jdbc_options() == {"url": "jdbc:x", "fetchsize": "5", "ssl": "true"}

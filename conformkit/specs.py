@@ -195,7 +195,7 @@ class MappingSpec:
 
     ``columns`` declares the conformed schema as (name, type) in output order
     (D1, D11, D23).  When empty it is derived: first-seen order over the
-    transformed sources, first-seen type.
+    transformed sources, the type common to all.
     """
 
     sources: tuple[SourceSpec, ...]

@@ -118,3 +118,17 @@ def test_table_names_and_sql_are_told_apart():
     assert subquery("(select 1) t") == "(select 1) t"
     p = ConnectionProfile.from_dict({"url": "jdbc:x", "fetchsize": 5, "ssl": "true"})
     assert p.jdbc_options() == {"url": "jdbc:x", "fetchsize": "5", "ssl": "true"}
+
+
+def test_ordered_queries_come_in_order(spark):
+    from conformkit.plans.catalog import queries
+
+    def rows(name):
+        return [tuple(r) for r in queries()[name](spark, "/root/testdata/sf0.001").collect()]
+
+    assert rows("sort_rows") == sorted(rows("sort_rows"), key=lambda r: (r[1], r[0]))
+    assert rows("top_rows") == sorted(rows("top_rows"), key=lambda r: (-r[1], r[0]))
+    assert rows("preview") == sorted(rows("preview"), key=lambda r: (r[1], r[0]))
+    for name in ("group_mean", "group_sum"):
+        keys = [r[0] for r in rows(name)]
+        assert len(keys) > 1 and keys == sorted(keys)

@@ -16,10 +16,21 @@ score is 1 minus the distance as a share of the largest possible one.  A text
 that is null or has no letter, or any text if nothing was learned, is ``und`` with
 score 0.  Repeated rows are judged alike.  An empty table gives an empty result.
 Other columns are never read; ``accepted`` passes them through.
+
+``calibrate`` gives the least score a text must have, per language and number of
+distinct n-grams (by powers of two): the median score of the labelled texts there
+less FENCE times its distance from the lower quartile.  Samples are all labelled
+texts and their first HEADS words, each distinct one once, so neither copies nor a
+share of mislabelled texts under a quarter moves it far.  Under SHORT n-grams (one
+word of up to six letters) nothing is refused.  With fewer than SAMPLES samples
+the cut of the next shorter texts of the language holds, or none.  A text under
+its cut stays if one of its halves, of HALF n-grams at least, is not: texts in two
+learned languages are like neither.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +46,13 @@ PROFILE = 300  # n-grams of a profile, and of a document
 MAX_LANGUAGES = 2_000  # more are refused, not cut
 SLICE = 1 << 21  # bytes of text worked on at once; only a memory bound
 UND = "und"
+HEADS = (1, 2, 4, 8, 16, 32, 64)  # words
+HEAD_CHARS = 600  # where the heads are looked for; only whole words inside count
+SIZES = 40  # powers of two of distinct n-grams
+SHORT, SAMPLES = 16, 20
+HALF = 64  # distinct n-grams by which half a text is known
+FENCE, LEAST_SPREAD = 8, 0.02
+STEPS = 1000  # scores are counted in steps of 1 / STEPS
 
 
 def letter_table() -> np.ndarray:
@@ -158,6 +176,10 @@ def train(docs: DataFrame, k: int = PROFILE) -> dict[str, np.ndarray]:
     return {lang: np.array(g, np.int64).view(np.uint64) for lang, g in out.items()}
 
 
+def size_class(grams: int) -> int:
+    return min(grams.bit_length() - 1, SIZES - 1)
+
+
 class Scorer:
     """Out-of-place distances of documents to all profiles at once."""
 
@@ -177,16 +199,21 @@ class Scorer:
         place = np.abs(rank - np.arange(len(grams), dtype=np.int32)[:, None])
         return np.where(rank < 0, self.k, place).sum(0)
 
-    def judge(self, col, letters) -> tuple[np.ndarray, np.ndarray]:
-        """(language number or -1, score) of every row of a text column."""
-        which, score = np.full(len(col), -1), np.zeros(len(col))
+    def best(self, code: np.ndarray, count: np.ndarray) -> tuple[int, float]:
+        """(language number, score) of a text's n-grams."""
+        grams = top(code, count, self.k)
+        d = self.distances(grams)
+        best = int(np.argmin(d))
+        return best, 1 - d[best] / (self.k * len(grams))
+
+    def judge(self, col, letters) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(language number or -1, score, size class) of every row of a text column."""
+        which, score, size = np.full(len(col), -1), np.zeros(len(col)), np.zeros(len(col), int)
         if self.langs:
             for row, code, count in document_counts(col, letters):
-                grams = top(code, count, self.k)
-                d = self.distances(grams)
-                which[row] = best = int(np.argmin(d))
-                score[row] = 1 - d[best] / (self.k * len(grams))
-        return which, score
+                which[row], score[row] = self.best(code, count)
+                size[row] = size_class(len(code))
+        return which, score, size
 
 
 def predict(docs: DataFrame, profiles: dict[str, np.ndarray]) -> DataFrame:
@@ -197,7 +224,7 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray]) -> DataFrame:
         letters = letter_table()
         names = pa.array([*scorer.langs, UND], pa.string())
         for b in batches:
-            which, score = scorer.judge(b.column("text"), letters)
+            which, score, _ = scorer.judge(b.column("text"), letters)
             lang = names.take(pa.array(np.where(which < 0, len(scorer.langs), which)))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), lang, pa.array(score)],
                                              ["doc_id", "lang_pred", "score"])
@@ -205,17 +232,77 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray]) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(freed(run), "doc_id long, lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, profiles: dict[str, np.ndarray], least_score: float = 0.0) -> DataFrame:
-    """The rows of docs, all columns, that have a language with a score above
-    ``least_score``."""
+def heads(col, letters) -> Iterator[np.ndarray]:
+    """The first HEADS words of every text, as sequences."""
+    done = -1
+    for row, seq in sequences(pc.utf8_slice_codeunits(col, 0, HEAD_CHARS), letters):
+        ends = np.flatnonzero(seq == 0)[1:]
+        if row != done:
+            yield from (seq[:ends[n - 1] + 1] for n in HEADS if n < len(ends))
+        done = row
+
+
+def calibrate(docs: DataFrame, profiles: dict[str, np.ndarray]) -> np.ndarray:
+    """The least score per (language number, size class), from the text and lang
+    of docs.  Only numbers per language, size class and score step are collected."""
     scorer = Scorer(profiles)
+
+    def run(batches):
+        letters = letter_table()
+        for b in batches:
+            which, score, size = scorer.judge(b.column("text"), letters)
+            seen = which >= 0
+            rows = list(zip(which[seen], size[seen], score[seen], b.column("key").to_numpy()[seen]))
+            for seq in heads(b.column("text"), letters) if scorer.langs else ():
+                code, count = np.unique(ngrams(seq), return_counts=True)
+                key = hashlib.blake2b(seq.tobytes(), digest_size=8).digest()
+                lang, x = scorer.best(code, count)
+                rows.append((lang, size_class(len(code)), x, np.frombuffer(key, np.int64)[0]))
+            lang, size, x, key = zip(*rows) if rows else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lang, pa.int32()), pa.array(size, pa.int32()),
+                 pa.array((np.array(x, float) * STEPS).astype(np.int32)), pa.array(key, pa.int64())],
+                ["lang", "size", "step", "key"])
+
+    rows = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", F.xxhash64("text").alias("key"))
+    samples = rows.mapInArrow(freed(run), "lang int, size int, step int, key long").distinct()
+    quartiles = F.percentile("step", F.array(F.lit(0.25), F.lit(0.5)), F.col("n"))
+    found = (samples.groupBy("lang", "size", "step").agg(F.count("*").alias("n"))
+             .groupBy("lang", "size").agg(quartiles.alias("q"), F.sum("n").alias("n")).collect())
+    least = np.full((len(scorer.langs), SIZES), np.nan)
+    for r in found:
+        if r["n"] >= SAMPLES:
+            low, middle = np.array(r["q"]) / STEPS
+            least[r["lang"], r["size"]] = middle - FENCE * max(middle - low, LEAST_SPREAD)
+    least[:, :size_class(SHORT)] = 0
+    for size in range(1, SIZES):
+        least[:, size] = np.where(np.isnan(least[:, size]), least[:, size - 1], least[:, size])
+    return least
+
+
+def accepted(docs: DataFrame, profiles: dict[str, np.ndarray], least: np.ndarray | None = None) -> DataFrame:
+    """The rows of docs, all columns, that have a language with a score above 0
+    and, themselves or one half, not under that of ``calibrate`` for their language
+    and size."""
+    scorer = Scorer(profiles)
+    least = np.zeros((max(1, len(scorer.langs)), SIZES)) if least is None or not len(least) else least
     at = docs.columns.index("text")
 
+    def judged(col, letters):
+        which, score, size = scorer.judge(col, letters)
+        some = (which >= 0) & (score > 0)
+        return some, some & (score >= least[which, size]), size
+
     def run(batches):
         letters = letter_table()
         for b in batches:
-            which, score = scorer.judge(b.column(at), letters)
-            yield b.filter(pa.array((which >= 0) & (score > least_score)))
+            some, keep, _ = judged(b.column(at), letters)
+            low = np.flatnonzero(some & ~keep)
+            texts = b.column(at).take(pa.array(low)).to_pylist()
+            for half in ([t[:len(t) // 2] for t in texts], [t[len(t) // 2:] for t in texts]):
+                _, good, size = judged(pa.array(half, pa.string()), letters)
+                keep[low] |= good & (size >= size_class(HALF))
+            yield b.filter(pa.array(keep))
 
     return docs.mapInArrow(freed(run), docs.schema)
 

@@ -13,13 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from conformkit.llm import exact_dedup, langid, mixing, near_dedup, packing
 from conformkit.llm.common import table, written
 
-# A text in none of the learned languages shares few n-grams with their profiles.
-LEAST_LANGUAGE_SCORE = 0.2
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language of the corpus; texts without a letter go."""
-    return langid.accepted(docs, langid.train(docs), LEAST_LANGUAGE_SCORE)
+    """Documents in a language of the corpus; texts without a letter go, and those
+    that score far less than the labelled ones of their language and length."""
+    profiles = langid.train(docs)
+    return langid.accepted(docs, profiles, langid.calibrate(docs, profiles))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

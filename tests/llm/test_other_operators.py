@@ -273,6 +273,37 @@ def test_pipeline_stages(spark):
     check_packed(rows, [(r.doc_id, r.text) for r in seen.collect()])
 
 
+FOREIGN = {
+    "it": "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, ché la diritta via era smarrita. Ahi "
+          "quanto a dir qual era è cosa dura questa selva selvaggia e aspra e forte che nel pensier rinova la paura.",
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja "
+          "omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i "
+          "sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+    "tr": "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve "
+          "birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler."}
+
+
+def test_pipeline_language_refuses_other_languages(spark):
+    docs = table(spark, SF, "documents")
+    rng = np.random.default_rng(5)
+    letters = [" ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 10)))
+                        for _ in range(n)) for n in (20, 50, 200, 2000)]
+    planted = [*FOREIGN.values(), *letters, " ".join(FOREIGN["fi"].split()[:8])]
+    # Labelled ones too: a wrong label does not make a language.
+    rows = [(-1 - i, t, None if i % 2 else "en", "planted", len(t)) for i, t in enumerate(planted)]
+    kept = [r.text for r in docs.limit(300).collect()]
+    short = [" ".join(t.split()[:n]) for t in kept[:100] for n in (1, 3, 6) if any(c.isalpha() for c in t.split()[0])]
+    by_lang = {r.lang: r.text for r in docs.where("length(text) BETWEEN 300 AND 600").collect()}
+    short += [f"{a} {b}" for a in by_lang.values() for b in by_lang.values()]  # two learned languages
+    rows += [(-1000 - i, t, None, "short", len(t)) for i, t in enumerate(short)]
+    both = written(docs.union(spark.createDataFrame(rows, docs.schema)), "planted")
+    got = Counter(r.doc_id for r in corpus_pipeline.language(spark, both, SF).select("doc_id").collect())
+    assert not [i for i in got if -1000 < i < 0]
+    assert sum(i <= -1000 for i in got) == len(short)
+    assert sum(i >= 0 for i in got.elements()) >= 0.999 * docs.count()
+
+
 def test_pipeline_on_nothing(spark):
     docs = table(spark, SF, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:

@@ -55,7 +55,7 @@ def beam_search(points: np.ndarray, edges: np.ndarray, start: int, to: np.ndarra
     found = np.full((n, beam), -1)
     dist = np.full((n, beam), np.inf)
     open_ = np.zeros((n, beam), bool)
-    seen = np.zeros((n, len(points)), bool)
+    seen = np.zeros((n, len(points) + 1), bool)  # the last column stands for no point
     found[:, 0], open_[:, 0], seen[:, start] = start, True, True
     dist[:, 0] = distances(points, np.full((n, 1), start), to)[:, 0]
     active = np.arange(n)
@@ -63,8 +63,9 @@ def beam_search(points: np.ndarray, edges: np.ndarray, start: int, to: np.ndarra
         nearest = np.argmax(open_[active], 1)  # found is sorted: the first open one
         open_[active, nearest] = False
         new = edges[found[active, nearest]].copy()
-        new[np.take_along_axis(seen[active], np.maximum(new, 0), 1)] = -1
-        seen[active[:, None], np.maximum(new, 0)] |= new >= 0
+        at = np.where(new < 0, len(points), new)
+        new[np.take_along_axis(seen[active], at, 1)] = -1
+        seen[active[:, None], at] = True
         d = np.concatenate([dist[active], distances(points, new, to[active])], 1)
         order = np.argsort(d, 1, kind="stable")[:, :beam]
         dist[active] = np.take_along_axis(d, order, 1)
@@ -207,7 +208,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, shard: int = SHAR
             for a in range(0, len(q), BATCH):
                 near, dist = beam_search(x, edges, start, q[a:a + BATCH], max(BEAM, 2 * k))
                 for i, me in enumerate(own[a:a + BATCH]):
-                    hits = [(float(np.sqrt(d)), v, me) for p, d in zip(near[i][:k + 1], dist[i]) if p >= 0
+                    # Points as far as the last of the first k + 1 stay: vec_id decides among them.
+                    tied = dist[i] <= dist[i][min(k, len(dist[i]) - 1)]
+                    hits = [(float(np.sqrt(d)), v, me) for p, d in zip(near[i][tied], dist[i][tied]) if p >= 0
                             for v in ids[p] if v != me]
                     found += sorted(hits)[:k]
         score, vec, me = zip(*found) if found else ((), (), ())

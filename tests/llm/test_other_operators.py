@@ -55,6 +55,24 @@ def test_graph_search_odd_vectors(spark):
     assert ann.search(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def test_graph_search_ties_go_to_the_smaller_id(spark):
+    # 31 binary vectors, all as far from the query: more than k + 1 in the beam.
+    vectors = [[float(n >> b & 1) for b in range(5)] for n in range(1, 32)]
+    asked = spark.createDataFrame([(100, [0.5] * 5)], "vec_id long, embedding array<double>")
+    for seed in range(3):
+        ids = np.random.default_rng(seed).permutation(31).tolist()
+        df = spark.createDataFrame(list(zip(ids, vectors)), "vec_id long, embedding array<double>")
+        got = ann.search(df, asked, k=3).orderBy("rank").collect()
+        assert [r.vec_id for r in got] == [0, 1, 2]
+
+
+def test_beam_holds_each_point_once():
+    x = np.array([[float(n >> b & 1) for b in range(5)] for n in range(1, 32)])
+    edges, start = ann.build(x)
+    near, _ = ann.beam_search(x, edges, start, x, ann.BEAM)
+    assert all(len(set(f[f >= 0])) == (f >= 0).sum() for f in near)
+
+
 def test_sharding_laws(spark):
     docs = table(spark, SF, "documents")
     rows = sharding.op5_hash_tree_sharding(spark, SF).collect()

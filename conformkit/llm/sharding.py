@@ -6,8 +6,11 @@ draw wins, so a child gets rows in proportion to its weight (an inner node's
 weight is the sum of its shards').  A draw depends on nothing but the row and
 the child, so a changed weight moves rows only into or out of that child's
 subtree, and a new region takes rows only into itself.  ``Tree.grown`` therefore
-puts a new shard into a region of its own: this keeps the law ``key`` (doc_id and
-shard count decide; one more shard takes rows only into itself) at every count.
+puts a new shard into a region of its own.  A tree may be opened only up to its
+first ``open_shards`` shards: a row whose shard is closed goes by one more weighted
+draw over the open ones, and ``grown`` opens the next shard, which takes rows only
+into itself.  So the law ``key`` (doc_id and shard count decide; one more shard
+takes rows only into itself) holds at every count.
 
 A null doc_id is hashed as the text 'null'; repeated rows go to one shard.  A
 null text has size 1 and the checksum of the empty text.  An empty table gives
@@ -33,23 +36,36 @@ ROWS_PER_BLOCK = 50_000  # rows that one task numbers together; only a task size
 @dataclass(frozen=True)
 class Tree:
     """regions[i][j][k]: weight of shard k in rack j of region i.  Shards are
-    numbered in this order."""
+    numbered in this order; those from ``open_shards`` on are closed (None: none)."""
 
     regions: tuple[tuple[tuple[float, ...], ...], ...]
+    open_shards: int | None = None
 
     @staticmethod
     def of(n: int) -> "Tree":
-        """n shards of weight 1: two regions of two racks of two, then one
-        region for each further shard (fewer than eight: one region each)."""
-        if n < 8:
-            return Tree((((1.0,),),) * n)
-        return Tree(((((1.0, 1.0),) * 2),) * 2 + (((1.0,),),) * (n - 8))
-
-    def grown(self, weight: float = 1.0) -> "Tree":
-        return Tree((*self.regions, ((weight,),)))
+        """n shards of weight 1: two regions of two racks of two, opened one
+        shard after the other, then one region for each further shard."""
+        tree = Tree(((((1.0, 1.0),) * 2),) * 2, 1)
+        for _ in range(n - 1):
+            tree = tree.grown()
+        return tree
+
+    def weights(self) -> list[float]:
+        return [w for racks in self.regions for shards in racks for w in shards]
+
+    def grown(self, weight: float | None = None) -> "Tree":
+        """One more shard: the next closed one, which has its weight, or a region
+        of its own of the given weight (1 without)."""
+        if self.open_shards is None:
+            return Tree((*self.regions, ((1.0 if weight is None else weight,),)))
+        if weight not in (None, self.weights()[self.open_shards]):
+            raise ValueError("a closed shard opens with its own weight")
+        n = self.open_shards + 1
+        return Tree(self.regions, n if n < len(self.weights()) else None)
 
     def shard(self, key: Column) -> Column:
-        """The shard of a row: three nested choices of the smallest draw."""
+        """The shard of a row: three nested choices of the smallest draw, and one
+        more if that shard is closed."""
         first, regions = 0, []
         for r, racks in enumerate(self.regions):
             inside = []
@@ -58,7 +74,11 @@ class Tree:
                 inside.append((sum(shards), f"{r}/{k}", _least(key, leaves)))
                 first += len(shards)
             regions.append((sum(w for w, _, _ in inside), f"{r}", _least(key, inside)))
-        return _least(key, regions)
+        first_choice = _least(key, regions)
+        if self.open_shards is None:
+            return first_choice
+        again = [(w, f"open/{i}", F.lit(i)) for i, w in enumerate(self.weights()[:self.open_shards])]
+        return F.when(first_choice < self.open_shards, first_choice).otherwise(_least(key, again))
 
 
 def _least(key: Column, children: list[tuple[float, str, Column]]) -> Column:

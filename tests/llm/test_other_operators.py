@@ -112,6 +112,17 @@ def test_sharding_every_count_and_brute_force(spark):
     assert 0.7 < n[1] / 3000 < 0.8
 
 
+def test_sharding_grows_by_one_rule(spark):
+    ids = spark.range(4000).select(F.col("id").cast("string").alias("k"))
+    trees = [sharding.Tree.of(n) for n in range(1, 12)]
+    assert all(b == a.grown() for a, b in zip(trees, trees[1:]))
+    rows = ids.select(*[t.shard(F.col("k")).alias(f"s{i}") for i, t in enumerate(trees)]).collect()
+    for i in range(len(trees)):
+        n = Counter(r[i] for r in rows)
+        assert set(n) == set(range(i + 1)) and min(n.values()) > 0.8 * len(rows) / (i + 1)
+        assert all(i == 0 or r[i] in (r[i - 1], i) for r in rows)
+
+
 def test_sharding_odd_rows_and_blocks(spark):
     docs = spark.createDataFrame([(None, None, 1), (None, None, 1), (3, "", 1), (3, "é" * 100_000, 1)],
                                  "doc_id long, text string, shard int")

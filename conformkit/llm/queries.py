@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import (ann, chat_format, exact_dedup, langid, mixing, near_dedup, packing, quality, sharding, spelling,
-               url_filter)
+from . import (ann, chat_format, differencing, exact_dedup, langid, mixing, near_dedup, packing, quality, sharding,
+               spelling, url_filter)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -25,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_min_cost_mixing": mixing.op9_min_cost_mixing,
         "op10_vector_best_fit": packing.op10_vector_best_fit,
         "op11_spelling_variants": spelling.op11_spelling_variants,
+        "op12_multiway_differencing": differencing.op12_multiway_differencing,
         "pipeline": corpus_pipeline.run,
     }
 

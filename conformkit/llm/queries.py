@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 
 from . import (ann, chat_format, differencing, exact_dedup, langid, mixing, near_dedup, packing, quality, sharding,
-               spelling, url_filter)
+               spelling, turn_repair, url_filter)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -26,6 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_vector_best_fit": packing.op10_vector_best_fit,
         "op11_spelling_variants": spelling.op11_spelling_variants,
         "op12_multiway_differencing": differencing.op12_multiway_differencing,
+        "op13_turn_repair": turn_repair.op13_turn_repair,
         "pipeline": corpus_pipeline.run,
     }
 

@@ -15,11 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conformkit.specs import SpecError, Transform, parse_type
-
-
-class ConformError(SpecError):
-    """A transformation or alignment that Spark cannot plan, with its context."""
+from conformkit.operators.nested import ConformError, aligned, failures, merged_type, same_type
+from conformkit.specs import Transform, parse_type
 
 
 def check_case_unique(df: DataFrame, source: str = "input") -> DataFrame:
@@ -110,8 +107,9 @@ def conformed_schema(frames: Sequence[DataFrame],
     Declared (name, type) pairs win; otherwise names in first-seen order over
     the frames (D1, D23), each with a type that holds every source's values:
     untyped nulls give way to any type, text and another simple type give text,
-    the rest widen as Spark widens them.  Types without a common one are refused
-    here, before any job runs.
+    the rest widen as Spark widens them; structs, arrays and maps are merged by
+    what they hold, struct fields by name.  Types without a common one (a boolean
+    and a number, say) are refused here, before any job runs.
     """
     declared = list(declared)
     if declared:
@@ -121,16 +119,16 @@ def conformed_schema(frames: Sequence[DataFrame],
         for f in df.schema.fields:
             first = fields.get(f.name.lower())
             name = first.name if first else f.name
-            typ = _common_type(df, name, first.dataType, f.dataType) if first else f.dataType
+            if first:
+                typ = merged_type(first.dataType, f.dataType, name, lambda path, a, b: _common_type(df, path, a, b))
+            else:
+                typ = f.dataType
             fields[name.lower()] = T.StructField(name, typ, True)
     return T.StructType(list(fields.values()))
 
 
 def _common_type(df: DataFrame, name: str, a: T.DataType, b: T.DataType) -> T.DataType:
-    if a == b or isinstance(b, T.NullType):
-        return a
-    if isinstance(a, T.NullType):
-        return b
+    """The common type of two leaves."""
     nested = (T.ArrayType, T.MapType, T.StructType, T.BinaryType)
     if isinstance(a, T.StringType) or isinstance(b, T.StringType):
         if not isinstance(a, nested) and not isinstance(b, nested):
@@ -147,16 +145,18 @@ def _common_type(df: DataFrame, name: str, a: T.DataType, b: T.DataType) -> T.Da
 def conform_to(df: DataFrame, schema: T.StructType, source: str = "input",
                safe_cast: bool = False) -> DataFrame:
     """Project ``df`` to exactly ``schema``: matched columns cast to the declared
-    type, missing ones as typed nulls (PRJ-3, PRJ-15, D11), extras dropped."""
+    type, missing ones as typed nulls (PRJ-3, PRJ-15, D11), extras dropped; the
+    fields of structs, also in arrays and maps, by the same rules."""
     cols: list[Column] = []
     for f in schema.fields:
         src = _find(df, f.name)
         if src is None:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
         else:
-            c = F.col(f"`{src}`")
-            if df.schema[src].dataType != f.dataType:
-                c = c.try_cast(f.dataType) if safe_cast else c.cast(f.dataType)
+            try:
+                c = aligned(F.col(f"`{src}`"), df.schema[src].dataType, f.dataType, f.name, safe_cast)
+            except ConformError as e:
+                raise ConformError(f"source {source!r}, {e}") from None
             cols.append(c.alias(f.name))
     return df.select(*cols)
 
@@ -181,7 +181,8 @@ def conform_and_union(frames: Sequence[tuple[str, DataFrame]],
 
 def align_to_target(df: DataFrame, target: T.StructType | DataFrame,
                     safe_cast: bool = False) -> DataFrame:
-    """Align rows to a target schema (PRJ-4): target order, names and types.
+    """Align rows to a target schema (PRJ-4): target order, names and types, at
+    every level of nesting (``operators.nested``).
 
     Columns match without case; a matched column is cast to the target type
     (D4; ``safe_cast`` uses ``try_cast`` so a bad value becomes null instead of
@@ -194,15 +195,16 @@ def align_to_target(df: DataFrame, target: T.StructType | DataFrame,
 
 def cast_rejects(df: DataFrame, target: T.StructType | DataFrame) -> DataFrame:
     """Rows of ``df`` holding a value that does not cast to the target type,
-    with a ``rejected_columns`` list.  Count it to report rejects."""
+    with a ``rejected_columns`` list (nested values by path, such as
+    ``items[].qty``).  Count it to report rejects."""
     schema = target.schema if isinstance(target, DataFrame) else target
     checks = []
     for f in schema.fields:
         src = _find(df, f.name)
-        if src is None or df.schema[src].dataType == f.dataType:
+        if src is None or same_type(df.schema[src].dataType, f.dataType):
             continue
-        c = F.col(f"`{src}`")
-        checks.append(F.when(c.isNotNull() & c.try_cast(f.dataType).isNull(), F.lit(f.name)))
+        checks += [F.when(bad, F.lit(path)) for path, bad in
+                   failures(F.col(f"`{src}`"), df.schema[src].dataType, f.dataType, f.name)]
     if not checks:
         return df.limit(0).withColumn("rejected_columns", F.array().cast("array<string>"))
     bad = F.filter(F.array(*checks), lambda x: x.isNotNull())

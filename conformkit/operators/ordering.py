@@ -40,8 +40,11 @@ def sort_rows(df: DataFrame, order_by: Sequence[Column | str], split_ties: bool
     return df.orderBy(*keys)
 
 
-def seeded_order(df: DataFrame, key: str, seed: int) -> DataFrame:
+def seeded_order(df: DataFrame, key: str, seed: int, name: str | None = None) -> DataFrame:
     """A shuffled but repeatable row order (SRT-4): sorted by a hash of the key
     and the seed, ties (rows sharing a key) by a hash of the whole row, so a
-    hot key also spreads over several sort ranges."""
-    return sort_rows(df, [seeded_order_key(key, seed), key])
+    hot key also spreads over several sort ranges.  With ``name`` the hash stays
+    as a column of that name; it is taken once."""
+    if name is None:
+        return sort_rows(df, [seeded_order_key(key, seed), key])
+    return sort_rows(df.withColumn(name, seeded_order_key(key, seed)), [name, key])

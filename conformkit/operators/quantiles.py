@@ -1,10 +1,11 @@
 """Exact and approximate quantiles with bounded memory in every task and on the
 driver (AGG-8).
 
-``exact_quantiles`` is one algorithm for any size and distribution.  Every pass is
-one aggregate over all columns: per wanted rank a bracket [low, high] of values,
-the rows below and inside it, the rows equal to its ends, and a KLL sketch of the
-rows inside.  The sketch gives the next bracket by RANK, so a pass shrinks it to
+``exact_quantiles`` is one algorithm for any size and distribution.  Every wanted
+rank has a bracket [low, high] of values.  Every pass covers all columns and takes,
+once per distinct bracket whatever the number of ranks in it, the rows below and
+inside it, the rows equal to its ends, and a KLL sketch of the rows inside (the
+first pass: of whole columns).  The sketch gives the next bracket by RANK, so a pass shrinks it to
 about one hundredth of its rows whatever the values look like; a bracket of at
 most half the sketch's size is read off exactly.  The counts are exact, so a sketch
 that misses a rank is noticed and its bracket taken again with a wider margin.
@@ -51,40 +52,67 @@ class _Bracket:
     margin: float = MARGIN
     before: tuple[float, float] = (-math.inf, math.inf)
 
+    @property
+    def span(self) -> tuple[int, float, float]:
+        return self.column, self.low, self.high
 
-def _sketched(df: DataFrame, columns: Sequence[str], brackets: list[_Bracket], k: int) -> list[dict]:
-    """One pass: the counts and sketch of every bracket, partial sketches merged
-    in two levels so that the last task gets FAN_IN of them."""
+
+def _whole_columns(df: DataFrame, columns: Sequence[str], spans: list[tuple], k: int) -> dict[int, dict]:
+    """Count, ends and sketch of whole columns: one aggregate, one sketch each."""
     partial, final = [], []
-    for i, b in enumerate(brackets):
-        x = _value(columns[b.column])
-        inside = F.when((x >= b.low) & (x <= b.high), x)
-        sums = {"below": F.count_if(x < b.low), "n": F.count(inside),
-                "low": F.count_if(x == b.low), "high": F.count_if(x == b.high)}
-        partial += [v.alias(f"{name}{i}") for name, v in sums.items()]
-        partial += [F.min(F.when(inside > b.low, inside)).alias(f"next{i}"),
-                    F.max(F.when(inside < b.high, inside)).alias(f"last{i}"),
-                    F.min(inside).alias(f"min{i}"), F.max(inside).alias(f"max{i}"),
-                    F.kll_sketch_agg_double(inside, k).alias(f"s{i}")]
-        final += [F.sum(f"{name}{i}").alias(f"{name}{i}") for name in sums]
-        final += [F.min(f"next{i}").alias(f"next{i}"), F.max(f"last{i}").alias(f"last{i}"),
-                  F.min(f"min{i}").alias(f"min{i}"), F.max(f"max{i}").alias(f"max{i}"),
+    for i, (column, _, _) in enumerate(spans):
+        x = _value(columns[column])
+        partial += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}"),
+                    F.kll_sketch_agg_double(x, k).alias(f"s{i}")]
+        final += [F.sum(f"n{i}").alias(f"n{i}"), F.min(f"min{i}").alias(f"min{i}"), F.max(f"max{i}").alias(f"max{i}"),
                   F.kll_merge_agg_double(f"s{i}", k).alias(f"s{i}")]
-    merged = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(FAN_IN)).alias("__g")).agg(*partial).agg(*final)
-    row = merged.first()
-    names = ("below", "n", "low", "high", "next", "last", "min", "max")
-    out = [{name: row[f"{name}{i}"] for name in names} for i in range(len(brackets))]
+    row = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(FAN_IN)).alias("__g")).agg(*partial).agg(*final).first()
+    return {i: {"below": 0, "n": row[f"n{i}"] or 0, "low": 0, "high": 0, "min": row[f"min{i}"], "max": row[f"max{i}"],
+                "next": row[f"min{i}"], "last": row[f"max{i}"], "s": row[f"s{i}"]} for i in range(len(spans))}
+
+
+def _narrow_spans(df: DataFrame, columns: Sequence[str], spans: list[tuple], k: int) -> dict[int, dict]:
+    """Counts, ends and sketch of the rows inside each span.  The rows below the
+    spans are plain sums; only the few rows inside one reach the sketches, once
+    per span that holds them."""
+    below = df.agg(*[F.count_if(_value(columns[c]) < low).alias(f"b{i}") for i, (c, low, _) in enumerate(spans)]).first()
+    hits = [F.when((_value(columns[c]) >= low) & (_value(columns[c]) <= high),
+                   F.struct(F.lit(i).alias("span"), _value(columns[c]).alias("x"), (_value(columns[c]) == low).alias("low"),
+                            (_value(columns[c]) == high).alias("high")))
+            for i, (c, low, high) in enumerate(spans)]
+    partial = (df.select(F.explode(F.array_compact(F.array(*hits))).alias("h")).select("h.*")
+               .groupBy("span", F.pmod(F.spark_partition_id(), F.lit(FAN_IN)).alias("__g"))
+               .agg(F.count("x").alias("n"), F.count_if("low").alias("low"), F.count_if("high").alias("high"),
+                    F.min(F.when(~F.col("low"), F.col("x"))).alias("next"),
+                    F.max(F.when(~F.col("high"), F.col("x"))).alias("last"),
+                    F.min("x").alias("min"), F.max("x").alias("max"), F.kll_sketch_agg_double("x", k).alias("s")))
+    final = partial.groupBy("span").agg(
+        *[F.sum(c).alias(c) for c in ("n", "low", "high")], F.min("next").alias("next"), F.max("last").alias("last"),
+        F.min("min").alias("min"), F.max("max").alias("max"), F.kll_merge_agg_double("s", k).alias("s"))
+    out = {i: {"below": below[i], "n": 0, "low": 0, "high": 0} for i in range(len(spans))}
+    for row in final.collect():  # one row per span
+        out[row["span"]].update(row.asDict())
+    return out
+
+
+def _sketched(df: DataFrame, columns: Sequence[str], brackets: list[_Bracket], k: int) -> list[dict]:
+    """One pass: the counts and the sketch of every distinct bracket, partial
+    sketches merged in two levels so that the last task gets FAN_IN of them, and
+    the quantiles that each rank asks of its bracket's sketch."""
+    spans = list(dict.fromkeys(b.span for b in brackets))
+    whole = all(low == -math.inf and high == math.inf for _, low, high in spans)
+    of = dict(zip(spans, (_whole_columns if whole else _narrow_spans)(df, columns, spans, k).values()))
+    out = [dict(of[b.span]) for b in brackets]
     # The merged sketches (of a fixed size) are read for each rank and both ends
     # of its margin.
     asked = []
     for i, (b, got) in enumerate(zip(brackets, out)):
         at, n = b.rank - got["below"], max(1, got["n"])
         shares = [min(1.0, max(0.0, (at + 0.5) / n + d)) for d in (0, -b.margin, b.margin)]
-        asked.append(F.array(*[F.kll_sketch_get_quantile_double(f"s{i}", F.lit(p)) for p in shares])
+        asked.append(F.array(*[F.kll_sketch_get_quantile_double(f"s{spans.index(b.span)}", F.lit(p)) for p in shares])
                      .alias(f"q{i}") if got["n"] else F.lit(None).alias(f"q{i}"))
-    sketches = df.sparkSession.createDataFrame(
-        [tuple(row[f"s{i}"] for i in range(len(brackets)))],
-        ", ".join(f"s{i} binary" for i in range(len(brackets))))
+    sketches = df.sparkSession.createDataFrame([tuple(of[s].get("s") for s in spans)],
+                                               ", ".join(f"s{i} binary" for i in range(len(spans))))
     quantiles = sketches.select(*asked).first()
     for i, got in enumerate(out):
         got["q"] = quantiles[i]

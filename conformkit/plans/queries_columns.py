@@ -302,7 +302,7 @@ FROM orders ORDER BY order_key, o_orderkey
 """)
 def seeded_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    return O.seeded_order(o.withColumn("order_key", N.seeded_order_key("o_orderkey", 42)), "o_orderkey", 42)
+    return O.seeded_order(o, "o_orderkey", 42, "order_key")
 
 
 # ------------------------------------------------------------------ pairing

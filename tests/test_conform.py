@@ -14,103 +14,76 @@ from conformkit.specs import MappingSpec, MeasureSpec, SpecError
 
 BOM = "﻿"
 
-# Our own rows in the shape of the two weigh lists: EAST spells `weight`, WEST `Weight`;
-# EAST has an empty depot column.  Both files start with a BOM (D22).
-EAST = BOM + (
-    "crate_id,grower,fruit,weight,depot\n"
-    " 1 , Mona ,apple,100,\n"
-    " 1 , Mona ,pear,90,\n"
-    " 1 , Mona ,plum,9,\n"
-    " 2 , Paul ,apple,55,\n"
-)
-WEST = BOM + (
-    "crate_id,grower,fruit,Weight,depot\n"
-    "3,Ines,apple,70,dock 4\n"
-    "3,Ines,pear,80,dock 4\n"
-)
-
-MAPPING = {
-    "data_sources": [
-        {"source_name": "EAST", "path": None, "transformations": [
-            {"column_name": "crate_id", "expression": "trim(crate_id) as crate_id"},
-            {"column_name": "grower", "expression": "trim(grower) as grower_name"},
-            {"column_name": "fruit", "expression": "trim(fruit) as fruit"},
-            {"column_name": "weight", "expression": "weight"},
-            {"column_name": "note", "expression": "'picked by hand'"},
-            {"column_name": "source_key", "expression": "'EAST'"}]},
-        {"source_name": "WEST", "path": None, "transformations": [
-            {"column_name": "crate_id", "expression": "trim(crate_id) as crate_id"},
-            {"column_name": "grower", "expression": "trim(grower) as grower_name"},
-            {"column_name": "fruit", "expression": "trim(fruit) as fruit"},
-            {"column_name": "weight", "expression": "weight"},
-            {"column_name": "depot", "expression": "depot"},
-            {"column_name": "source_key", "expression": "'WEST'"}]},
-    ],
-    "columns": [
-        {"col_name": "crate_id", "col_type": "string"},
-        {"col_name": "grower", "col_type": "string"},
-        {"col_name": "fruit", "col_type": "string"},
-        {"col_name": "weight", "col_type": "int"},
-        {"col_name": "depot", "col_type": "string"},
-        {"col_name": "note", "col_type": "string"},
-        {"col_name": "source_key", "col_type": "string"},
-    ],
-    "keys": ["source_key", "crate_id"],
-    "measures": [
-        {"name": "n_rows", "func": "count_star"},
-        {"name": "kg_total", "func": "sum", "column": "weight"},
-        {"name": "kg_most", "func": "max", "column": "weight"},
-        {"name": "kg_least", "func": "min", "column": "weight"},
-    ],
+# Three delivery feeds with different columns, and one table of parcels.  Each rule
+# (name over alias, spelling of case, byte order mark, missing column) has a test of
+# its own below.
+FEEDS = {
+    "depot": BOM + "route;stops;load_kg;opened\nN1;4;12.5;2024-03-01\nN1;6;7.25;2024-03-02\nS2;3;;2024-03-02\n",
+    "van": "Plate,ROUTE,Load_KG\nAB-12,N1,3\nAB-13,W9,100\n",
+    "bike": "rider,route_code\nIda,W9-east\n",
 }
 
 
-@pytest.fixture
-def crates(spark, write_text_file):
-    d = {s["source_name"]: s for s in MAPPING["data_sources"]}
-    d["EAST"] = dict(d["EAST"], path=write_text_file("east.csv", EAST))
-    d["WEST"] = dict(d["WEST"], path=write_text_file("west.csv", WEST))
-    return MappingSpec.from_dict(dict(MAPPING, data_sources=[d["EAST"], d["WEST"]]))
+def parcels(write_text_file, **changes) -> MappingSpec:
+    def source(name, transformations, **more):
+        return {"source_name": name, "path": write_text_file(f"{name}.csv", FEEDS[name]),
+                "transformations": [{"column_name": c, "expression": e} for c, e in transformations], **more}
 
+    spec = {
+        "data_sources": [
+            source("depot", [("kg", "coalesce(cast(load_kg as double), 0)"), ("stops", "stops * 2 - 1"),
+                             ("day", "substring(opened, 1, 10) as opened_on")], options={"sep": ";"}),
+            source("van", [("route", "concat(route, '/', substring(plate, 1, 2))"), ("kg", "load_kg")]),
+            source("bike", [("route", "substring(route_code, 1, 2)"), ("carrier", "upper(rider)"), ("kg", "0.5")]),
+        ],
+        "columns": [{"col_name": n, "col_type": t} for n, t in (
+            ("day", "date"), ("route", "string"), ("kg", "double"), ("stops", "bigint"), ("carrier", "string"))],
+        "keys": ["route"],
+        "measures": [{"name": "n", "func": "count_star"}, {"name": "kg", "func": "sum", "column": "kg"},
+                     {"name": "heaviest", "func": "max", "column": "kg"}],
+    }
+    return MappingSpec.from_dict({**spec, **changes})
+
+
+def test_sources_are_matched_by_name_and_missing_columns_are_null(spark, write_text_file):
+    rows = M.conformed(spark, parcels(write_text_file))
+    assert rows.columns == ["day", "route", "kg", "stops", "carrier"]
+    assert {(str(r.day), r.route, r.kg, r.stops, r.carrier) for r in rows.collect()} == {  # D1, D11
+        ("2024-03-01", "N1", 12.5, 7, None), ("2024-03-02", "N1", 7.25, 11, None), ("2024-03-02", "S2", 0.0, 5, None),
+        ("None", "N1/AB", 3.0, None, None), ("None", "W9/AB", 100.0, None, None), ("None", "W9", 0.5, None, "IDA")}
 
-def test_bom_is_dropped_from_first_header(spark, crates):
-    df = SRC.read_source(spark, crates.sources[0])
-    assert df.columns[0] == "crate_id"  # D22
 
+def test_summary_compares_text_numbers_as_numbers(spark, write_text_file):
+    # D2: the feeds' weights are text; as text 7.25 is above 12.5 and 100.
+    got = {r.route: (r.n, r.kg, r.heaviest) for r in M.summary(spark, parcels(write_text_file)).collect()}
+    assert got["N1"] == (2, 19.75, 12.5) and got["W9/AB"] == (1, 100.0, 100.0)
 
-def test_union_is_by_name_and_keys_stay_with_their_source(spark, crates):
-    rows = M.conformed(spark, crates)
-    assert rows.columns == [c for c, _ in crates.columns]
-    got = {(r.source_key, r.note, r.depot) for r in rows.collect()}
-    # D1: WEST's key lands in source_key, not in note; EAST's empty depot is null.
-    assert got == {("EAST", "picked by hand", None), ("WEST", None, "dock 4")}
 
+def test_bom_is_dropped_from_first_header(spark, write_text_file):
+    df = SRC.read_source(spark, parcels(write_text_file).sources[0])
+    assert df.columns == ["route", "stops", "load_kg", "opened"]  # D22
 
-def test_summary_is_numeric_and_alias_in_expression_is_discarded(spark, crates):
-    rows = M.conformed(spark, crates)
-    assert "grower_name" not in rows.columns  # D8
-    out = {(r.source_key, r.crate_id): r for r in M.summary(spark, crates).collect()}
-    tn1 = out[("EAST", "1")]
-    # D2: numeric, not text: max of 100, 90, 9 is 100 and min is 9.
-    assert (tn1.n_rows, tn1.kg_total, tn1.kg_most, tn1.kg_least) == (3, 199, 100, 9)
-    assert out[("WEST", "3")].kg_total == 150
 
+def test_column_name_wins_over_an_alias(spark, write_text_file):
+    depot = M.transformed_sources(spark, parcels(write_text_file))[0][1]
+    assert depot.columns == ["route", "stops", "load_kg", "opened", "kg", "day"]  # D8: no opened_on
 
-def test_case_insensitive_rename_takes_new_spelling(spark, crates):
-    kl = M.transformed_sources(spark, crates)[1][1]
-    assert "weight" in kl.columns and "Weight" not in kl.columns  # D9
+
+def test_case_insensitive_match_keeps_place_and_takes_new_spelling(spark, write_text_file):
+    van = M.transformed_sources(spark, parcels(write_text_file))[1][1]
+    assert van.columns == ["Plate", "route", "Load_KG", "kg"]  # D9
 
 
 def test_case_duplicate_headers_are_refused(spark, write_text_file):
-    df = spark.createDataFrame([(1, 2, 3)], "id int, a int, b int").toDF("id", "Weight", "weight")
+    df = spark.createDataFrame([(1, 2, 3)], "id int, a int, b int").toDF("id", "Tone", "tone")
     with pytest.raises(C.ConformError, match="differ only by case"):
         C.check_case_unique(df, "dup")
-    # The CSV reader itself renames such headers (Weight1, mark2), so a mapping
-    # that refers to `weight` fails loudly at plan time, naming the source.
-    path = write_text_file("dup.csv", "id,Weight,weight\n1,2,3\n")
+    # The CSV reader itself renames such headers (Tone1, tone2), so a mapping
+    # that refers to `tone` fails loudly at plan time, naming the source.
+    path = write_text_file("dup.csv", "id,Tone,tone\n1,2,3\n")
     csv = SRC.read_csv_strings(spark, path)
     with pytest.raises(C.ConformError, match="source 'dup'"):
-        C.apply_transformations(csv, [{"column_name": "weight", "expression": "weight"}], "dup")
+        C.apply_transformations(csv, [{"column_name": "tone", "expression": "tone"}], "dup")
 
 
 def test_transformations_run_in_order_and_collapse_to_one_project(spark):
@@ -242,30 +215,24 @@ def test_undeclared_schema_is_first_seen_order_and_common_type(spark):
     assert sorted((r.id, r.name, r.score) for r in out.collect()) == [("1", "x", None), ("2", "y", 5.0)]
 
 
-def test_empty_source_and_bom_absent(spark, write_text_file):
-    # One source has only a header; the other has no BOM.  The mapping still
-    # conforms both; the empty one contributes no rows.
+def test_a_feed_with_only_a_header_adds_no_rows(spark, write_text_file):
     spec = MappingSpec.from_dict({
         "data_sources": [
-            {"source_name": "E", "path": write_text_file("e.csv", BOM + "crate_id,weight\n"),
-             "transformations": [{"column_name": "source_key", "expression": "'E'"}]},
-            {"source_name": "N", "path": write_text_file("n.csv", "crate_id,weight\n7,40\n"),
-             "transformations": [{"column_name": "source_key", "expression": "'N'"}]}],
-        "columns": [{"col_name": "crate_id", "col_type": "string"},
-                    {"col_name": "weight", "col_type": "int"},
-                    {"col_name": "source_key", "col_type": "string"}],
-        "keys": ["source_key"],
-        "measures": [{"name": "n", "func": "count_star"}, {"name": "total", "func": "sum", "column": "weight"}]})
-    assert [(r.source_key, r.n, r.total) for r in M.summary(spark, spec).collect()] == [("N", 1, 40)]
-
-
-def test_keys_and_measures_can_come_from_the_job(spark, crates):
-    bare = MappingSpec(sources=crates.sources, columns=crates.columns)
+            {"source_name": "quiet", "path": write_text_file("quiet.csv", BOM + "seal,height\n"),
+             "transformations": [{"column_name": "height", "expression": "height / 100"}]},
+            {"source_name": "busy", "path": write_text_file("busy.csv", "seal,height\nx,250\n")}],
+        "columns": [{"col_name": "height", "col_type": "double"}],
+        "measures": [{"name": "n", "func": "count_star"}, {"name": "top", "func": "max", "column": "height"}]})
+    assert [tuple(r) for r in M.summary(spark, spec).collect()] == [(1, 250.0)]
+
+
+def test_keys_and_measures_can_come_from_the_job(spark, write_text_file):
+    bare = parcels(write_text_file, keys=[], measures=[])
     with pytest.raises(SpecError, match="measures"):
         M.summary(spark, bare)
-    out = M.summary(spark, bare, keys=["source_key"],
-                    measures=[MeasureSpec("n", "count_star"), MeasureSpec("hi", "max", "weight")])
-    assert sorted((r.source_key, r.n, r.hi) for r in out.collect()) == [("EAST", 4, 100), ("WEST", 2, 80)]
+    out = M.summary(spark, bare, keys=["day"], measures=[MeasureSpec("n", "count"), MeasureSpec("most", "max", "stops")])
+    assert sorted((str(r.day), r.n, r.most) for r in out.collect()) == [
+        ("2024-03-01", 1, 7), ("2024-03-02", 2, 11), ("None", 3, None)]
 
 
 def test_many_independent_transformations_batch_into_one_projection(spark):

@@ -1,8 +1,13 @@
-"""Map and JSON column helpers (MAP-1..4, JSN-1)."""
+"""Map and JSON column helpers (MAP-1..4, JSN-1).
+
+JSON whose shape drifts from row to row (a number here, a text, list or object
+there) is parsed once into Spark's ``VARIANT`` and read by path with a type; only
+what does not fit becomes null.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -51,3 +56,35 @@ def json_path(c: Column | str, path: str) -> Column:
     """A nested value out of JSON text by path, e.g. ``$.k3[0].contact``
     (MAP-4); for a parsed struct use ``col("k3")[0]["contact"]``."""
     return F.get_json_object(_c(c), path)
+
+
+def parse_variant(c: Column | str) -> Column:
+    """JSON text → ``VARIANT``, each value with the type it has (JSN-1); malformed
+    text gives null rather than failing the job."""
+    return F.try_parse_json(_c(c))
+
+
+def variant_get(v: Column | str, path: str, type_name: str = "string") -> Column:
+    """The value at ``path`` as ``type_name`` (MAP-4): null where the path is
+    missing or holds a value that does not cast to it."""
+    return F.try_variant_get(_c(v), path, type_name)
+
+
+def variant_kind(v: Column | str, path: str = "$") -> Column:
+    """The type of the value at ``path`` in this row, such as ``BIGINT`` or
+    ``ARRAY<VOID>`` (``VOID``: a JSON null); null where the path is missing."""
+    return F.schema_of_variant(F.try_variant_get(_c(v), path, "variant"))
+
+
+def variant_schema(df: DataFrame, v: str) -> str:
+    """The one schema that holds every value of a variant column, its fields by name
+    with the common type (``VARIANT`` where types clash): one aggregate, whose
+    partial results are schemas, not rows."""
+    return df.agg(F.schema_of_variant_agg(_c(v)).alias("s")).first()["s"]
+
+
+def json_faults(df: DataFrame, c: str, by: str) -> DataFrame:
+    """by, n_rows, n_absent, n_malformed of a JSON text column, per value of ``by``."""
+    text = _c(c)
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(text.isNull()).alias("n_absent"),
+                              F.count_if(text.isNotNull() & parse_variant(text).isNull()).alias("n_malformed"))

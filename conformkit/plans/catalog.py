@@ -57,4 +57,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load() -> None:
     # Importing the modules registers their queries.
-    from conformkit.plans import queries_columns, queries_core, queries_io  # noqa: F401
+    from conformkit.plans import queries_columns, queries_core, queries_io, queries_tables  # noqa: F401

@@ -6,7 +6,7 @@ config only names them, so no text from a config file is ever imported or
 executed (LOD-5).
 
 ``run_jobs`` plans every job first (all frames are lazy; no data moves), checks
-them, then writes them in order (LOD-4).
+them, then writes them in order (LOD-4), keeping a ledger if asked to.
 """
 
 from __future__ import annotations
@@ -15,13 +15,15 @@ import datetime as dt
 import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conformkit.operators.conform import align_to_target, apply_transformations, cast_rejects
-from conformkit.plans.load import LoadResult, incremental_replace_files, load
+from conformkit.plans.ledger import commit, fingerprint, finished
+from conformkit.plans.load import LoadResult, check_layout, incremental_replace_files, load
 from conformkit.specs import ConnectionProfile, LoadSpec, SliceMode, SourceSpec, SpecError
 from conformkit.functions.dates import business_date
 from conformkit.session import path_exists
@@ -40,7 +42,8 @@ class JobSpec:
     has nothing to probe and is written as shaped).  ``safe_cast`` turns
     values that do not fit the target type into nulls instead of failing the
     job, and ``reject_path`` then receives those source rows with the names of
-    the failing columns (appended as Parquet).
+    the failing columns, as Parquet partitioned by job name and run date (several
+    jobs may share it; a rerun replaces its own rejects).
     """
 
     name: str
@@ -69,6 +72,8 @@ def probe_target_schema(spark: SparkSession, job: JobSpec) -> T.StructType | Non
         if job.profile is None:
             raise SpecError(f"job {job.name!r}: a jdbc target needs a connection profile")
         return table_schema(spark, job.profile, spec.target)
+    if spec.format == "table":
+        return spark.table(spec.target).schema if spark.catalog.tableExists(spec.target) else None
     if not path_exists(spark, spec.target):
         return None
     reader = spark.read.format(spec.format)
@@ -159,33 +164,63 @@ def plan_job(spark: SparkSession, job: JobSpec, run_date: dt.date) -> PlannedJob
     return PlannedJob(job, df, rejects)
 
 
+def _reject_folder(job: JobSpec) -> str:
+    return f"{job.reject_path.rstrip('/')}/job={quote(job.name, safe='')}"
+
+
 def run_jobs(spark: SparkSession, jobs: Iterable[JobSpec],
-             run_date: dt.date | str | None = None) -> list[LoadResult]:
+             run_date: dt.date | str | None = None, ledger: str | None = None,
+             force: bool = False) -> list[LoadResult]:
     """Plan all jobs, then write each (LOD-4, LOD-6).
 
     Planning first means a broken expression or missing column in the last job
-    fails before the first job has written anything.
+    fails before the first job has written anything.  With ``ledger`` (a folder in
+    shared storage) every job that has been written leaves a marker for the run
+    date, and a rerun after a failure goes on with those that have none
+    (``plans.ledger``); ``force`` writes all of them again.
     """
     day = business_date(run_date)
+    jobs = list(jobs)
+    names = [j.name for j in jobs]
+    if ledger and len(set(names)) != len(names):
+        raise SpecError(f"a ledger needs one name per job: {names}")
     planned = [plan_job(spark, j, day) for j in jobs]
     targets = [p.job.load.target for p in planned]
     if len(set(targets)) != len(targets):
         raise SpecError(f"two jobs write the same target: {targets}")
+    folders = [_reject_folder(p.job) for p in planned if p.rejects is not None]
+    if len(set(folders)) != len(folders):
+        raise SpecError(f"two jobs of one name write the same rejects: {folders}")
+    for p in planned:
+        if p.rejects is not None:  # an older layout is refused before anything is written
+            check_layout(spark, p.job.reject_path, "job")
+            check_layout(spark, _reject_folder(p.job), "run_date")
     results = []
     for p in planned:
-        results.append(load(spark, p.frame, p.job.load, day, p.job.profile))
+        mark = fingerprint(p.job, p.frame) if ledger else None
+        done = finished(spark, ledger, p.job.name, day, mark) if ledger and not force else None
+        if done is not None:
+            results.append(done)
+            continue
+        result = load(spark, p.frame, p.job.load, day, p.job.profile)
         if p.rejects is not None:
             # One folder per run date, replaced: a rerun does not add rejects twice.
-            incremental_replace_files(spark, p.rejects, p.job.reject_path, "run_date", day)
+            incremental_replace_files(spark, p.rejects, _reject_folder(p.job), "run_date", day)
+        if ledger:
+            commit(spark, ledger, p.job.name, day, mark, result)
+        results.append(result)
     return results
 
 
 def run_services(spark: SparkSession, services_config: Mapping[str, Sequence[str]] | str,
-                 run_date: dt.date | str | None = None, **factory_args) -> list[LoadResult]:
+                 run_date: dt.date | str | None = None, ledger: str | None = None,
+                 force: bool = False, **factory_args) -> list[LoadResult]:
     """The migration flow (LOD-4..7): the services a config names, looked up in
     the registry, planned together and then written.  ``services_config`` is
     the dict or the path of its JSON file; ``factory_args`` (connection
-    profiles, config folders, …) are passed to every service factory."""
+    profiles, config folders, …) are passed to every service factory.  A config may
+    name its ``ledger`` folder itself."""
     if isinstance(services_config, str):
         services_config = read_config(spark, services_config)
-    return run_jobs(spark, resolve_services(services_config, **factory_args), run_date)
+    return run_jobs(spark, resolve_services(services_config, **factory_args), run_date,
+                    ledger or services_config.get("ledger"), force)

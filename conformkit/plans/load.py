@@ -1,5 +1,12 @@
 """Full and incremental loads that can be rerun safely (LOD-1..3, SNK-5, FLT-2).
 
+Tables of the session catalog (format ``table``)
+    * full load: ``INSERT OVERWRITE`` of an existing table, whose columns, types and
+      partitioning stay and decide; a table that does not exist is created,
+      partitioned by the incremental column.
+    * incremental: ``INSERT OVERWRITE`` of one static partition: exactly that day,
+      also when its new slice is empty.
+
 Files (Parquet/CSV/JSON folders)
     * full load: write to a sibling staging folder, then swap it in by renames
       after the job commits, so a failed job leaves the old target intact.
@@ -23,6 +30,7 @@ replaced (D5).
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import uuid
 from dataclasses import dataclass
@@ -31,7 +39,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conformkit.session import delete_path, hadoop_path, path_exists
+from conformkit.operators.conform import align_to_target
+from conformkit.session import delete_path, hadoop_path, swap_in
 from conformkit.sinks.jdbc import write_jdbc
 from conformkit.sources.jdbc import table_schema
 from conformkit.specs import ConnectionProfile, LoadSpec, LoadType, SpecError, check_identifier
@@ -43,6 +52,7 @@ class LoadResult:
     load_type: str
     run_date: dt.date | None
     rows_in_slice: int | None
+    skipped: bool = False  # a ledger says that it was written before
 
 
 def _partition_value(v: dt.date | str) -> str:
@@ -98,24 +108,8 @@ def full_load_files(df: DataFrame, target: str, fmt: str = "parquet",
             delete_path(df.sparkSession, out)
         raise
     if staged:
-        _swap_in(df.sparkSession, out, target)
-
-
-def _swap_in(spark: SparkSession, staging: str, target: str) -> None:
-    """Move ``staging`` to ``target``, keeping the old target until the new one
-    is in place (and restoring it if the second rename fails)."""
-    fs, t = hadoop_path(spark, target.rstrip("/"))
-    _, s = hadoop_path(spark, staging)
-    _, old = hadoop_path(spark, f"{target.rstrip('/')}.__old-{uuid.uuid4().hex}")
-    had_target = bool(fs.exists(t))
-    if had_target and not fs.rename(t, old):
-        raise OSError(f"cannot move {target} aside")
-    if not fs.rename(s, t):
-        if had_target:
-            fs.rename(old, t)
-        raise OSError(f"cannot move {staging} to {target}")
-    if had_target:
-        fs.delete(old, True)
+        target = target.rstrip("/")
+        swap_in(df.sparkSession, out, target, f"{target}.__old-{uuid.uuid4().hex}")
 
 
 def check_layout(spark: SparkSession, target: str, column: str) -> None:
@@ -156,6 +150,65 @@ def incremental_replace_files(spark: SparkSession, df: DataFrame, target: str, c
     return LoadResult(target, "incremental", run_date, rows)
 
 
+# --------------------------------------------------------------------------- tables
+
+
+def _partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def full_load_table(df: DataFrame, table: str, partition_by: tuple[str, ...] = (), fmt: str = "parquet",
+                    safe_cast: bool = False) -> None:
+    """Replace the rows of a catalog table (LOD-1), in one statement.  An existing
+    table keeps its definition: rows are aligned to it by name, and partitions that
+    the new rows lack go too.  Otherwise it is created with the rows' columns."""
+    spark = df.sparkSession
+    check_identifier(table, "table")
+    if not spark.catalog.tableExists(table):
+        writer = (df.hint("rebalance", *partition_by) if partition_by else df).write.format(fmt)
+        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
+        return
+    held = [c.lower() for c in _partition_columns(spark, table)]
+    if held != [c.lower() for c in partition_by]:
+        raise SpecError(f"table {table} is partitioned by {held}, not by {list(partition_by)}")
+    rows = align_to_target(df, spark.table(table).schema, safe_cast)
+    rows = rows.hint("rebalance", *held) if held else rows
+    with _static_overwrite(spark):
+        spark.sql(f"INSERT OVERWRITE TABLE {table} SELECT * FROM {{rows}}", rows=rows)
+
+
+@contextlib.contextmanager
+def _static_overwrite(spark: SparkSession):
+    """An overwrite of a whole table replaces all partitions, whatever the session
+    says; its setting comes back afterwards."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "static")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def incremental_replace_table(spark: SparkSession, df: DataFrame, table: str, column: str,
+                              run_date: dt.date | str, safe_cast: bool = False) -> LoadResult:
+    """Replace the ``column = run_date`` partition of a catalog table with ``df``
+    (LOD-2), in one statement on that partition alone."""
+    check_identifier(table, "table")
+    check_identifier(column, "column")
+    if not spark.catalog.tableExists(table):
+        raise SpecError(f"table {table} does not exist; load it in full first")
+    if [c.lower() for c in _partition_columns(spark, table)] != [column.lower()]:
+        raise SpecError(f"table {table} is not partitioned by {column!r}; load it in full first")
+    new = stamp(df, column, run_date)
+    schema = T.StructType([f for f in spark.table(table).schema.fields if f.name.lower() != column.lower()])
+    seen = Observation()  # counted by the write itself: the source runs once
+    rows = align_to_target(new, schema, safe_cast).observe(seen, F.count(F.lit(1)).alias("n"))
+    value = dt.date.fromisoformat(_partition_value(run_date)).isoformat()
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({column} = DATE '{value}') SELECT * FROM {{rows}}", rows=rows)
+    return LoadResult(table, "incremental", run_date, int(seen.get.get("n") or 0))
+
+
 # --------------------------------------------------------------------------- JDBC
 
 def full_load_jdbc(df: DataFrame, profile: ConnectionProfile, table: str) -> None:
@@ -222,7 +275,7 @@ def incremental_replace_jdbc(spark: SparkSession, df: DataFrame, profile: Connec
 
 def load(spark: SparkSession, df: DataFrame, spec: LoadSpec, run_date: dt.date | str | None,
          profile: ConnectionProfile | None = None) -> LoadResult:
-    """Write ``df`` as ``spec`` says: full or incremental, files or JDBC."""
+    """Write ``df`` as ``spec`` says: full or incremental, files, catalog table or JDBC."""
     if spec.format == "jdbc":
         if profile is None:
             raise SpecError("a jdbc target needs a connection profile")
@@ -234,13 +287,17 @@ def load(spark: SparkSession, df: DataFrame, spec: LoadSpec, run_date: dt.date |
     if spec.load_type is LoadType.INCREMENTAL:
         if run_date is None:
             raise SpecError("an incremental load needs a run_date")
+        if spec.format == "table":
+            return incremental_replace_table(spark, df, spec.target, spec.incremental_column, run_date)
         return incremental_replace_files(spark, df, spec.target, spec.incremental_column,
                                          run_date, spec.format)
     if spec.incremental_column and spec.incremental_column.lower() not in [c.lower() for c in df.columns]:
+        if run_date is None:
+            raise SpecError(f"the rows lack {spec.incremental_column!r}: a full load needs a run_date to stamp them")
         df = stamp(df, spec.incremental_column, run_date)
-    full_load_files(df, spec.target, spec.format, spec.partition_by)
+    if spec.format == "table":
+        full_load_table(df, spec.target, spec.partition_by)
+    else:
+        full_load_files(df, spec.target, spec.format, spec.partition_by)
     return LoadResult(spec.target, "full", run_date, None)
 
-
-def target_exists(spark: SparkSession, spec: LoadSpec) -> bool:
-    return spec.format != "jdbc" and path_exists(spark, spec.target)

@@ -274,10 +274,10 @@ def date_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("preview", "SNK-6", """
-SELECT n_nationkey, n_name FROM nation ORDER BY n_name, n_nationkey LIMIT 20
+SELECT p_partkey, p_name FROM part ORDER BY p_name, p_partkey LIMIT 20
 """)
 def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preview(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), 20, ["n_name", "n_nationkey"])
+    return preview(table(spark, sf_dir, "part").select("p_partkey", "p_name"), 20, ["p_name", "p_partkey"])
 
 
 @query("top_rows", "SRT-1", """

@@ -153,7 +153,7 @@ def align_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT CAST(r_regionkey AS VARCHAR) AS id, r_name AS name, CAST(NULL AS BIGINT) AS region,
        CAST(NULL AS DOUBLE) AS balance FROM region
 UNION ALL
-SELECT CAST(n_nationkey AS VARCHAR), NULL, CAST(n_regionkey AS BIGINT), NULL FROM nation
+SELECT CAST(c_custkey AS VARCHAR), NULL, CAST(c_nationkey AS BIGINT), NULL FROM customer
 UNION ALL
 SELECT s_name, NULL, NULL, CAST(s_acctbal AS DOUBLE) FROM supplier
 """)
@@ -162,11 +162,11 @@ def derived_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     # is a number in two and text in one.
     region = table(spark, sf_dir, "region").select(
         F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))
-    nation = table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("ID"), F.lit(None).alias("name"), F.col("n_regionkey").cast("long").alias("region"))
+    customer = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("ID"), F.lit(None).alias("name"), F.col("c_nationkey").cast("long").alias("region"))
     supplier = table(spark, sf_dir, "supplier").select(
         F.col("s_name").alias("id"), F.col("s_acctbal").cast("double").alias("balance"))
-    return conform_and_union([("region", region), ("nation", nation), ("supplier", supplier)])
+    return conform_and_union([("region", region), ("customer", customer), ("supplier", supplier)])
 
 
 # --------------------------------------------------------------- roll-ups (AGG-4..8)

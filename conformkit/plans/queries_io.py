@@ -20,12 +20,13 @@ from conformkit.operators.joins import left_join
 from conformkit.plans.catalog import query, table
 from conformkit.plans.jobs import JobSpec, probe_target_schema, run_services, service
 from conformkit.plans.load import full_load_files, incremental_replace_files, load
-from conformkit.session import persisted, scratch_path, write_small_text
+from conformkit.session import persisted, scratch_path, scratch_table, write_small_text
 from conformkit.sinks import files as SNK
 from conformkit.sources import files as SRC
 from conformkit.specs import LoadSpec, LoadType, SourceSpec
 
-NATION_DDL = "n_nationkey INT, n_name STRING, n_regionkey INT"
+ORDERS_DDL = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING")
 EVENTS_DDL = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
               "value DOUBLE, props STRING")
 
@@ -56,11 +57,11 @@ def csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SRC.read_csv_typed(spark, _part_csv(spark, sf_dir), schema)
 
 
-@query("csv_ddl_noheader", "SRC-2", "SELECT * FROM nation")
+@query("csv_ddl_noheader", "SRC-2", "SELECT * FROM orders")
 def csv_ddl_noheader(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "nation-csv")
-    SNK.write_csv(table(spark, sf_dir, "nation"), path, header=False)
-    return SRC.read_csv_ddl(spark, path, NATION_DDL, header=False)
+    path = scratch_path(spark, "orders-csv")
+    SNK.write_csv(table(spark, sf_dir, "orders"), path, header=False)
+    return SRC.read_csv_ddl(spark, path, ORDERS_DDL, header=False)
 
 
 @query("csv_inferred", "SRC-4", """
@@ -96,8 +97,14 @@ def service_source_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The source relation a service names (PRJ-7: the whole table, `select *`),
     # and the service's projection written as SQL text (PRJ-6).  Only the
     # columns the SQL uses are read from the files.
-    table(spark, sf_dir, "lineitem").createOrReplaceTempView("nation_rows_src")
-    src = SRC.read_source(spark, SourceSpec("nation_rows", "nation_rows_src", "table"))
+    # The view has a name of its own and is dropped once the frame stands: a frame
+    # holds the plan behind the view, not its name.
+    view = scratch_table(spark, "lineitem")
+    table(spark, sf_dir, "lineitem").createOrReplaceTempView(view)
+    try:
+        src = SRC.read_source(spark, SourceSpec("lineitem", view, "table"))
+    finally:
+        spark.catalog.dropTempView(view)
     return spark.sql("""
         SELECT CAST(l_shipdate AS DATE) AS mis_date, l_partkey AS instrument, l_quantity AS qty,
                l_extendedprice / l_quantity AS avg_cost, l_extendedprice AS invested
@@ -112,12 +119,13 @@ def json_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SRC.read_json_documents(spark, path, sup.schema, mode="FAILFAST")
 
 
-@query("optional_source", "SRC-14", "SELECT * FROM region")
+@query("optional_source", "SRC-14", "SELECT * FROM part")
 def optional_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    region = table(spark, sf_dir, "region")
+    part = table(spark, sf_dir, "part")
     absent = SourceSpec(name="late_feed", path=scratch_path(spark, "never-written"),
-                        format="parquet", schema=region.schema, optional=True)
-    return union_conformed([SRC.read_source(spark, absent), region])
+                        format="parquet", schema=part.schema, optional=True)
+    there = SourceSpec("part", f"{sf_dir.rstrip('/')}/part.parquet", "parquet", schema=part.schema, optional=True)
+    return union_conformed([SRC.read_source(spark, absent), SRC.read_source(spark, there)])
 
 
 @query("literal_rows", "SRC-5", """
@@ -137,10 +145,10 @@ def literal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("o_orderstatus", "status_name", "n_orders"))
 
 
-@query("empty_typed", "SRC-6", "SELECT * FROM region")
+@query("empty_typed", "SRC-6", "SELECT * FROM events")
 def empty_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    region = table(spark, sf_dir, "region")
-    return union_conformed([SRC.empty(spark, region.schema), region])
+    events = table(spark, sf_dir, "events")
+    return union_conformed([SRC.empty(spark, events.schema), events])
 
 
 @query("partitioned_append", "SNK-2", "SELECT * FROM events")
@@ -276,14 +284,20 @@ def persisted_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("probe_target", "SRC-10 FLT-1 PRJ-4", """
-SELECT CAST(n_nationkey AS BIGINT) AS key, n_name AS name FROM nation
+SELECT o_orderkey AS key, CAST(o_totalprice AS DECIMAL(18,2)) AS total, o_orderstatus AS status,
+       CAST(NULL AS VARCHAR) AS clerk
+FROM orders
 """)
 def probe_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The target's own schema decides: its files give name and type, no rows are read.
+    # The target's own schema decides: the files of an earlier load (of other rows) give
+    # names and types, none of its rows are read.
     target = scratch_path(spark, "probed")
-    spark.createDataFrame([], "key long, name string").write.parquet(target)
-    job = JobSpec("probe", SourceSpec("nation", f"{sf_dir.rstrip('/')}/nation.parquet", "parquet"),
+    (table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("key"), F.col("c_acctbal").cast("decimal(18,2)").alias("total"),
+        F.lit("O").alias("status"), F.col("c_name").alias("clerk")).write.parquet(target))
+    job = JobSpec("probe", SourceSpec("orders", f"{sf_dir.rstrip('/')}/orders.parquet", "parquet"),
                   LoadSpec(target))
-    rows = table(spark, sf_dir, "nation").select(
-        F.col("n_name").alias("NAME"), F.col("n_nationkey").alias("Key"), "n_regionkey")
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_orderstatus").alias("STATUS"), F.col("o_orderkey").alias("Key"),
+        F.col("o_totalprice").alias("total"), "o_orderdate")
     return align_to_target(rows, probe_target_schema(spark, job))

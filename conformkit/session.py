@@ -15,6 +15,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
+SCRATCH_PREFIX = "conformkit_scratch_"
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -65,6 +68,44 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(jpath, True))
 
 
+def swap_in(spark: SparkSession, staging: str, target: str, aside: str) -> None:
+    """Move ``staging`` to ``target``, keeping the old target as ``aside`` until the
+    new one is in place (and restoring it if the second rename fails)."""
+    fs, t = hadoop_path(spark, target)
+    _, s = hadoop_path(spark, staging)
+    _, old = hadoop_path(spark, aside)
+    had_target = bool(fs.exists(t))
+    if had_target and not fs.rename(t, old):
+        raise OSError(f"cannot move {target} aside")
+    if not fs.rename(s, t):
+        if had_target:
+            fs.rename(old, t)
+        raise OSError(f"cannot move {staging} to {target}")
+    if had_target:
+        fs.delete(old, True)
+
+
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """A fresh table name in the session catalog (current database)."""
+    return f"{SCRATCH_PREFIX}{name}_{uuid.uuid4().hex}"
+
+
+def clean_scratch(spark: SparkSession) -> list[str]:
+    """Delete every scratch folder and scratch table of earlier and present runs and
+    say which.  Call it when no frame that reads them is still in use: frames are
+    lazy, so a query cannot clean up after itself."""
+    found = []
+    fs, root = hadoop_path(spark, f"{checkpoint_root(spark)}/conformkit")
+    if fs.exists(root):
+        found += [str(st.getPath().toString()) for st in fs.listStatus(root)]
+        fs.delete(root, True)
+    for t in spark.catalog.listTables():
+        if not t.isTemporary and t.name.startswith(SCRATCH_PREFIX):
+            spark.sql(f"DROP TABLE IF EXISTS `{t.name}`")
+            found.append(t.name)
+    return found
+
+
 # A config file read or written on the driver must stay config-sized.
 MAX_SMALL_FILE_BYTES = 16 * 1024 * 1024
 

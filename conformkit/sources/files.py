@@ -9,7 +9,7 @@ inference pass runs over the data.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -17,11 +17,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conformkit.session import path_exists, read_small_text
+from conformkit.session import MAX_SMALL_FILE_BYTES, path_exists, read_small_text
 from conformkit.specs import SourceSpec, SpecError, build_schema
 
 CORRUPT_COLUMN = "_corrupt_record"
 
+# How sinks.files.write_csv writes free text, for reading it back exactly: quotes
+# doubled inside quotes, blanks kept, lines ended by \n alone.  A null is nothing
+# between two separators and an empty text is "", so the null marker of the reader
+# must be something that no field holds.
+CSV_TEXT = {"escape": '"', "lineSep": "\n", "ignoreLeadingWhiteSpace": "false",
+            "ignoreTrailingWhiteSpace": "false", "nullValue": "\x00null\x00", "emptyValue": ""}
+
+
+def _csv_reader(spark: SparkSession, multiline: bool, options: Mapping[str, Any]):
+    """Quotes inside quotes are doubled, as RFC 4180 and ``write_csv`` have it (pass
+    ``escape`` for files that use a backslash).  With ``multiline`` a quoted value may
+    hold line breaks, and fields are read just as ``write_csv`` wrote them; a file is
+    then read by one task, so write such data as many files (``rows_per_file``)."""
+    fixed = {**CSV_TEXT, "multiLine": "true"} if multiline else {"escape": CSV_TEXT["escape"]}
+    return spark.read.options(**{**fixed, **options})
+
 
 def as_schema(schema: Any) -> T.StructType | str | None:
     """Accept a StructType, a DDL string or config fields [(name, type)]."""
@@ -30,22 +46,23 @@ def as_schema(schema: Any) -> T.StructType | str | None:
     return build_schema(schema)
 
 
-def read_csv_strings(spark: SparkSession, path: str, **options) -> DataFrame:
+def read_csv_strings(spark: SparkSession, path: str, multiline: bool = False, **options) -> DataFrame:
     """CSV with a header, every column a string (SRC-1).  A UTF-8 BOM at the
-    start of the file is dropped by the reader (D22)."""
-    return spark.read.options(**options).csv(path, header=True)
+    start of the file is dropped by the reader (D22).  ``multiline``: records may
+    span lines, and blanks, empty texts and nulls are told apart."""
+    return _csv_reader(spark, multiline, options).csv(path, header=True)
 
 
 def read_csv_ddl(spark: SparkSession, path: str, ddl: str, header: bool = False,
-                 **options) -> DataFrame:
+                 multiline: bool = False, **options) -> DataFrame:
     """CSV bound to a DDL schema (SRC-2).  ``header`` is explicit: without it a
     header line would be read as a data row (D13)."""
-    return spark.read.options(**options).schema(ddl).csv(path, header=header)
+    return _csv_reader(spark, multiline, options).schema(ddl).csv(path, header=header)
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: Any, header: bool = True,
                    check_header: bool = True, keep_rejects: bool = False,
-                   **options) -> DataFrame:
+                   multiline: bool = False, **options) -> DataFrame:
     """CSV with a header and an explicit schema (SRC-3).
 
     ``check_header`` sets ``enforceSchema=false`` so a header that disagrees with
@@ -59,17 +76,31 @@ def read_csv_typed(spark: SparkSession, path: str, schema: Any, header: bool = T
     if keep_rejects:
         st = T.StructType(list(st.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType(), True)])
         options.setdefault("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-    reader = spark.read.options(**options).schema(st)
+    reader = _csv_reader(spark, multiline, options).schema(st)
     if header:
         reader = reader.option("enforceSchema", str(not check_header).lower())
     return reader.csv(path, header=header)
 
 
-def read_csv_inferred(spark: SparkSession, path: str, **options) -> DataFrame:
+def csv_reject_counts(spark: SparkSession, path: str, schema: Any, **options) -> DataFrame:
+    """file, n_rows, n_corrupt, n_values (values read) of every CSV file: how many
+    of its records hold a value that does not parse, or too few or many values.
+    One pass; each task sends one row per file.  A file without records has no row."""
+    rows = read_csv_typed(spark, path, schema, keep_rejects=True, **options)
+    values = sum((F.col(f"`{c}`").isNotNull().cast("int") for c in rows.columns if c != CORRUPT_COLUMN), F.lit(0))
+    # A record is known to be corrupt only if all of its values are parsed, and Spark
+    # parses just the columns in use: so the test itself uses all of them.
+    read = rows.select(F.col("_metadata.file_name").alias("file"), values.alias("n"),
+                       ((values >= 0) & F.col(CORRUPT_COLUMN).isNotNull()).alias("corrupt"))
+    return read.groupBy("file").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("corrupt").alias("n_corrupt"),
+                                    F.sum("n").alias("n_values"))
+
+
+def read_csv_inferred(spark: SparkSession, path: str, multiline: bool = False, **options) -> DataFrame:
     """CSV with inferred types (SRC-4), as ``pandas.read_csv`` does.  Inference is
     a full extra pass over the data; prefer a declared schema at scale (or set
     ``samplingRatio``)."""
-    return spark.read.options(**options).csv(path, header=True, inferSchema=True)
+    return _csv_reader(spark, multiline, options).csv(path, header=True, inferSchema=True)
 
 
 def rows(spark: SparkSession, data: Sequence[Sequence[Any]], schema: Any) -> DataFrame:
@@ -82,9 +113,20 @@ def empty(spark: SparkSession, schema: Any) -> DataFrame:
     return spark.createDataFrame([], as_schema(schema))
 
 
-def read_text_lines(spark: SparkSession, path: str, **options) -> DataFrame:
-    """One row per line, column ``value`` (SRC-15)."""
-    return spark.read.options(**options).text(path)
+def read_text_lines(spark: SparkSession, path: str, escaped: bool = False, **options) -> DataFrame:
+    """One row per line, column ``value`` (SRC-15).  ``escaped`` undoes the escapes
+    of ``write_text(..., newlines="escape")``."""
+    lines = spark.read.options(**options).text(path)
+    return lines.select(unescape_lines(F.col("value")).alias("value")) if escaped else lines
+
+
+def unescape_lines(c: Column) -> Column:
+    """Undo ``sinks.files.escape_lines``.  An escaped text holds no NUL, so NUL and a
+    letter stand for a backslash or a NUL until the other escapes are undone."""
+    for mark, text in (("\\\\", "\x00b"), ("\\0", "\x00z"), ("\\n", "\n"), ("\\r", "\r"),
+                       ("\x00b", "\\"), ("\x00z", "\x00")):
+        c = F.replace(c, F.lit(mark), F.lit(text))
+    return c
 
 
 def read_text_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -130,18 +172,18 @@ def read_parquet(spark: SparkSession, path: str, schema: Any = None, **options)
     return reader.parquet(path)
 
 
-def read_config(spark: SparkSession, path: str) -> dict:
+def read_config(spark: SparkSession, path: str, limit: int = MAX_SMALL_FILE_BYTES) -> dict:
     """A JSON config file as a dict (SRC-13, SNK-7).
 
     Read on the driver through the Hadoop FileSystem API, so local, HDFS and
-    object-store paths behave alike and no Spark job runs; files above a
-    config size are refused.  A folder holding one data file (as Spark writes
+    object-store paths behave alike and no Spark job runs; files above
+    ``limit`` bytes are refused, as no config is that large.  A folder holding one data file (as Spark writes
     text) is accepted too.
     """
     if not path_exists(spark, path):
         raise SpecError(f"config {path!r} does not exist")
     try:
-        text = read_small_text(spark, path)
+        text = read_small_text(spark, path, limit)
     except ValueError as e:
         raise SpecError(f"config {path!r}: {e}") from e
     try:
@@ -173,7 +215,9 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     """Read one ``SourceSpec`` (csv / parquet / json / json_documents / text /
     table / jdbc)."""
     fmt = spec.format
-    opts: Mapping[str, str] = dict(spec.options)
+    opts: dict[str, Any] = dict(spec.options)
+    if fmt == "csv":  # a spec's options come from JSON
+        opts["multiline"] = str(opts.pop("multiline", False)).lower() == "true"
     if fmt != "table" and not spec.path:
         raise SpecError(f"source {spec.name!r} has no path")
 
@@ -195,16 +239,28 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
         if fmt == "table":
             return spark.table(spec.path or spec.name)
         if fmt == "jdbc":
-            # path = source SQL or table; options = connection profile keys plus
-            # optional partition_column / num_partitions for a parallel read.
+            # path = source SQL or table; options = connection profile keys plus, for
+            # a parallel read, partition_column and num_partitions (and the bounds,
+            # else they are asked of the database) or predicates; and fetch_size.
             from conformkit.sources import jdbc
             from conformkit.specs import ConnectionProfile
             o = dict(opts)
-            part_col, n_parts = o.pop("partition_column", None), o.pop("num_partitions", None)
-            profile = ConnectionProfile.from_dict(o)
+            part_col, n_parts, low, high, fetch, clauses = (o.pop(k, None) for k in (
+                "partition_column", "num_partitions", "lower_bound", "upper_bound", "fetch_size", "predicates"))
+            profile, fetch = ConnectionProfile.from_dict(o), int(fetch) if fetch else None
+            if isinstance(clauses, str):
+                raise SpecError(f"source {spec.name!r}: predicates must be a list of WHERE clauses")
+            if (low is None) != (high is None):
+                raise SpecError(f"source {spec.name!r}: lower_bound and upper_bound go together")
+            if clauses or low is not None:
+                return jdbc.read_query(spark, profile, spec.path, part_col, None if low is None else int(low),
+                                       None if high is None else int(high), int(n_parts) if n_parts else None,
+                                       fetchsize=fetch, predicates=clauses)
             if part_col and n_parts:
-                return jdbc.read_query_parallel(spark, profile, spec.path, part_col, int(n_parts))
-            return jdbc.read_query(spark, profile, spec.path)
+                return jdbc.read_query_parallel(spark, profile, spec.path, part_col, int(n_parts), fetch)
+            if part_col or n_parts:
+                raise SpecError(f"source {spec.name!r}: partition_column and num_partitions go together")
+            return jdbc.read_query(spark, profile, spec.path, fetchsize=fetch)
         raise SpecError(f"source {spec.name!r}: unsupported format {fmt!r}")
 
     if spec.optional:
@@ -213,6 +269,3 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
         return optional_source(spark, read, spec.schema)
     return read()
 
-
-def read_all(spark: SparkSession, specs: Iterable[SourceSpec]) -> list[tuple[str, DataFrame]]:
-    return [(s.name, read_source(spark, s)) for s in specs]

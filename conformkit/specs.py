@@ -274,7 +274,8 @@ class SliceMode(enum.Enum):
 class LoadSpec:
     """Where and how a job writes (LOD-1..3).
 
-    ``target`` is a path (``format`` parquet/csv/json) or a table name for jdbc.
+    ``target`` is a path (``format`` parquet/csv/json) or a table name for jdbc
+    and table (the session catalog).
     """
 
     target: str

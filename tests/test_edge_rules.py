@@ -43,7 +43,7 @@ def test_json_documents_keep_every_record(spark, tmp_path):
     df = spark.range(10, numPartitions=2).selectExpr("id", "concat('x', id) as name")
     spark.conf.set("spark.sql.files.maxRecordsPerFile", 3)
     try:
-        SNK.write_json_documents(df, str(tmp_path / "j"), records_per_document=4)
+        SNK.write_json_documents(df, str(tmp_path / "j"), document_bytes=100)
     finally:
         spark.conf.unset("spark.sql.files.maxRecordsPerFile")
     back = spark.read.schema("id long, name string").json(str(tmp_path / "j"), multiLine=True, mode="FAILFAST")

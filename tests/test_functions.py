@@ -166,3 +166,20 @@ def test_pairs_product(spark):
     df = spark.createDataFrame([([1, 2], [10, 20, 30])], "a array<int>, b array<int>")
     got = df.select(pairs_product("a", "b").alias("p")).first().p
     assert got == [x * y for x in [1, 2] for y in [10, 20, 30]]
+
+
+def test_variants_of_drifting_json(spark):
+    texts = ['{"k": 1}', '{"k": "x"}', '{"k": [1, 2]}', '{"k": {"a": 1.5}}', "{bad", None, "null", '{"k": null}', "{}", "", "7"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, j string").withColumn("v", MP.parse_variant("j"))
+    rows = {r.id: r for r in df.select(
+        "id", F.col("v").isNull().alias("bad"), MP.variant_get("v", "$.k", "int").alias("n"),
+        MP.variant_get("v", "$.k[1]", "int").alias("second"), MP.variant_get("v", "$.k.a", "double").alias("a"),
+        MP.variant_get("v", "$.k").alias("text"), MP.variant_kind("v", "$.k").alias("kind")).collect()}
+    assert [i for i, r in rows.items() if r.bad] == [4, 5, 9]
+    assert [rows[i].n for i in range(4)] == [1, None, None, None]
+    assert (rows[2].second, rows[3].a, rows[1].text, rows[3].text) == (2, 1.5, "x", '{"a":1.5}')
+    assert [rows[i].kind for i in (0, 1, 2, 3, 7, 8, 10)] == ["BIGINT", "STRING", "ARRAY<BIGINT>", "OBJECT<a: DECIMAL(2,1)>", "VOID", None, None]
+    assert MP.variant_schema(df.where("id IN (0, 8)"), "v") == "OBJECT<k: BIGINT>"
+    assert "VARIANT" in MP.variant_schema(df.where("id < 3"), "v")
+    faults = MP.json_faults(df.withColumn("g", F.lit("x")), "j", "g").collect()
+    assert [tuple(r) for r in faults] == [("x", 11, 1, 2)]

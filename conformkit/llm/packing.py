@@ -36,7 +36,19 @@ from .common import freed, table, written
 
 TOKENS = 2048
 GROUP = 8192  # pieces packed together; a task's size, not a limit on anything
-CACHE = 200_000  # words remembered by a task (about 30 MB); beyond it they are encoded again
+CACHE = 400_000  # words remembered by a task (about 60 MB); beyond it they are encoded again
+
+
+class Words(dict):
+    """Numbers words in the order in which they are first looked up."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
 
 
 class WordEncoder:
@@ -47,9 +59,13 @@ class WordEncoder:
         import re
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
+        # For words that are lower case and split already.
+        self.bare = Tokenizer(self.tok.model)
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         # Plain characters: printable ones up to U+017E and usual white space.
         # NFC leaves any text of them as it is, and each has a one-character
         # lower case among them (U+0130 and U+0149 do not).
@@ -66,19 +82,20 @@ class WordEncoder:
         self.reset()
 
     def reset(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = Words()
         self.ids, self.start = np.zeros(1 << 20, np.uint32), np.zeros(1 << 19, np.int64)
 
-    def learn(self, new: list[str]) -> None:
-        """Remember the ids of words; a text of words with spaces between is
-        encoded at once and cut where a token ends a word."""
+    def learn(self) -> None:
+        """The ids of the words met since the last call; a text of words with
+        spaces between is encoded at once and cut where a token ends a word."""
+        new, n = self.number.new, len(self.number) - len(self.number.new)
+        self.number.new = []
         for at in range(0, len(new), 4096):
             part = new[at:at + 4096]
-            flat = np.array(self.tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            flat = np.array(self.bare.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.flatnonzero(self.last[flat]) + 1
             if len(ends) != len(part):
                 raise ValueError("a word of the split pattern is not one word of the vocabulary")
-            n = len(self.number)
             used = self.start[n]
             while len(self.start) <= n + len(part):
                 self.start = np.concatenate([self.start, np.zeros_like(self.start)])
@@ -86,7 +103,7 @@ class WordEncoder:
                 self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
             self.start[n + 1:n + 1 + len(part)] = used + ends
             self.ids[used:used + len(flat)] = flat
-            self.number.update(zip(part, range(n, n + len(part))))
+            n += len(part)
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
@@ -101,8 +118,8 @@ class WordEncoder:
                 out[i] = np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
         if len(self.number) > CACHE:
             self.reset()
-        self.learn(list(set(words) - self.number.keys()))
         at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        self.learn()
         first = self.start[at]
         size = self.start[at + 1] - first
         ends = np.cumsum(size)

@@ -6,26 +6,35 @@ one of accepted and one of rejected urls; a url that no rule fits is judged by
 its length-normalised log-likelihood difference against a cut calibrated on the
 ruled urls.
 
-Model: a url (what follows its first ``://``, else all of it) is folded to 32
-symbols: a-z without case, one for digits, ``.``, ``/``, ``-``, one for anything
-else, and one for both ends.  The probability of a symbol after up to ``ORDER``
-symbols is interpolated with that after one symbol fewer, down to uniform, so an
-unseen context falls back to the longest seen one:
+Model: a url is what follows its first ``://`` (else all of it), its characters as
+they are, between a start and an end mark.  A table holds, for contexts of 0, 1, 2, 3,
+4, 6, 8, 12, ... characters, how often each next character follows in accepted and in
+rejected urls.  A context is kept only if ruled urls hold it SUPPORT times and its
+counts are likelier by GAIN than the next shorter context makes them, and only kept
+contexts are lengthened; so contexts grow with the corpus as far as it supports them,
+and there is no greatest length.  The probability of a character is interpolated with
+that after the next shorter context, down to uniform over the characters seen:
     p_k(c | ctx) = (n(ctx c) + MU p_{k-1}(c | shorter)) / (n(ctx) + MU).
-The folded alphabet bounds the model at 32^(ORDER + 1) numbers for any corpus; it
-reaches the scoring tasks as one scalar subquery.  All ruled urls are counted.
 
-Calibration: the cut that minimises the mean of both classes' error rates over
-the ruled urls, scores rounded to 1/100 (of equal cuts the one nearest 0).  With
-one class missing every unruled url is allowed.
+Training and scoring are one loop over the context lengths.  The positions whose
+context is kept so far are the only rows of a round: their grams are counted, joined
+to the kept ones, and add the change of the log-likelihood difference to their url.
+Equal urls are one row from the start, so copies cost nothing; gathered lists hold
+one url's positions.
 
-A null url scores as an empty text; repeated urls score alike; an empty table
-gives an empty result.  Other columns are not read.
+Calibration: one ruled url in FOLDS (by hash) is held out of the counts.  The cut
+minimises the mean of both classes' error rates over the held-out urls, scores
+rounded to 1/100 (of equal cuts the one nearest 0); over all ruled urls if a class
+has none held out.  With one class missing every unruled url is allowed.
+
+A null url scores as an empty text; repeated urls score alike; very long urls are
+scored whole; an empty table gives an empty result.  Other columns are not read.
 """
 
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,9 +43,10 @@ from pyspark.sql import functions as F
 
 from .common import table, written
 
-ORDER = 3
 MU = 4.0
-SYMBOLS = 32
+SUPPORT, GAIN = 8, 4.0  # uses of a context; its gain in log-likelihood
+FOLDS = 5
+START, END = "\x02", "\x03"
 
 
 @dataclass(frozen=True)
@@ -77,90 +87,101 @@ def matching_rule(host: Column, path: Column, rules) -> tuple[Column, Column]:
     return text, verdict
 
 
-def symbols(url: Column) -> Column:
-    """Symbol numbers of a url, padded with ORDER ends before and one after."""
-    chars = F.filter(F.split(F.coalesce(address(url), url, F.lit("")), ""), lambda c: c != "")
-
-    def code(c: Column) -> Column:
-        a = F.ascii(c)
-        return (F.when(a.between(97, 122), a - 96).when(a.between(65, 90), a - 64)
-                .when(a.between(48, 57), 27).when(c == ".", 28).when(c == "/", 29)
-                .when(c == "-", 30).otherwise(31))
-    end = F.array(F.lit(0))
-    return F.concat(F.array_repeat(F.lit(0), ORDER), F.transform(chars, code), end)
-
-
-def grams(codes: Column) -> Column:
-    """The (ORDER + 1)-gram that ends at each symbol, as one number."""
-    at = F.sequence(F.lit(ORDER), F.size(codes) - 1)
-
-    def gram(i: Column) -> Column:
-        out = F.get(codes, i)
-        for back in range(1, ORDER + 1):
-            out = out + F.get(codes, i - back) * SYMBOLS ** back
-        return out
-    return F.transform(at, gram)
-
-
-def train(ruled: DataFrame) -> DataFrame:
-    """One row ``model``: the log-likelihood difference of every gram.  ``ruled``
-    has grams (array) and verdict."""
-    yes = (F.col("verdict") == "allow").cast("long")
-    counted = (ruled.select(F.explode("grams").alias("g"), yes.alias("yes"))
-               .groupBy("g").agg(F.sum("yes").alias("yes"), F.sum(1 - F.col("yes")).alias("no")))
-    counted = written(counted, "url_grams")
-    spark = ruled.sparkSession
-    lower = spark.range(1).select(F.lit(0).cast("long").alias("id"), F.lit(1.0 / SYMBOLS).alias("p_yes"),
-                                  F.lit(1.0 / SYMBOLS).alias("p_no"))
-    for k in range(1, ORDER + 2):
-        # Grams of k symbols: the last k of the counted ones.
-        own = (counted.groupBy(F.pmod("g", F.lit(SYMBOLS ** k)).cast("long").alias("id"))
-               .agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")))
-        context = (own.groupBy(F.floor(F.col("id") / SYMBOLS).alias("ctx"))
-                   .agg(F.sum("yes").alias("ctx_yes"), F.sum("no").alias("ctx_no")))
-        cells = spark.range(SYMBOLS ** k).select(
-            "id", F.floor(F.col("id") / SYMBOLS).alias("ctx"),
-            F.pmod("id", F.lit(SYMBOLS ** (k - 1))).alias("short") if k > 1 else F.lit(0).cast("long").alias("short"))
-        n = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
-        if k == 1:
-            below = lower.select(F.col("id").alias("short"), "p_yes", "p_no")
-        else:  # the same last symbol after a context shorter by its first one
-            below = lower.select(F.col("id").alias("short"), "p_yes", "p_no")
-        joined = (cells.join(own, "id", "left").join(context, "ctx", "left").join(below, "short"))
-        lower = joined.select(
-            "id", *[((n(c) + MU * F.col(f"p_{c}")) / (n(f"ctx_{c}") + MU)).alias(f"p_{c}") for c in ("yes", "no")])
-    diff = lower.select(F.struct("id", (F.log("p_yes") - F.log("p_no")).cast("float").alias("d")).alias("c"))
-    return diff.agg(F.transform(F.sort_array(F.collect_list("c")), lambda c: c["d"]).alias("model"))
+def lengths() -> Iterator[int]:
+    """Context lengths: 0, then powers of two and half-way between."""
+    yield 0
+    k = 1
+    while True:
+        yield k
+        if k > 1:
+            yield k + k // 2
+        k *= 2
+
+
+def distinct_urls(rows: DataFrame) -> DataFrame:
+    """uid, address, chars (with marks), yes, no: ruled uses of each distinct url that
+    count, and held_yes, held_no: those held out."""
+    held = F.pmod(F.crc32(F.encode("address", "UTF-8")), F.lit(FOLDS)) == 0
+    uses = [F.count_if((F.col("verdict") == v) & (held if h else ~held)).alias(name)
+            for name, v, h in (("yes", "allow", False), ("no", "block", False), ("held_yes", "allow", True), ("held_no", "block", True))]
+    chars = F.filter(F.split("address", ""), lambda c: c != "")
+    return written(rows.groupBy("address").agg(*uses).select(
+        F.monotonically_increasing_id().alias("uid"), "address",
+        F.concat(F.array(F.lit(START)), chars, F.array(F.lit(END))).alias("chars"), "yes", "no", "held_yes", "held_no"), "urls")
+
+
+def grams(urls: DataFrame, live: DataFrame, k: int) -> DataFrame:
+    """uid, at, ctx (the k characters before position ``at``), c, yes, no of the live
+    positions that have so many before them."""
+    rows = urls.select("uid", "chars", "yes", "no").join(live, "uid")
+    gram = F.transform(F.filter("at", lambda i: i > k), lambda i: F.struct(
+        i.alias("at"), F.array_join(F.slice("chars", i - k, k), "").alias("ctx"), F.get("chars", i - 1).alias("c")))
+    return rows.select("uid", "yes", "no", F.explode(gram).alias("g")).select("uid", "g.*", "yes", "no")
+
+
+def log_ratios(urls: DataFrame) -> DataFrame:
+    """uid, score: the length-normalised log-likelihood difference of every url."""
+    live = urls.select("uid", F.sequence(F.lit(2), F.size("chars")).alias("at"))
+    symbols = urls.select(F.explode("chars").alias("c")).agg(F.count_distinct("c").alias("n"))
+    before, scores, shorter = None, None, 0
+    for k in lengths():
+        rows = written(grams(urls, live, k), "url_grams")
+        counted = rows.groupBy("ctx", "c").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+        if before is None:
+            uniform = 1 / symbols.scalar()
+            counted = counted.select("*", uniform.alias("q_yes"), uniform.alias("q_no"))
+        else:
+            counted = counted.join(before, (F.right("ctx", F.lit(shorter)) == F.col("b_ctx")) & (F.col("c") == F.col("b_c")))
+        ctx = W.partitionBy("ctx")  # as many rows as characters that follow it
+        for v in ("yes", "no"):
+            p = (F.col(v) + MU * F.col(f"q_{v}")) / (F.sum(v).over(ctx) + MU)
+            counted = counted.withColumn(f"p_{v}", p)
+        better = F.col("yes") * F.log(F.col("p_yes") / F.col("q_yes")) + F.col("no") * F.log(F.col("p_no") / F.col("q_no"))
+        ratio = lambda a, b: F.log(F.col(a) / F.col(b))
+        tested = counted.select("ctx", "c", "p_yes", "p_no", F.sum(F.col("yes") + F.col("no")).over(ctx).alias("n"),
+                                F.sum(better).over(ctx).alias("gain"),
+                                (ratio("p_yes", "p_no") - ratio("q_yes", "q_no")).alias("delta"))
+        model = written(tested.where((F.col("n") >= SUPPORT) & (F.col("gain") >= GAIN)), "url_model")
+        if model.isEmpty():
+            break
+        hit = written(rows.join(model.select("ctx", "c", "delta"), ["ctx", "c"]).groupBy("uid")
+                      .agg(F.sum("delta").alias("delta"), F.collect_list("at").alias("at")), "url_live")
+        part = hit.select("uid", "delta")
+        scores = part if scores is None else scores.union(part)
+        live, shorter = hit.select("uid", "at"), k
+        before = model.select(F.col("ctx").alias("b_ctx"), F.col("c").alias("b_c"),
+                              F.col("p_yes").alias("q_yes"), F.col("p_no").alias("q_no"))
+    length = F.size("chars") - 1
+    if scores is None:  # nothing to learn from
+        return urls.select("uid", F.lit(0.0).alias("score"))
+    sums = scores.groupBy("uid").agg(F.sum("delta").alias("sum"))
+    # Rounded, so that the order in which doubles are added does not show.
+    return urls.join(sums, "uid", "left").select(
+        "uid", F.round(F.coalesce("sum", F.lit(0.0)) / length, 9).alias("score"))
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, score of every page."""
     host, path = split_url(F.col("url"))
-    rows = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
+    rows = pages.select("page_id", F.coalesce(address(F.col("url")), "url", F.lit("")).alias("address"),
+                        host.alias("host"), path.alias("path"))
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
-    rows = rows.select("*", rule.alias("rule"), verdict.alias("verdict"), symbols(F.col("url")).alias("codes"))
-    rows = written(rows.select("page_id", "host", "path", "rule", "verdict", grams(F.col("codes")).alias("grams")),
-                   "urls")
-    model = written(train(rows.where("verdict IS NOT NULL")), "url_model")
-    # The model is bound to its own column: one subquery, read by every gram.
-    each = F.transform("grams", lambda g: F.get("model", g).cast("double"))
-    scored = (rows.withColumn("model", model.scalar())
-              .withColumn("each", each)
-              .withColumn("score", F.aggregate("each", F.lit(0.0), lambda a, x: a + x) / F.size("grams"))
-              .select("page_id", "host", "path", "rule", "verdict", "score"))
-    scored = written(scored, "url_scores")
-    cut = calibrated_cut(scored.where("verdict IS NOT NULL"))
-    ours = F.when(F.coalesce(F.col("score") >= cut.scalar(), F.lit(True)), "allow").otherwise("block")
-    return scored.select("page_id", "host", "path", "rule",
-                         F.coalesce("verdict", ours).alias("verdict"), "score")
-
-
-def calibrated_cut(ruled: DataFrame) -> DataFrame:
-    """One row ``cut``, null if a class is missing.  Works on one row per distinct
-    rounded score, of which the smoothing allows a few thousand."""
-    yes = (F.col("verdict") == "allow").cast("long")
-    bins = (ruled.groupBy(F.round(F.col("score"), 2).alias("at"))
-            .agg(F.sum(yes).alias("yes"), F.sum(1 - yes).alias("no")))
+    rows = rows.select("*", rule.alias("rule"), verdict.alias("verdict"))
+    urls = distinct_urls(rows)
+    scored = written(urls.drop("chars").join(log_ratios(urls), "uid"), "url_scores")
+    held = scored.select("score", F.col("held_yes").alias("yes"), F.col("held_no").alias("no"))
+    all_ = scored.select("score", (F.col("yes") + F.col("held_yes")).alias("yes"), (F.col("no") + F.col("held_no")).alias("no"))
+    cut = F.coalesce(calibrated_cut(held).scalar(), calibrated_cut(all_).scalar())
+    ours = F.when(F.coalesce(F.col("score") >= cut, F.lit(True)), "allow").otherwise("block")
+    return rows.join(scored.select("address", "score"), "address").select(
+        "page_id", "host", "path", "rule", F.coalesce("verdict", ours).alias("verdict"), "score")
+
+
+def calibrated_cut(uses: DataFrame) -> DataFrame:
+    """One row ``cut`` from score, yes, no; null if a class is missing.  Works on one
+    row per distinct rounded score, of which the smoothing allows a few thousand."""
+    bins = (uses.groupBy(F.round(F.col("score"), 2).alias("at"))
+            .agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")))
     before, all_ = W.orderBy("at").rowsBetween(W.unboundedPreceding, -1), W.partitionBy()
     zero = F.lit(0)
     errors = bins.select(

@@ -164,29 +164,56 @@ def test_chat_merges_adjacent_turns(spark):
 
 
 def brute_judgement(pages):
-    """The same model with plain dictionaries."""
-    sym = lambda c: (ord(c.lower()) - 96 if "a" <= c.lower() <= "z" and c.isascii() else 27 if "0" <= c <= "9"
-                     else {".": 28, "/": 29, "-": 30}.get(c, 31))
-    def codes(u):
-        u = (u or "").partition("://")[2] if "://" in (u or "") else (u or "")
-        return [0] * 3 + [sym(c) for c in u] + [0]
-    n = {c: Counter() for c in ("allow", "block")}
-    ctx = {c: Counter() for c in n}
-    for u, v in pages:
-        if v:
-            s = codes(u)
-            for i in range(3, len(s)):
-                for k in range(4):
-                    n[v][tuple(s[i - k:i + 1])] += 1
-                    ctx[v][k, tuple(s[i - k:i])] += 1
-    def p(v, g):
-        out = 1 / 32
-        for k in range(len(g)):
-            h = g[len(g) - 1 - k:]
-            out = (n[v][h] + 4.0 * out) / (ctx[v][k, h[:-1]] + 4.0)
-        return out
-    return [np.mean([math.log(p("allow", tuple(s[i - 3:i + 1]))) - math.log(p("block", tuple(s[i - 3:i + 1])))
-                     for i in range(3, len(s))]) for s in (codes(u) for u, _ in pages)]
+    """The same model with plain dictionaries: (score, longest context used) of every url."""
+    def address(u):
+        return (u or "").partition("://")[2] if "://" in (u or "") else (u or "")
+    uses = Counter((address(u), v) for u, v in pages)
+    held = lambda a: zlib.crc32(a.encode()) % url_filter.FOLDS == 0
+    marked = {a: "\x02" + a + "\x03" for a, _ in uses}
+    uniform = 1 / len(set("".join(marked.values())))
+    count = {v: Counter() for v in ("allow", "block")}
+    after = {v: Counter() for v in count}
+    next_, spans = {}, set()
+    steps = [0, 1, 2, 3, *[x for k in range(2, 12) for x in (2 ** k, 3 * 2 ** (k - 1))]]
+    for (a, v), n in uses.items():
+        s = marked[a]
+        for i in range(1, len(s)):
+            for k in steps:
+                if k > min(i, 100):
+                    break
+                spans.add((s[i - k:i], s[i]))
+                next_.setdefault(s[i - k:i], set()).add(s[i])
+                if v and not held(a):
+                    count[v][s[i - k:i], s[i]] += n
+                    after[v][s[i - k:i]] += n
+    kept = {}
+    def p(v, ctx, c):
+        if ctx is None:
+            return uniform
+        return (count[v][ctx, c] + 4.0 * p(v, shorter(ctx), c)) / (after[v][ctx] + 4.0)
+    def shorter(ctx):
+        at = steps.index(len(ctx))
+        return ctx[len(ctx) - steps[at - 1]:] if at else None
+    def keeps(ctx):
+        if ctx not in kept:
+            up = shorter(ctx)
+            kept[ctx] = (up is None or keeps(up)) and after["allow"][ctx] + after["block"][ctx] >= url_filter.SUPPORT and sum(
+                count[v][ctx, c] * math.log(p(v, ctx, c) / p(v, up, c)) for v in count for c in next_[ctx]) >= url_filter.GAIN
+        return kept[ctx]
+    out = {}
+    for a, s in marked.items():
+        total, most = 0.0, 0
+        for i in range(1, len(s)):
+            best = None
+            for k in steps:
+                if k > min(i, 100) or not keeps(s[i - k:i]):
+                    break
+                best = s[i - k:i]
+            if best is not None:
+                most = max(most, len(best))
+                total += math.log(p("allow", best, s[i])) - math.log(p("block", best, s[i]))
+        out[a] = total / (len(s) - 1), most
+    return [out[address(u)] for u, _ in pages]
 
 
 def test_url_filter_matches_brute_force(spark):
@@ -197,7 +224,8 @@ def test_url_filter_matches_brute_force(spark):
     rows = sorted(url_filter.judge(pages).collect(), key=lambda r: r.page_id)
     fixed = [r.verdict if r.rule else None for r in rows]
     want = brute_judgement(list(zip(urls, fixed)))
-    assert np.allclose([r.score for r in rows], want, atol=1e-5)
+    assert np.allclose([r.score for r in rows], [s for s, _ in want], atol=2e-9)
+    assert max(k for _, k in want) >= 4
     for url, r in zip(urls, rows):
         rest = (url or "").partition("://")[2]
         host = re.match(r"[^/?#]*", rest)[0]
@@ -212,6 +240,26 @@ def test_url_filter_matches_brute_force(spark):
         assert min(cut["allow"]) >= max(cut["block"])
 
 
+def test_url_contexts_grow_and_tell_digits_and_signs_apart(spark):
+    # Accepted and rejected urls differ in one digit, one sign, one letter's case or a far word.
+    rules = (url_filter.Rule("allow", "a.com", "/"), url_filter.Rule("block", "b.com", "/"))
+    tails = [("v=1&w", "v=2&w"), ("p?q", "p#q"), ("Page", "page"), ("/blueberry/tart/x", "/blackberry/tart/x")]
+    urls = [f"x://{'a' if yes else 'b'}.com/{n % 7}{t[0 if yes else 1]}" for n in range(60) for t in tails for yes in (True, False)]
+    free = [f"x://c.org/{n}{t[k]}" for t in tails for k in (0, 1) for n in (1, 5)]
+    pages = spark.createDataFrame(list(enumerate(urls + free)), "page_id long, url string")
+    got = {r.page_id - len(urls): r.score for r in url_filter.judge(pages, rules).collect() if r.page_id >= len(urls)}
+    for i in range(0, len(free), 4):
+        assert got[i] > got[i + 2] + 0.1 and got[i + 1] > got[i + 3] + 0.1
+
+
+def test_very_long_and_repeated_urls(spark):
+    urls = ["x://a.com/" + "ab" * 20_000, "x://b.net/fr/" + "é" * 9_000, *["x://a.com/same"] * 300, None, ""]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rows = {r.page_id: r for r in url_filter.judge(pages).collect()}
+    assert len(rows) == len(urls) and len({rows[i].score for i in range(2, 302)}) == 1
+    assert rows[1].verdict == "block" and rows[302].score == rows[303].score
+
+
 def test_url_filter_without_a_class(spark):
     pages = spark.createDataFrame([(1, "x://a.com/"), (2, "x://b.org/"), (3, None)], "page_id long, url string")
     assert {r.page_id: r.verdict for r in url_filter.judge(pages).collect()} == {1: "allow", 2: "allow", 3: "allow"}

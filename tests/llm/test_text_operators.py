@@ -4,6 +4,8 @@ on odd inputs."""
 from __future__ import annotations
 
 import hashlib
+import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -114,24 +116,40 @@ def test_index_survives_reopening(spark):
     assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(") == 1
 
 
-def brute_classes(texts: dict[int, str], idf: np.ndarray) -> dict[int, int]:
-    """Connected components of weighted Jaccard >= 0.8 over all pairs."""
-    body = {}
-    for (i, t), (_, _, code, tf) in zip(texts.items(), near_dedup.shingle_words(
-            pa.array(list(texts.values())), 5, near_dedup.Powers())):
-        body[i] = (code, near_dedup.weights(code, tf, idf))
-    root = {i: i for i in body}
+def plain_shingles(text: str) -> Counter:
+    """Shingles as tuples of words: an own version, without hashes."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text.lower())
+    return Counter(tuple(words[i:i + 5]) for i in range(len(words) - 4)) if len(words) >= 5 else Counter([tuple(words)] if words else [])
+
+
+def plain_similarities(texts: dict[int, str], counted: list[int]) -> dict[tuple[int, int], float]:
+    """Weighted Jaccard similarity of all pairs; idf over the ``counted`` documents."""
+    tf = {i: plain_shingles(t) for i, t in texts.items()}
+    df = Counter(s for i in counted for s in tf[i])
+    n, least = len(counted), len(counted) / 1024
+    weight = {i: {s: k * (1 + math.log(n / min(max(df[s], least), n)) / math.log(1024)) for s, k in c.items()} for i, c in tf.items()}
+    out = {}
+    for a in texts:
+        for b in texts:
+            if a < b and weight[a] and weight[b]:
+                shared = sum(min(w, weight[b].get(s, 0)) for s, w in weight[a].items())
+                out[a, b] = shared / (sum(weight[a].values()) + sum(weight[b].values()) - shared)
+    return out
+
+
+def components_of(ids, links) -> set[frozenset]:
+    root = {i: i for i in ids}
 
     def find(i):
         while root[i] != i:
             i = root[i]
         return i
-    ids = sorted(body)
-    for n, a in enumerate(ids):
-        for b in ids[n + 1:]:
-            if len(body[a][0]) and len(body[b][0]) and near_dedup.similar(body[a], body[b], 0.8):
-                root[find(b)] = find(a)
-    return {i: find(i) for i in ids}
+    for a, b in links:
+        root[find(a)] = find(b)
+    out = defaultdict(set)
+    for i in ids:
+        out[find(i)].add(i)
+    return set(map(frozenset, out.values()))
 
 
 def test_near_dedup_matches_brute_force(spark):
@@ -147,15 +165,50 @@ def test_near_dedup_matches_brute_force(spark):
     for _ in range(60):
         texts[len(texts)] = " ".join(rng.choice(words, rng.integers(1, 200)))
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    idf = near_dedup.idf_table(docs, 5)
-    want = defaultdict(set)
-    for i, r in brute_classes(texts, idf).items():
-        want[r].add(i)
+    counted = [r.doc_id for r in near_dedup.firsts(docs, 5).collect()]
+    similarity = plain_similarities(texts, counted)
     got = defaultdict(set)
     for r in near_dedup.classes(docs).collect():
         got[r.class_id].add(r.doc_id)
         assert r.kept == (r.doc_id == r.class_id)
-    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+    # The idf is held as a byte, so a similarity is known to 0.002: classes lie between
+    # the components of the links a little above and a little below the threshold.
+    above, below = (components_of(texts, [p for p, s in similarity.items() if s >= x]) for x in (0.802, 0.798))
+    classes = set(map(frozenset, got.values()))
+    assert all(any(c <= k for k in classes) for c in above) and all(any(k <= c for c in below) for k in classes)
+    assert len(above) - len(below) <= 6
+
+
+def test_document_frequencies_count_groups_once(spark):
+    # A third of all rows are copies of one text, each with some words changed.
+    rng = np.random.default_rng(8)
+    words = np.array([f"w{i}" for i in range(5000)])
+    base, texts = rng.choice(words, 120), []
+    for n in range(400):
+        t = base.copy()
+        t[rng.integers(5, 115)] = f"own{n}"
+        texts.append(" ".join(t))
+    texts += [" ".join(rng.choice(words, 120)) for _ in range(800)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counted = [r.doc_id for r in near_dedup.firsts(docs, 5).collect()]
+    assert sum(i < 400 for i in counted) <= 4 and sum(i >= 400 for i in counted) >= 795
+    classes = {r.doc_id: r.class_id for r in near_dedup.classes(docs).collect()}
+    assert len({classes[i] for i in range(400)}) == 1  # the group stays whole
+    # Two copies share 106 of 126 shingles.  Counted in every copy, those would weigh too
+    # little for a link, beside the 20 that only one document has.
+    one, two = (set(plain_shingles(t)) for t in texts[:2])
+    assert len(one & two) >= 106 and len(one | two) <= 126
+    often = 1 + math.log(1200 / 400) / math.log(1024)
+    assert 106 * often / (106 * often + 20 * 2) < 0.8
+
+
+def test_near_dedup_keeps_by_document_and_text(spark):
+    # doc_id 1 names two texts; the second is a copy of that of doc_id 0.
+    a, b = "one two three four five six seven", "red green blue white black grey pink"
+    docs = spark.createDataFrame([(1, a), (0, b), (1, b + " ")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in near_dedup.deduplicate(docs).collect()) == [(0, b), (1, a)]
+    same = spark.createDataFrame([(5, a), (5, a + " "), (5, b)], "doc_id long, text string")
+    assert sorted(r.text.strip() for r in near_dedup.deduplicate(same).collect()) == [a, b]
 
 
 def test_near_dedup_estimate():

@@ -9,8 +9,13 @@ Texts are equal when they are identical after deleting every character of
 with the most code points in its original text stays, ties to the smallest
 doc_id.  A text that an earlier batch has already put into the index is a
 duplicate of that earlier document.  Repeated rows (same doc_id, same text) are
-all marked alike; ``deduplicate`` returns one of them.  An empty table gives an
-empty result.  Other columns are ignored by ``decide``, whatever their names.
+all marked alike; ``deduplicate`` returns one of them.  Very long texts are digested
+whole where they lie; only digests are shuffled.  An empty table gives an empty
+result.  Other columns are ignored by ``decide``, whatever their names.
+
+Buckets: a fresh index gets one for every ROWS_PER_BUCKET rows of its first batch,
+at least as many as the session has shuffle partitions.  The number is kept beside
+the index; ``regrown`` copies an index that has grown into one with more.
 
 Skew: a digest that a third of all rows share is reduced map-side; the join back
 to the rows carries no text and is one AQE can split.
@@ -18,12 +23,10 @@ to the rows carries no text and is one AQE can split.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conformkit.session import scratch_path
+from conformkit.session import path_exists, read_small_text, scratch_path, scratch_table, write_small_text
 
 from .common import columns, table, without_white, written
 
@@ -35,15 +38,28 @@ def digests(docs: DataFrame) -> DataFrame:
                        F.sha2(without_white(text), 256).alias("digest"))
 
 
+ROWS_PER_BUCKET = 1 << 20  # some 100 MB of digests: what one task sorts
+
+
+def bucket_count(spark: SparkSession, rows: int) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_BUCKET))
+
+
 class DigestIndex:
     """A table (digest, keep_id, n_points) bucketed and sorted by digest.
 
     ``path`` is a shared folder.  Opening it again, in any session, goes on with
-    what is there."""
-
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+    what is there, in as many buckets as it was made with."""
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
+        mark = f"{path.rstrip('/')}/_buckets"
+        if path_exists(spark, mark):
+            buckets = int(read_small_text(spark, mark))
+        else:
+            buckets = buckets or bucket_count(spark, 0)
+            write_small_text(spark, mark, str(buckets))
         self.spark, self.buckets = spark, buckets
-        self.name = f"digest_index_{uuid.uuid4().hex}"
+        self.name = scratch_table(spark, "digest_index")
         spark.sql(f"CREATE TABLE {self.name} (digest STRING, keep_id BIGINT, n_points INT) "
                   f"USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS "
                   f"LOCATION '{path}'")
@@ -93,12 +109,22 @@ def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
             .dropDuplicates(["digest", "doc_id"]).select("row.*"))
 
 
-def fresh_index(spark: SparkSession) -> DigestIndex:
-    return DigestIndex(spark, scratch_path(spark, "digest_index"))
+def fresh_index(spark: SparkSession, rows: int = 0) -> DigestIndex:
+    """A new index in the scratch folder, for a first batch of so many rows."""
+    return DigestIndex(spark, scratch_path(spark, "digest_index"), bucket_count(spark, rows))
+
+
+def regrown(index: DigestIndex, path: str) -> DigestIndex:
+    """A copy of an index at ``path``, with buckets for the rows it has now."""
+    rows = index.rows()
+    new = DigestIndex(index.spark, path, bucket_count(index.spark, rows.count()))
+    rows.repartition(new.buckets, "digest").sortWithinPartitions("digest").write.insertInto(new.name)
+    return new
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decide(table(spark, sf_dir, "documents"), fresh_index(spark))
+    docs = table(spark, sf_dir, "documents")
+    return decide(docs, fresh_index(spark, docs.count()))
 
 
 OP2_SQL = r"""

@@ -66,6 +66,32 @@ def test_graph_search_ties_go_to_the_smaller_id(spark):
         assert [r.vec_id for r in got] == [0, 1, 2]
 
 
+@pytest.mark.parametrize("dim,clusters", [(64, 0), (128, 0), (64, 64)])
+def test_recall_on_a_full_shard(dim, clusters):
+    rng = np.random.default_rng(dim + clusters)
+    x = rng.normal(size=(ann.SHARD, dim))
+    if clusters:
+        x = 0.3 * x + rng.normal(size=(clusters, dim))[rng.integers(0, clusters, len(x))]
+    q = x[rng.choice(len(x), 100, False)] + rng.normal(size=(100, dim)) * 0.05
+    best = np.argsort(((x ** 2).sum(1) - 2 * q @ x.T), 1)[:, :10]
+    edges, start = ann.build(x)
+    near, _ = ann.beam_search(x, edges, start, q, ann.SEARCH)
+    assert np.mean([len(set(a) & set(b[:10])) / 10 for a, b in zip(best, near)]) >= 0.95
+
+
+def test_recall_over_several_shards(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(3000, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(df, df.where("vec_id % 60 = 0"), shard=300).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert set(got) == set(range(0, 3000, 60))
+    d = ((x[::60, None] - x[None]) ** 2).sum(2)
+    best = np.argsort(d, 1)[:, 1:11]
+    assert np.mean([len(got[60 * i] & set(b)) / 10 for i, b in enumerate(best)]) >= 0.99
+
+
 def test_beam_holds_each_point_once():
     x = np.array([[float(n >> b & 1) for b in range(5)] for n in range(1, 32)])
     edges, start = ann.build(x)

@@ -111,6 +111,12 @@ def test_index_survives_reopening(spark):
     index = exact_dedup.DigestIndex(spark, path, 4)
     rows = exact_dedup.decide(spark.createDataFrame([(3, "b")], "doc_id long, text string"), index).collect()
     assert [(r.keep_id, r.kept) for r in rows] == [(2, False)]
+    assert exact_dedup.DigestIndex(spark, path).buckets == 4  # as it was made
+    grown = exact_dedup.regrown(index, scratch_path(spark, "index"))
+    assert grown.buckets == exact_dedup.bucket_count(spark, 2) != 4 and exact_dedup.bucket_count(spark, 10 ** 10) == 9537
+    assert sorted(map(tuple, grown.rows().collect())) == sorted(map(tuple, index.rows().collect()))
+    rows = exact_dedup.decide(spark.createDataFrame([(4, "a ")], "doc_id long, text string"), grown).collect()
+    assert [(r.keep_id, r.kept) for r in rows] == [(1, False)]
     plan = first.select(F.col("text").alias("digest")).hint("merge").join(index.rows().select("digest"), "digest", "left_anti")
     # The new rows are shuffled into the index's buckets, the index is not.
     assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(") == 1

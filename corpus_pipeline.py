@@ -23,7 +23,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each normalised text."""
-    return exact_dedup.deduplicate(docs, exact_dedup.fresh_index(spark))
+    return exact_dedup.deduplicate(docs, exact_dedup.fresh_index(spark, docs.count()))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

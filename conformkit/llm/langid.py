@@ -9,23 +9,31 @@ distances go to the language first in code-point order.
 
 Training counts the n-grams of every whole text with a language, per language,
 in the tasks that read them; only sums per (language, n-gram) are shuffled.  The
-profiles (languages x PROFILE rows, checked against MAX_LANGUAGES) are closed
-over by the scoring tasks.
+profiles (PROFILE n-grams a language, 12 bytes each, so 29 MB for all of the world's
+languages) are closed over by the scoring tasks; they grow with the languages and not
+with the documents.
 
 score is 1 minus the distance as a share of the largest possible one.  A text
 that is null or has no letter, or any text if nothing was learned, is ``und`` with
-score 0.  Repeated rows are judged alike.  An empty table gives an empty result.
-Other columns are never read; ``accepted`` passes them through.
+score 0.  Repeated rows are judged alike; very long texts are counted whole, in parts
+cut between words.  An empty table gives an empty result.  Other columns are never
+read; ``accepted`` and ``screened`` pass them through.
 
 ``calibrate`` gives the least score a text must have, per language and number of
-distinct n-grams (by powers of two): the median score of the labelled texts there
-less FENCE times its distance from the lower quartile.  Samples are all labelled
-texts and their first HEADS words, each distinct one once, so neither copies nor a
-share of mislabelled texts under a quarter moves it far.  Under SHORT n-grams (one
-word of up to six letters) nothing is refused.  With fewer than SAMPLES samples
-the cut of the next shorter texts of the language holds, or none.  A text under
-its cut stays if one of its halves, of HALF n-grams at least, is not: texts in two
-learned languages are like neither.
+distinct n-grams (by powers of two).  Samples are all labelled texts and of each one
+head, whose number of words is a power of two picked by the text's hash; each distinct
+one counts once, so neither copies nor a share of mislabelled texts under a quarter
+moves it far.  From the shortest size up, with the median and the lower quartile of
+the n samples' scores, the least score is the mean of
+
+    median - FENCE * max(median - quartile, LEAST_SPREAD)
+
+with weight n and the least score of the next shorter texts (at first 0) with weight
+PRIOR: one rule at every size, in which short texts, whose scores vary, set a low bar
+and sizes with few samples lean on shorter ones.  A text under its bar stays if one of its halves,
+of HALF n-grams at least, is not: texts in two learned languages are like neither.
+``screened`` scores every text once: it writes the rows with their scores, sets the bar
+from them and returns those that reach it.
 """
 
 from __future__ import annotations
@@ -39,19 +47,16 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import freed, table, text_buffers
+from .common import columns, freed, table, text_buffers, written
 
 PROFILE = 300  # n-grams of a profile, and of a document
-MAX_LANGUAGES = 2_000  # more are refused, not cut
 SLICE = 1 << 21  # bytes of text worked on at once; only a memory bound
 UND = "und"
-HEADS = (1, 2, 4, 8, 16, 32, 64)  # words
-HEAD_CHARS = 600  # where the heads are looked for; only whole words inside count
 SIZES = 40  # powers of two of distinct n-grams
-SHORT, SAMPLES = 16, 20
 HALF = 64  # distinct n-grams by which half a text is known
-FENCE, LEAST_SPREAD = 8, 0.02
+FENCE, LEAST_SPREAD, PRIOR = 8, 0.02, 20
 STEPS = 1000  # scores are counted in steps of 1 / STEPS
 
 
@@ -167,9 +172,7 @@ def train(docs: DataFrame, k: int = PROFILE) -> dict[str, np.ndarray]:
     # Codes are unsigned: those with the top bit (2-grams) come after the others.
     order = W.partitionBy("lang").orderBy(F.desc("n"), F.col("gram") < 0, "gram")
     best = (counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .limit(MAX_LANGUAGES * k + 1).collect())
-    if len(best) > MAX_LANGUAGES * k:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+            .select("lang", "rank", "gram").collect())
     out: dict[str, list] = {}
     for r in sorted(best, key=lambda r: (r["lang"], r["rank"])):
         out.setdefault(r["lang"], []).append(r["gram"])
@@ -181,23 +184,30 @@ def size_class(grams: int) -> int:
 
 
 class Scorer:
-    """Out-of-place distances of documents to all profiles at once."""
+    """Out-of-place distances of documents to all profiles at once.  For each n-gram
+    the languages that have it and their ranks lie together."""
 
     def __init__(self, profiles: dict[str, np.ndarray], k: int = PROFILE):
         self.k, self.langs = k, sorted(profiles)
         every = [profiles[name] for name in self.langs]
-        self.codes = np.unique(np.concatenate(every)) if every else np.zeros(0, np.uint64)
-        self.rank = np.full((len(self.codes) + 1, len(every)), -1, np.int32)  # -1: not in the profile
-        for j, grams in enumerate(every):
-            self.rank[np.searchsorted(self.codes, grams), j] = np.arange(len(grams))
+        grams = np.concatenate(every) if every else np.zeros(0, np.uint64)
+        lang = np.repeat(np.arange(len(every), dtype=np.int32), [len(e) for e in every])
+        rank = np.concatenate([np.arange(len(e), dtype=np.int32) for e in every]) if every else np.zeros(0, np.int32)
+        order = np.argsort(grams, kind="stable")
+        self.lang, self.rank = lang[order], rank[order]
+        self.codes, self.first = np.unique(grams[order], return_index=True)
+        self.first = np.append(self.first, len(grams))
 
     def distances(self, grams: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.codes, grams)
         at[at == len(self.codes)] = 0
-        at[self.codes[at] != grams] = len(self.codes)
-        rank = self.rank[at]
-        place = np.abs(rank - np.arange(len(grams), dtype=np.int32)[:, None])
-        return np.where(rank < 0, self.k, place).sum(0)
+        mine = np.flatnonzero(self.codes[at] == grams)
+        first = self.first[at[mine]]
+        many = self.first[at[mine] + 1] - first
+        upto = np.cumsum(many)
+        place = np.arange(upto[-1] if len(upto) else 0) + np.repeat(first - (upto - many), many)
+        nearer = self.k - np.abs(self.rank[place] - np.repeat(mine, many))
+        return self.k * len(grams) - np.bincount(self.lang[place], nearer, len(self.langs)).astype(np.int64)
 
     def best(self, code: np.ndarray, count: np.ndarray) -> tuple[int, float]:
         """(language number, score) of a text's n-grams."""
@@ -232,79 +242,118 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray]) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(freed(run), "doc_id long, lang_pred string, score double")
 
 
-def heads(col, letters) -> Iterator[np.ndarray]:
-    """The first HEADS words of every text, as sequences."""
-    done = -1
-    for row, seq in sequences(pc.utf8_slice_codeunits(col, 0, HEAD_CHARS), letters):
-        ends = np.flatnonzero(seq == 0)[1:]
-        if row != done:
-            yield from (seq[:ends[n - 1] + 1] for n in HEADS if n < len(ends))
-        done = row
+def head(seq: np.ndarray, pick: int) -> np.ndarray | None:
+    """The first 2^i words of a sequence, i picked among those that leave some out."""
+    ends = np.flatnonzero(seq == 0)[1:]
+    if len(ends) < 2:
+        return None
+    n = 1 << pick % (len(ends) - 1).bit_length()
+    return seq[:ends[n - 1] + 1]
 
 
-def calibrate(docs: DataFrame, profiles: dict[str, np.ndarray]) -> np.ndarray:
-    """The least score per (language number, size class), from the text and lang
-    of docs.  Only numbers per language, size class and score step are collected."""
-    scorer = Scorer(profiles)
+JUDGED = "lang int, score double, size int, samples array<struct<lang: int, size: int, step: int, key: long>>"
+
+
+def judged(docs: DataFrame, scorer: Scorer) -> DataFrame:
+    """row (all columns of docs), lang (its number, -1: none), score, size, and the
+    samples of a labelled text: itself and its head."""
+    at, labelled = docs.columns.index("text"), "lang" in docs.columns
+    label = F.col("lang").isNotNull() if labelled else F.lit(False)
+    rows = docs.select(F.struct(*columns(docs)).alias("row"), F.xxhash64("text").alias("key"), label.alias("labelled"))
 
     def run(batches):
         letters = letter_table()
         for b in batches:
-            which, score, size = scorer.judge(b.column("text"), letters)
-            seen = which >= 0
-            rows = list(zip(which[seen], size[seen], score[seen], b.column("key").to_numpy()[seen]))
-            for seq in heads(b.column("text"), letters) if scorer.langs else ():
-                code, count = np.unique(ngrams(seq), return_counts=True)
-                key = hashlib.blake2b(seq.tobytes(), digest_size=8).digest()
-                lang, x = scorer.best(code, count)
-                rows.append((lang, size_class(len(code)), x, np.frombuffer(key, np.int64)[0]))
-            lang, size, x, key = zip(*rows) if rows else ((), (), (), ())
+            col = b.column("row").field(at)
+            which, score, size = scorer.judge(col, letters)
+            key, ask = b.column("key").to_numpy(), b.column("labelled").to_numpy(zero_copy_only=False)
+            out: list[list] = [[] for _ in range(b.num_rows)]
+            done = -1
+            for row, seq in sequences(col, letters) if scorer.langs and ask.any() else ():
+                if row == done or not ask[row]:
+                    continue
+                done = row
+                out[row].append((int(which[row]), int(size[row]), int(score[row] * STEPS), int(key[row])))
+                part = head(seq, int(key[row]) & 0xFFFF)
+                if part is not None:
+                    code, count = np.unique(ngrams(part), return_counts=True)
+                    lang, x = scorer.best(code, count)
+                    name = np.frombuffer(hashlib.blake2b(part.tobytes(), digest_size=8).digest(), np.int64)[0]
+                    out[row].append((lang, size_class(len(code)), int(x * STEPS), int(name)))
+            flat = [s for o in out for s in o]
+            upto = np.cumsum([0, *map(len, out)]).astype(np.int32)
+            fields = [pa.array([s[i] for s in flat], kind) for i, kind in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.int64()))]
+            samples = pa.ListArray.from_arrays(pa.array(upto), pa.StructArray.from_arrays(fields, ["lang", "size", "step", "key"]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(lang, pa.int32()), pa.array(size, pa.int32()),
-                 pa.array((np.array(x, float) * STEPS).astype(np.int32)), pa.array(key, pa.int64())],
-                ["lang", "size", "step", "key"])
+                [b.column("row"), pa.array(which.astype(np.int32)), pa.array(score), pa.array(size.astype(np.int32)), samples],
+                ["row", "lang", "score", "size", "samples"])
+
+    schema = T.StructType([T.StructField("row", docs.schema), *T._parse_datatype_string(JUDGED).fields])
+    return rows.mapInArrow(freed(run), schema)
+
 
-    rows = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", F.xxhash64("text").alias("key"))
-    samples = rows.mapInArrow(freed(run), "lang int, size int, step int, key long").distinct()
+def bars(rows: DataFrame, scorer: Scorer) -> np.ndarray:
+    """The least score per (language number, size class) from rows of ``judged``.
+    Only numbers per language, size class and score step are collected."""
+    samples = rows.select(F.explode("samples").alias("s")).select("s.*").distinct()
     quartiles = F.percentile("step", F.array(F.lit(0.25), F.lit(0.5)), F.col("n"))
     found = (samples.groupBy("lang", "size", "step").agg(F.count("*").alias("n"))
              .groupBy("lang", "size").agg(quartiles.alias("q"), F.sum("n").alias("n")).collect())
-    least = np.full((len(scorer.langs), SIZES), np.nan)
+    own, n = np.zeros((2, max(1, len(scorer.langs)), SIZES))
     for r in found:
-        if r["n"] >= SAMPLES:
-            low, middle = np.array(r["q"]) / STEPS
-            least[r["lang"], r["size"]] = middle - FENCE * max(middle - low, LEAST_SPREAD)
-    least[:, :size_class(SHORT)] = 0
-    for size in range(1, SIZES):
-        least[:, size] = np.where(np.isnan(least[:, size]), least[:, size - 1], least[:, size])
+        low, middle = np.array(r["q"]) / STEPS
+        own[r["lang"], r["size"]] = middle - FENCE * max(middle - low, LEAST_SPREAD)
+        n[r["lang"], r["size"]] = r["n"]
+    least, shorter = np.empty_like(own), np.zeros(len(own))
+    for size in range(SIZES):
+        least[:, size] = shorter = (n[:, size] * own[:, size] + PRIOR * shorter) / (n[:, size] + PRIOR)
     return least
 
 
-def accepted(docs: DataFrame, profiles: dict[str, np.ndarray], least: np.ndarray | None = None) -> DataFrame:
-    """The rows of docs, all columns, that have a language with a score above 0
-    and, themselves or one half, not under that of ``calibrate`` for their language
-    and size."""
+def calibrate(docs: DataFrame, profiles: dict[str, np.ndarray]) -> np.ndarray:
+    """The least score per (language number, size class), from the text and lang of
+    docs."""
     scorer = Scorer(profiles)
-    least = np.zeros((max(1, len(scorer.langs)), SIZES)) if least is None or not len(least) else least
+    return bars(judged(docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang"), scorer), scorer)
+
+
+def passed(rows: DataFrame, docs: DataFrame, scorer: Scorer, least: np.ndarray) -> DataFrame:
+    """The rows of ``judged`` that reach their bar, themselves or by a half."""
     at = docs.columns.index("text")
 
-    def judged(col, letters):
-        which, score, size = scorer.judge(col, letters)
+    def reach(which, score, size):
         some = (which >= 0) & (score > 0)
-        return some, some & (score >= least[which, size]), size
+        return some, some & (score >= least[which, size])
 
     def run(batches):
         letters = letter_table()
         for b in batches:
-            some, keep, _ = judged(b.column(at), letters)
+            some, keep = reach(*(b.column(c).to_numpy() for c in ("lang", "score", "size")))
             low = np.flatnonzero(some & ~keep)
-            texts = b.column(at).take(pa.array(low)).to_pylist()
+            texts = b.column("row").field(at).take(pa.array(low)).to_pylist()
             for half in ([t[:len(t) // 2] for t in texts], [t[len(t) // 2:] for t in texts]):
-                _, good, size = judged(pa.array(half, pa.string()), letters)
-                keep[low] |= good & (size >= size_class(HALF))
-            yield b.filter(pa.array(keep))
+                which, score, size = scorer.judge(pa.array(half, pa.string()), letters)
+                keep[low] |= reach(which, score, size)[1] & (size >= size_class(HALF))
+            rows = b.column("row").filter(pa.array(keep))
+            yield pa.RecordBatch.from_arrays([rows.field(i) for i in range(rows.type.num_fields)], schema=pa.schema(list(rows.type)))
+
+    return rows.select("row", "lang", "score", "size").mapInArrow(freed(run), docs.schema)
+
 
-    return docs.mapInArrow(freed(run), docs.schema)
+def accepted(docs: DataFrame, profiles: dict[str, np.ndarray], least: np.ndarray | None = None) -> DataFrame:
+    """The rows of docs, all columns, that have a language with a score above 0
+    and, themselves or one half, not under that of ``calibrate`` for their language
+    and size."""
+    scorer = Scorer(profiles)
+    least = np.zeros((max(1, len(scorer.langs)), SIZES)) if least is None else least
+    return passed(judged(docs, scorer), docs, scorer, least)
+
+
+def screened(docs: DataFrame, profiles: dict[str, np.ndarray]) -> DataFrame:
+    """``accepted`` with the bars of the same docs, every text scored once."""
+    scorer = Scorer(profiles)
+    rows = written(judged(docs, scorer), "judged")
+    return passed(rows, docs, scorer, bars(rows, scorer))
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:

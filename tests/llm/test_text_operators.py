@@ -86,6 +86,39 @@ def test_language_odd_rows(odd, none):
     assert {r.lang_pred for r in langid.predict(odd, langid.train(none)).collect()} == {"und"}
 
 
+def test_language_bars_follow_one_rule(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = table(spark, sf, "documents")
+    profiles = langid.train(docs)
+    least = langid.calibrate(docs, profiles)
+    scorer, letters, samples = langid.Scorer(profiles), langid.letter_table(), defaultdict(set)
+    for r in docs.select("text", F.xxhash64("text").alias("key")).where("text IS NOT NULL AND lang IS NOT NULL").collect():
+        for n, text in enumerate([r.text]):
+            for row, seq in langid.sequences(pa.array([text]), letters):
+                words = " ".join("".join(map(chr, seq)).replace("\0", " ").split())
+                parts = [words]
+                count = len(words.split())
+                if count > 1:
+                    powers = [2 ** i for i in range(20) if 2 ** i < count]
+                    parts.append(" ".join(words.split()[:powers[(r.key & 0xFFFF) % len(powers)]]))
+                for k, part in enumerate(parts):
+                    which, score, size = scorer.judge(pa.array([part]), letters)
+                    samples[which[0], size[0]].add((int(score[0] * 1000), part if k else ("whole", r.text)))
+    for lang in range(len(scorer.langs)):
+        shorter = 0.0
+        for size in range(langid.SIZES):
+            steps = np.array(sorted(s for s, _ in samples[lang, size])) / 1000
+            if len(steps):
+                low, middle = np.quantile(steps, [0.25, 0.5])
+                own = middle - 8 * max(middle - low, 0.02)
+                shorter = (len(steps) * own + 20 * shorter) / (len(steps) + 20)
+            assert least[lang, size] == pytest.approx(shorter)
+    both = docs.withColumn("row", F.lit("x")).withColumn("score", F.lit("y"))
+    kept = langid.screened(both, profiles)
+    assert kept.schema == both.schema
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, langid.accepted(both, profiles, least).collect()))
+
+
 def test_exact_dedup_batches(spark, odd, none):
     index = exact_dedup.fresh_index(spark)
     rows = exact_dedup.decide(odd, index).collect()

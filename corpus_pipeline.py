@@ -17,8 +17,7 @@ from conformkit.llm.common import table, written
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language of the corpus; texts without a letter go, and those
     that score far less than the labelled ones of their language and length."""
-    profiles = langid.train(docs)
-    return langid.accepted(docs, profiles, langid.calibrate(docs, profiles))
+    return langid.screened(docs, langid.train(docs))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,234 @@
+"""The corpus pipeline's ``run()`` row by row against a plain Python version of its
+five stages, and the quality scores against plain pooling and a plain network."""
+
+from __future__ import annotations
+
+import math
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from conformkit.llm import mixing, near_dedup, quality
+from conformkit.llm.common import table
+from tests.llm.test_other_operators import check_packed
+from tests.llm.test_text_operators import components_of, plain_similarities, plain_targets, rank_order
+
+SF = "/root/testdata/sf0.001"
+# The columns of documents, and two whose names the stages use themselves.
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, digest string, n long"
+
+
+def fixture_rows(spark) -> list[tuple]:
+    rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in table(spark, SF, "documents").orderBy("doc_id").limit(110).collect()]
+    texts = [r[1] for r in rows if r[1] and 150 < len(r[1].split()) < 400]
+    swap = lambda t, at, w: " ".join(w if i == at else x for i, x in enumerate(t.split(" ")))
+    extra = [(1000, None, "en", "a"), (1001, "", None, "a"), (1002, " \n ", "en", None), (1003, "123 !!", None, "b"),
+             (None, texts[0] + " and one more sentence of words at its end", "en", "a"),
+             (1004, texts[1], "en", "b"), (1005, texts[1].replace(" ", "  ", 3), "en", "c"), (1005, texts[1].replace(" ", "  ", 3), "en", "c"),
+             *[(1100 + i, swap(texts[2], 20 + i, f"changed{i}"), "en", "ab"[i % 2]) for i in range(8)],
+             (1200, "Всё это написано на другом языке, которого здесь никто не учил.", None, "a"),
+             (1201, "zq xj kvv wqz jjx qqk zxw vkq xzj wkk qzv jxk " * 12, None, "b"),
+             (1300, texts[3], None, None), (1300, " ".join(reversed(texts[4].split())), None, None)]
+    return [(*r, "x", i) for i, r in enumerate([*rows, *[(*e, len(e[1] or "")) for e in extra]])]
+
+
+def letters(text: str) -> list[str]:
+    return "".join(c if c.isalpha() else " " for c in text.lower()).split()
+
+
+def plain_language(rows, keys):
+    """Rows whose rank-order score reaches the bar of their language and size."""
+    labelled = defaultdict(list)
+    for r in rows:
+        if r[1] is not None and r[2] is not None:
+            labelled[r[2]].append(r[1])
+    ranks = {lang: {g: i for i, g in enumerate(rank_order(" ".join(t), 300))} for lang, t in sorted(labelled.items())}
+    ranks = {lang: p for lang, p in ranks.items() if p}
+
+    def judge(text):
+        mine = rank_order(text or "", 10 ** 9)
+        if not mine:
+            return None
+        size, mine = len(mine).bit_length() - 1, mine[:300]
+        d = {lang: sum(abs(p[g] - i) if g in p else 300 for i, g in enumerate(mine)) for lang, p in ranks.items()}
+        best = min(d, key=lambda lang: (d[lang], lang))
+        return best, size, 1 - d[best] / (300 * len(mine))
+
+    samples = defaultdict(set)
+    for r in rows:
+        if r[1] is None or r[2] is None or not letters(r[1]):
+            continue
+        words, parts = letters(r[1]), [r[1]]
+        if len(words) > 1:
+            parts.append(" ".join(words[:1 << (keys[r[1]] & 0xFFFF) % (len(words) - 1).bit_length()]))
+        for k, part in enumerate(parts):
+            lang, size, x = judge(part)
+            samples[lang, size].add((int(x * 1000), part if k else ("whole", part)))
+    bar = {}
+    for lang in ranks:
+        shorter = 0.0
+        for size in range(40):
+            steps = [s / 1000 for s, _ in samples[lang, size]]
+            if steps:
+                low, middle = np.quantile(steps, [0.25, 0.5])
+                own = middle - 8 * max(middle - low, 0.02)
+                shorter = (len(steps) * own + 20 * shorter) / (len(steps) + 20)
+            bar[lang, size] = shorter
+
+    def reaches(text, least=0):
+        got = judge(text)
+        return got is not None and got[2] > 0 and got[2] >= bar[got[:2]] and got[1] >= least
+    return [r for r in rows if judge(r[1]) and judge(r[1])[2] > 0
+            and (reaches(r[1]) or reaches(r[1][:len(r[1]) // 2], 6) or reaches(r[1][len(r[1]) // 2:], 6))]
+
+
+def first_id(doc):
+    return doc is not None, doc or 0  # as Spark sorts: nulls first
+
+
+def plain_exact(rows):
+    groups = defaultdict(list)
+    for r in rows:
+        groups[re.sub(r"[\x20\x09-\x0D]", "", r[1] or "")].append(r)
+    return [min(g, key=lambda r: (-len(r[1] or ""), first_id(r[0]))) for g in groups.values()]
+
+
+def plain_near(spark, rows):
+    """Least doc_id of each class; a class without ids has one row without."""
+    texts = {i: r[1] for i, r in enumerate(rows)}
+    df = spark.createDataFrame([(i, r[1]) for i, r in enumerate(rows)], "doc_id long, text string")
+    similarity = plain_similarities(texts, [r.doc_id for r in near_dedup.firsts(df, 5).collect()])
+    assert not [s for s in similarity.values() if abs(s - 0.8) < 0.003]  # no pair at the threshold
+    same = lambda t: tuple(re.findall(r"[^\x20\x09-\x0D]+", t.lower()))
+    links = [p for p, s in similarity.items() if s >= 0.8]
+    links += [(i, j) for i in texts for j in texts if i < j and same(texts[i]) == same(texts[j])]
+    out = []
+    for c in components_of(texts, links):
+        named = [rows[i] for i in c if rows[i][0] is not None]
+        out.append(min(named, key=lambda r: r[0]) if named else rows[min(c)])
+    return out
+
+
+def plain_mix(rows, keys):
+    """Each document as often as the mix takes it."""
+    size = {i: len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or "")) for i, r in enumerate(rows)}
+    per = Counter()
+    for i, r in enumerate(rows):
+        per[r[3]] += size[i]
+    target, out = plain_targets(dict(per)), []
+    for source, total in per.items():
+        passes, rest = divmod(min(round(target[source]), 3 * total), total) if total else (0, 0)
+        at = 0
+        for i in sorted((i for i, r in enumerate(rows) if r[3] == source), key=lambda i: keys[rows[i][0], rows[i][1]]):
+            at += size[i]
+            out += [rows[i]] * ((passes + (rest > 0 and at - size[i] / 2 <= rest)) if size[i] else 0)
+    return out
+
+
+def test_run_matches_plain_stages(spark, tmp_path):
+    rows = fixture_rows(spark)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    hashes = docs.select("doc_id", "text", F.xxhash64("text").alias("h"),
+                         mixing.order_key(F.col("doc_id"), F.col("text"), 7).alias("k")).collect()
+    language = plain_language(rows, {r.text: r.h for r in hashes})
+    exact = plain_exact(language)
+    near = plain_near(spark, exact)
+    mixed = plain_mix(near, {(r.doc_id, r.text): r.k for r in hashes})
+    # The plants: unlearned languages and texts without words go, copies go, clean ones stay.
+    ids = lambda stage: Counter(r[0] for r in stage)
+    assert not {1000, 1001, 1002, 1003, 1200, 1201} & set(ids(language)) and len(language) == len(rows) - 6
+    assert len(exact) <= len(language) - 3 and sum(1100 <= (i or 0) < 1108 for i in ids(near)) <= 1
+    assert ids(near)[1300] >= 1
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    check_packed(got, [(r[0], r[1]) for r in mixed])
+
+
+def test_stages_keep_columns_and_run_handles_nothing(spark, tmp_path):
+    docs = spark.createDataFrame(fixture_rows(spark)[:20], SCHEMA)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+    docs.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+# ------------------------------------------------------------------ quality
+
+MULT = 0x9E3779B97F4A7C15
+
+
+def plain_tokens(text: str | None) -> list[int]:
+    """Rows of the word table: runs of letters, digits or other visible bytes, hashed."""
+    out = []
+    for m in re.finditer(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^A-Za-z\x80-\xff0-9\x20\x09-\x0d]+", (text or "").encode()):
+        h = sum((b + 1) * pow(MULT, i, 1 << 64) for i, b in enumerate(m[0])) % (1 << 64)
+        for _ in range(2):
+            h = (h ^ h >> 32) * 0xD6E8FEB86659FD93 % (1 << 64)
+        out.append((h ^ h >> 32) >> 50)
+    return out
+
+
+QUALITY = ["a b c a", "b 12 !? c\nd", None, "", "solo", "é ü ß 7x7 -- \x01", "word " * 300, *[
+    f"good text number {i} reads well" if i % 2 else f"BAD ## {i} !! $$ buy" for i in range(80)]]
+
+
+def test_quality_scores_match_plain_pooling_and_network(spark):
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(QUALITY)], "doc_id long, text string, score string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(7, len(QUALITY))], "doc_id long, quality int")
+    vectors = quality.word_vectors(docs)
+    at, sign = quality.index_vectors()
+    context = defaultdict(lambda: np.zeros(quality.DIM))
+    for t in QUALITY:
+        words = plain_tokens(t)
+        for i, w in enumerate(words):
+            for j in range(max(0, i - 2), min(len(words), i + 3)):
+                if j != i:
+                    for p, s in zip(at[words[j]], sign[words[j]]):
+                        context[w][p] += s
+    unit = {w: v / np.linalg.norm(v) if v.any() else v for w, v in context.items()}
+    for w, v in unit.items():
+        assert np.allclose(vectors[w], v, atol=1e-6)
+    assert np.count_nonzero(vectors.any(1)) == sum(v.any() for v in unit.values())
+    net = quality.fit(docs, labels, vectors)
+    assert net.fitted
+    got = {r.doc_id: r.score for r in quality.scored(docs, vectors, net).collect()}
+    a, b, c, d = net.p
+    for i, t in enumerate(QUALITY):
+        words = plain_tokens(t)
+        x = [sum(unit[w][k] if w in unit else 0 for w in words) / len(words) if words else 0.0 for k in range(quality.DIM)]
+        z = [(v - m) / s for v, m, s in zip(x, net.mean, net.sd)]
+        h = [math.tanh(sum(z[k] * a[k][n] for k in range(quality.DIM)) + b[n]) for n in range(quality.HIDDEN)]
+        logit = sum(v * w for v, w in zip(h, c)) + d[0]
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-logit / net.temperature)), abs=1e-6)
+    assert all((got[i] >= 0.5) == bool(i % 2) for i in range(7, len(QUALITY)))
+
+
+def test_network_gradient_and_temperature():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(200, quality.DIM))
+    y = (x[:, 0] + 0.3 * rng.normal(size=200) > 0).astype(float)
+    net = quality.Network(x, y)
+    z, t = net._scaled(x[:40]), y[:40]
+
+    def loss():
+        s = net._logit(z)
+        return np.logaddexp(0, np.where(t == 1, -s, s)).mean() + 0.5e-4 * ((net.p[0] ** 2).sum() + (net.p[2] ** 2).sum())
+    for i, grad in enumerate(net._gradient(z, t)):
+        flat = net.p[i].reshape(-1)
+        for k in rng.choice(len(flat), min(5, len(flat)), False):
+            keep, e = flat[k], 1e-6
+            flat[k] = keep + e
+            up = loss()
+            flat[k] = keep - e
+            down = loss()
+            flat[k] = keep
+            assert (up - down) / (2 * e) == pytest.approx(grad.reshape(-1)[k], abs=1e-6)
+    held = np.arange(200) % 5 == 0
+    s = net._logit(net._scaled(x[held]))
+    cost = lambda c: np.logaddexp(0, np.where(y[held] == 1, -s, s) / c).mean()
+    assert all(cost(net.temperature) <= cost(c) + 1e-12 for c in np.geomspace(0.25, 8, 61))

@@ -15,7 +15,9 @@ so only tokens bind; lower the others to limit them.  A group loses less than on
 sequence to its border, 1 in some thousands.
 
 A null text is an empty one (a piece with id 0 alone).  Repeated rows are packed
-each on its own.  An empty table gives an empty result.  Other columns are not read.
+each on its own, and dealt by their number in the task that read them too, so many
+copies of one row spread over groups.  A very long text is a list of pieces.  An empty
+table gives an empty result.  Other columns are not read.
 
 Tokens: a text of plain characters (ASCII, Latin-1, Latin Extended-A) is split
 into words by the tokenizer's own pattern and each distinct word is encoded once
@@ -131,11 +133,12 @@ class WordEncoder:
 
 
 def pieces(docs: DataFrame, tokenizer: str, tokens: int = TOKENS) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every piece."""
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
+    """doc_id, piece, start, length, ids_crc32 of every piece, row (the number of its
+    document in the task)."""
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, row long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder, row = WordEncoder(tokenizer), 0
         for b in batches:
             for at in range(0, b.num_rows, 256):  # a few texts' words at a time
                 part = b.slice(at, 256)
@@ -145,10 +148,11 @@ def pieces(docs: DataFrame, tokenizer: str, tokens: int = TOKENS) -> DataFrame:
                     ids = np.append(ids, np.uint32(0)).astype("<u4")
                     for k, s in enumerate(range(0, len(ids), tokens)):
                         cut = ids[s:s + tokens]
-                        out.append((doc, k, s, len(cut), zlib.crc32(cut.tobytes())))
+                        out.append((doc, k, s, len(cut), zlib.crc32(cut.tobytes()), row))
+                    row += 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), *[pa.int64()] * 3))],
-                    ["doc_id", "piece", "start", "length", "ids_crc32"])
+                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), *[pa.int64()] * 4))],
+                    ["doc_id", "piece", "start", "length", "ids_crc32", "row"])
 
     return docs.select("doc_id", "text").mapInArrow(freed(run), schema)
 
@@ -203,16 +207,16 @@ def pack(rows: DataFrame, capacity=(TOKENS, TOKENS, TOKENS ** 2), weights=(1.0,
     rows = written(rows, "pieces")
     groups = max(1, -(-rows.count() // group))
     keys = ["doc_id", "piece", "ids_crc32"]
-    dealt = rows.withColumn("g", F.pmod(F.xxhash64(*keys), F.lit(groups)))
+    dealt = rows.withColumn("g", F.pmod(F.xxhash64(*keys, "row"), F.lit(groups)))
 
     def run(t: pa.Table) -> pa.Table:
         t = t.sort_by([("length", "descending"), *[(k, "ascending") for k in keys]])
         sequence, offset = best_fit(t["length"].to_numpy(), capacity, weights, measure)
         base = t["g"][0].as_py() << 32
         t = t.append_column("sequence_id", pa.array(sequence + base)).append_column("offset", pa.array(offset))
-        return t.drop_columns(["g"])
+        return t.drop_columns(["g", "row"])
 
-    schema = rows.schema.add("sequence_id", "long").add("offset", "long")
+    schema = rows.drop("row").schema.add("sequence_id", "long").add("offset", "long")
     return dealt.groupBy("g").applyInArrow(run, schema)
 
 

@@ -336,6 +336,13 @@ def test_packing_odd_rows(spark):
     assert packing.pack(packing.pieces(df.limit(0), packing.tokenizer_path())).count() == 0
 
 
+def test_copies_of_one_row_spread_over_groups(spark):
+    df = spark.createDataFrame([(7, "a few words")], "doc_id long, text string").withColumn(
+        "text", F.explode(F.array_repeat("text", 500)))
+    rows = packing.pack(packing.pieces(df, packing.tokenizer_path()), group=50).collect()
+    assert len({r.sequence_id >> 32 for r in rows}) > 5
+
+
 @pytest.mark.parametrize("measure", ["norm", "dot"])
 def test_best_fit_keeps_every_capacity(measure):
     length = np.sort(np.random.default_rng(2).integers(1, 60, 500))[::-1]

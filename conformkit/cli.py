@@ -44,6 +44,9 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("config")
     p.add_argument("--run-date", default=None)
     p.add_argument("--register", action="append", default=[])
+    p.add_argument("--ledger", default=None, help="folder of markers; finished jobs are skipped")
+    p.add_argument("--force", action="store_true", help="run finished jobs again")
+    sub.add_parser("clean", help="delete the scratch folders and tables of all runs")
     return ap
 
 
@@ -62,12 +65,16 @@ def main(argv: Sequence[str] | None = None, spark=None) -> int:
         if not a.key or not a.measure:
             raise SpecError("rollup needs --key and --measure")
         run_rollup(spark, a.config, a.key, a.measure).show(a.show, truncate=False)
-    else:
+    elif a.command == "services":
         from conformkit.plans.jobs import run_services
         for module in a.register:
             importlib.import_module(module)
-        for r in run_services(spark, a.config, a.run_date):
-            print(f"{r.load_type:11s} {r.target} {r.run_date}")
+        for r in run_services(spark, a.config, a.run_date, a.ledger, a.force):
+            print(f"{r.load_type:11s} {r.target} {r.run_date}{' (done before)' if r.skipped else ''}")
+    else:
+        from conformkit.session import clean_scratch
+        for path in clean_scratch(spark):
+            print(f"deleted {path}")
     return 0
 
 

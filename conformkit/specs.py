@@ -75,7 +75,7 @@ def parse_type(name: str | T.DataType) -> T.DataType:
     if SparkContext._active_spark_context is None:
         raise SpecError(f"type {name!r} needs an active Spark session to parse")
     try:
-        return T._parse_datatype_string(key)
+        return T._parse_datatype_string(str(name).strip())  # field names keep their case
     except Exception:  # noqa: BLE001 - documented fallback
         return T.StringType()
 

@@ -45,7 +45,20 @@ def test_services_from_the_command_line(spark, write_text_file, tmp_path, capsys
         cfg = write_text_file("s.json", json.dumps({"services": ["cli.copy_region"]}))
         assert main(["services", cfg, "--run-date", "2024-01-15", "--register", "my_services_mod"],
                     spark=spark) == 0
+        assert "full" in capsys.readouterr().out
+        ledger = ["services", cfg, "--run-date", "2024-01-15", "--ledger", str(tmp_path / "ledger")]
+        for more, done in (([], False), ([], True), (["--force"], False)):
+            assert main([*ledger, *more], spark=spark) == 0
+            assert ("done before" in capsys.readouterr().out) == done
     finally:
         sys.path.remove(str(tmp_path))
-    assert "full" in capsys.readouterr().out
     assert spark.read.parquet(str(tmp_path / "copy")).count() == 5
+
+
+def test_clean_from_the_command_line(spark, tmp_path, capsys, monkeypatch):
+    from conformkit import session
+
+    monkeypatch.setattr(session, "checkpoint_root", lambda s: str(tmp_path))
+    spark.range(1).write.parquet(session.scratch_path(spark, "left"))
+    assert main(["clean"], spark=spark) == 0
+    assert "deleted" in capsys.readouterr().out and not (tmp_path / "conformkit").exists()

@@ -17,7 +17,7 @@ score is 1 minus the distance as a share of the largest possible one.  A text
 that is null or has no letter, or any text if nothing was learned, is ``und`` with
 score 0.  Repeated rows are judged alike; very long texts are counted whole, in parts
 cut between words.  An empty table gives an empty result.  Other columns are never
-read; ``accepted`` and ``screened`` pass them through.
+read; ``accepted`` passes them through.
 
 ``calibrate`` gives the least score a text must have, per language and number of
 distinct n-grams (by powers of two).  Samples are all labelled texts and of each one
@@ -32,8 +32,6 @@ with weight n and the least score of the next shorter texts (at first 0) with we
 PRIOR: one rule at every size, in which short texts, whose scores vary, set a low bar
 and sizes with few samples lean on shorter ones.  A text under its bar stays if one of its halves,
 of HALF n-grams at least, is not: texts in two learned languages are like neither.
-``screened`` scores every text once: it writes the rows with their scores, sets the bar
-from them and returns those that reach it.
 """
 
 from __future__ import annotations
@@ -47,9 +45,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import columns, freed, table, text_buffers, written
+from .common import freed, table, text_buffers
 
 PROFILE = 300  # n-grams of a profile, and of a document
 SLICE = 1 << 21  # bytes of text worked on at once; only a memory bound
@@ -251,53 +248,40 @@ def head(seq: np.ndarray, pick: int) -> np.ndarray | None:
     return seq[:ends[n - 1] + 1]
 
 
-JUDGED = "lang int, score double, size int, samples array<struct<lang: int, size: int, step: int, key: long>>"
-
-
-def judged(docs: DataFrame, scorer: Scorer) -> DataFrame:
-    """row (all columns of docs), lang (its number, -1: none), score, size, and the
-    samples of a labelled text: itself and its head."""
-    at, labelled = docs.columns.index("text"), "lang" in docs.columns
-    label = F.col("lang").isNotNull() if labelled else F.lit(False)
-    rows = docs.select(F.struct(*columns(docs)).alias("row"), F.xxhash64("text").alias("key"), label.alias("labelled"))
-
+def samples(docs: DataFrame, scorer: Scorer) -> DataFrame:
+    """lang (its number), size, step, key of the samples of labelled texts: each text
+    and its head."""
     def run(batches):
         letters = letter_table()
         for b in batches:
-            col = b.column("row").field(at)
+            col, key = b.column("text"), b.column("key").to_numpy()
             which, score, size = scorer.judge(col, letters)
-            key, ask = b.column("key").to_numpy(), b.column("labelled").to_numpy(zero_copy_only=False)
-            out: list[list] = [[] for _ in range(b.num_rows)]
-            done = -1
-            for row, seq in sequences(col, letters) if scorer.langs and ask.any() else ():
-                if row == done or not ask[row]:
+            out, done = [], -1
+            for row, seq in sequences(col, letters) if scorer.langs else ():
+                if row == done:
                     continue
                 done = row
-                out[row].append((int(which[row]), int(size[row]), int(score[row] * STEPS), int(key[row])))
+                out.append((int(which[row]), int(size[row]), int(score[row] * STEPS), int(key[row])))
                 part = head(seq, int(key[row]) & 0xFFFF)
                 if part is not None:
                     code, count = np.unique(ngrams(part), return_counts=True)
                     lang, x = scorer.best(code, count)
                     name = np.frombuffer(hashlib.blake2b(part.tobytes(), digest_size=8).digest(), np.int64)[0]
-                    out[row].append((lang, size_class(len(code)), int(x * STEPS), int(name)))
-            flat = [s for o in out for s in o]
-            upto = np.cumsum([0, *map(len, out)]).astype(np.int32)
-            fields = [pa.array([s[i] for s in flat], kind) for i, kind in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.int64()))]
-            samples = pa.ListArray.from_arrays(pa.array(upto), pa.StructArray.from_arrays(fields, ["lang", "size", "step", "key"]))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("row"), pa.array(which.astype(np.int32)), pa.array(score), pa.array(size.astype(np.int32)), samples],
-                ["row", "lang", "score", "size", "samples"])
-
-    schema = T.StructType([T.StructField("row", docs.schema), *T._parse_datatype_string(JUDGED).fields])
-    return rows.mapInArrow(freed(run), schema)
-
-
-def bars(rows: DataFrame, scorer: Scorer) -> np.ndarray:
-    """The least score per (language number, size class) from rows of ``judged``.
-    Only numbers per language, size class and score step are collected."""
-    samples = rows.select(F.explode("samples").alias("s")).select("s.*").distinct()
+                    out.append((lang, size_class(len(code)), int(x * STEPS), int(name)))
+            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([s[i] for s in out], kind) for i, kind in enumerate(kinds)],
+                                             ["lang", "size", "step", "key"])
+
+    rows = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", F.xxhash64("text").alias("key"))
+    return rows.mapInArrow(freed(run), "lang int, size int, step int, key long").distinct()
+
+
+def calibrate(docs: DataFrame, profiles: dict[str, np.ndarray]) -> np.ndarray:
+    """The least score per (language number, size class), from the text and lang of
+    docs.  Only numbers per language, size class and score step are collected."""
+    scorer = Scorer(profiles)
     quartiles = F.percentile("step", F.array(F.lit(0.25), F.lit(0.5)), F.col("n"))
-    found = (samples.groupBy("lang", "size", "step").agg(F.count("*").alias("n"))
+    found = (samples(docs, scorer).groupBy("lang", "size", "step").agg(F.count("*").alias("n"))
              .groupBy("lang", "size").agg(quartiles.alias("q"), F.sum("n").alias("n")).collect())
     own, n = np.zeros((2, max(1, len(scorer.langs)), SIZES))
     for r in found:
@@ -310,50 +294,31 @@ def bars(rows: DataFrame, scorer: Scorer) -> np.ndarray:
     return least
 
 
-def calibrate(docs: DataFrame, profiles: dict[str, np.ndarray]) -> np.ndarray:
-    """The least score per (language number, size class), from the text and lang of
-    docs."""
+def accepted(docs: DataFrame, profiles: dict[str, np.ndarray], least: np.ndarray | None = None) -> DataFrame:
+    """The rows of docs, all columns, that have a language with a score above 0
+    and, themselves or one half, not under that of ``calibrate`` for their language
+    and size."""
     scorer = Scorer(profiles)
-    return bars(judged(docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang"), scorer), scorer)
-
-
-def passed(rows: DataFrame, docs: DataFrame, scorer: Scorer, least: np.ndarray) -> DataFrame:
-    """The rows of ``judged`` that reach their bar, themselves or by a half."""
+    least = np.zeros((max(1, len(scorer.langs)), SIZES)) if least is None else least
     at = docs.columns.index("text")
 
-    def reach(which, score, size):
+    def judged(col, letters):
+        which, score, size = scorer.judge(col, letters)
         some = (which >= 0) & (score > 0)
-        return some, some & (score >= least[which, size])
+        return some, some & (score >= least[which, size]), size
 
     def run(batches):
         letters = letter_table()
         for b in batches:
-            some, keep = reach(*(b.column(c).to_numpy() for c in ("lang", "score", "size")))
+            some, keep, _ = judged(b.column(at), letters)
             low = np.flatnonzero(some & ~keep)
-            texts = b.column("row").field(at).take(pa.array(low)).to_pylist()
+            texts = b.column(at).take(pa.array(low)).to_pylist()
             for half in ([t[:len(t) // 2] for t in texts], [t[len(t) // 2:] for t in texts]):
-                which, score, size = scorer.judge(pa.array(half, pa.string()), letters)
-                keep[low] |= reach(which, score, size)[1] & (size >= size_class(HALF))
-            rows = b.column("row").filter(pa.array(keep))
-            yield pa.RecordBatch.from_arrays([rows.field(i) for i in range(rows.type.num_fields)], schema=pa.schema(list(rows.type)))
-
-    return rows.select("row", "lang", "score", "size").mapInArrow(freed(run), docs.schema)
-
-
-def accepted(docs: DataFrame, profiles: dict[str, np.ndarray], least: np.ndarray | None = None) -> DataFrame:
-    """The rows of docs, all columns, that have a language with a score above 0
-    and, themselves or one half, not under that of ``calibrate`` for their language
-    and size."""
-    scorer = Scorer(profiles)
-    least = np.zeros((max(1, len(scorer.langs)), SIZES)) if least is None else least
-    return passed(judged(docs, scorer), docs, scorer, least)
-
+                _, good, size = judged(pa.array(half, pa.string()), letters)
+                keep[low] |= good & (size >= size_class(HALF))
+            yield b.filter(pa.array(keep))
 
-def screened(docs: DataFrame, profiles: dict[str, np.ndarray]) -> DataFrame:
-    """``accepted`` with the bars of the same docs, every text scored once."""
-    scorer = Scorer(profiles)
-    rows = written(judged(docs, scorer), "judged")
-    return passed(rows, docs, scorer, bars(rows, scorer))
+    return docs.mapInArrow(freed(run), docs.schema)
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:

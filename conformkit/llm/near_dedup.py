@@ -7,11 +7,13 @@ A document's elements are its shingles of SHINGLE words (lower case, split at
 
 Document frequencies count groups of copies once, else the shingles that thousands of
 copies share would be taken for common ones and weigh less than the few that tell the
-copies apart.  N and df are over the documents that are the first (by digest) of all
-that share any of their MINS plain min-hashes: a copy shares one with its group but
-for the power MINS of its difference.  Frequencies come from a count sketch of 2^20
-cells; its resolution is relative to N, so it serves any corpus alike: a shingle in
-fewer than N / RESOLUTION documents has the full idf.
+copies apart.  A document's group goes by the first (by digest) of all documents that
+share any of its MINS plain min-hashes: a copy shares one with its group but for the
+power MINS of its difference.  N is the number of groups, and every document counts
+for its share of its group: df sums, over all groups, the part of their documents that
+hold the shingle.  Frequencies come from a count sketch of 2^20 cells; its resolution
+is relative to N, so it serves any corpus alike: a shingle with df under
+N / RESOLUTION has the full idf.
 
 HASHES samples (Ioffe's consistent weighted sampling; weights on a logarithmic
 grid) form a signature, cut into bands of ROWS.  Texts that share a band are
@@ -52,7 +54,8 @@ HASHES, ROWS = 64, 4  # a link of 0.8 shares no band with probability 0.0002
 SKETCH_BITS, RESOLUTION, MINS = 20, 1024, 4
 NEAR = 2
 LIKELY = 0.45  # agreeing share of a signature: 29 of 64 samples
-SALTS = 16  # parts of a band in joins
+SALTS = 16  # parts of a key in joins
+UNIT = 1 << 30  # a group's count, so that shares sum as integers
 SLOT_BITS, GRID, SEED = 14, 0.05, 3
 SLICE = 1 << 20
 STRAYS, MEMBERS = 256, 1024  # block sizes of the comparison inside large bands
@@ -88,9 +91,9 @@ def shingle_words(col, shingle: int, powers: Powers):
         row = end
 
 
-def firsts(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, node of the documents that are the first of all that share any of
-    their min-hashes."""
+def marks(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, digest (of its text), node (of its word sequence), min-hashes of every
+    row that has a word."""
     odd = [np.uint32(2 * 0x1E3779B1 * (i + 1) + 1 & 0xFFFFFFFF) for i in range(MINS)]
 
     def run(batches):
@@ -105,44 +108,85 @@ def firsts(docs: DataFrame, shingle: int) -> DataFrame:
                         node.append(node_name(word))
                         mixed = code ^ (code >> np.uint32(15))
                         mins.append([int(i) << 32 | int((mixed * m).min()) for i, m in enumerate(odd)])
+                row = pa.array(row, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(row, pa.int64())), pa.array(node, pa.binary()), pa.array(mins, pa.list_(pa.int64()))],
-                    ["doc_id", "node", "mins"])
+                    [part.column(0).take(row), part.column(2).take(row), pa.array(node, pa.binary()),
+                     pa.array(mins, pa.list_(pa.int64()))], ["doc_id", "digest", "node", "mins"])
+
+    return docs.select("doc_id", "text", text_digest().alias("digest")).mapInArrow(
+        freed(run), "doc_id long, digest binary, node binary, mins array<long>")
+
+
+def salted(rows: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
+    """``rows`` joined to the one row of ``keys`` with their key, a key's nodes in SALTS
+    parts: no hot key in one task."""
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    keys = keys.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(keys, [key, "salt"], how).drop("salt")
+
 
-    rows = docs.select("doc_id", "text").mapInArrow(freed(run), "doc_id long, node binary, mins array<long>")
-    first = (rows.select("doc_id", "node", F.explode("mins").alias("m")).groupBy("m")
-             .agg(F.min(F.struct("node", "doc_id")).alias("f")))
-    return first.groupBy("f").agg(F.count("*").alias("n")).where(F.col("n") == MINS).select("f.doc_id", "f.node")
+def groups(docs: DataFrame, shingle: int) -> DataFrame:
+    """node, copies (its rows), leader (the first node of all that share any of its
+    min-hashes), and doc_id, digest, repeats of the row that speaks for the node and is
+    there ``repeats`` times."""
+    rows = written(marks(docs, shingle), "marks")
+    nodes = (rows.groupBy("node", "doc_id", "digest").agg(F.count("*").alias("repeats"))
+             .groupBy("node").agg(F.sum("repeats").alias("copies"), F.min(F.struct("doc_id", "digest", "repeats")).alias("d")))
+    mins = rows.select("node", F.explode("mins").alias("m")).distinct()
+    shared = (mins.groupBy("m").agg(F.min("node").alias("first"), F.max("node").alias("last"))
+              .where("first <> last").select("m", "first"))
+    leaders = salted(mins, shared, "m", "inner").groupBy("node").agg(F.min("first").alias("leader"))
+    return (nodes.join(leaders, "node", "left")
+            .select("node", "copies", F.coalesce("leader", "node").alias("leader"), "d.doc_id", "d.digest", "d.repeats"))
+
+
+def firsts(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, node of the documents that are the first of all that share any of
+    their min-hashes."""
+    return groups(docs, shingle).where("node = leader").select("doc_id", "node")
+
+
+def shares(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, digest, share (of UNIT, of the group that the rows of its word sequence
+    are part of) of a row that speaks for all of its word sequence."""
+    of = written(groups(docs, shingle), "groups")
+    sizes = (of.groupBy("leader").agg(F.sum("copies").alias("size"), F.count("*").alias("nodes"))
+             .where("nodes > 1").select("leader", "size"))
+    share = F.col("copies") / F.coalesce("size", "copies") / F.col("repeats")
+    return salted(of, sizes, "leader", "left").select("doc_id", "digest", F.round(share * UNIT).cast("long").alias("share"))
 
 
 def idf_table(docs: DataFrame, shingle: int) -> np.ndarray:
     """The idf of every sketch cell as a byte: 255 is the full idf, 0 that of a
     shingle in all documents."""
-    seen: set[bytes] = set()  # a task counts a text that is repeated in it once
-
     def count(batch: pa.RecordBatch, total: np.ndarray) -> None:
         powers, flat = Powers(), total.reshape(-1)
-        held, size = [], 0
-        names = batch.column(1).to_pylist()
-        for row, word, code, _ in shingle_words(batch.column(0), shingle, powers):
-            name = node_name(word)
-            if name != names[row] or name in seen:
-                continue
-            seen.add(name)
-            flat[0] += 1  # one cell is given to the number of documents
-            held.append(code)
-            size += len(code)
-            if size > SLICE or len(held) > 4096:
-                flat += np.bincount(np.concatenate(held) >> np.uint32(32 - SKETCH_BITS), minlength=len(flat))
-                held, size = [], 0
+        held, held_share, size = [], [], 0
+        share = batch.column(1).to_numpy(zero_copy_only=False)
+
+        def add() -> None:
+            cell, of = np.concatenate(held) >> np.uint32(32 - SKETCH_BITS), np.concatenate(held_share)
+            sums = np.bincount(cell, of, len(flat))  # exact: under 2^53
+            sums[0] = 0  # one cell is given to the number of groups
+            np.add(flat, sums.astype(np.int64), out=flat)
+
+        for row, _, code, _ in shingle_words(batch.column(0), shingle, powers):
+            flat[0] += share[row]
+            for a in range(0, len(code), SLICE):
+                held.append(code[a:a + SLICE])
+                held_share.append(np.full(len(held[-1]), share[row], float))
+                size += len(held[-1])
+                if size > SLICE or len(held) > 4096:
+                    add()
+                    held, held_share, size = [], [], 0
         if held:
-            flat += np.bincount(np.concatenate(held) >> np.uint32(32 - SKETCH_BITS), minlength=len(flat))
+            add()
 
     width = 64
-    first = written(firsts(docs, shingle), "firsts")
-    texts = (docs.select("doc_id", "text").alias("d")
-             .join(first.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id"))).select("text", "node"))
-    cells = summed(texts, count, (1 << SKETCH_BITS) // width, width).reshape(-1).astype(float)
+    same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.digest") == F.col("s.digest"))
+    texts = (docs.select("doc_id", "text", text_digest().alias("digest")).alias("d")
+             .join(shares(docs, shingle).alias("s"), same).select("text", "share"))
+    cells = summed(texts, count, (1 << SKETCH_BITS) // width, width).reshape(-1) / UNIT
     n = max(1.0, cells[0])
     cells[0] = 0
     noise = np.median(cells)  # what rare shingles add to a cell

@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conformkit.llm import exact_dedup, langid, mixing, near_dedup, quality
-from conformkit.llm.common import table
+from conformkit.llm.common import Powers, table
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, node int"
 ODD = [(1, None, None, None, None, "x", 1), (2, "", "en", "a", 0, "x", 1), (3, "  \n\t", "en", "a", 4, "x", 1),
@@ -239,6 +239,51 @@ def test_document_frequencies_count_groups_once(spark):
     assert 106 * often / (106 * often + 20 * 2) < 0.8
 
 
+def passage_pairs(spark, passage: list[str]) -> list[tuple[str, str]]:
+    """Pairs (text, copy that ends with the passage) in which the copy is the first of
+    no group."""
+    rng = np.random.default_rng(5)
+    words = np.array([f"w{i}" for i in range(20000)])
+    pairs = []
+    for _ in range(50):
+        base = rng.choice(words, 900)
+        pairs.append((" ".join(base), " ".join([*base, *passage])))
+    docs = spark.createDataFrame([(2 * i + k, t) for i, p in enumerate(pairs) for k, t in enumerate(p)], "doc_id long, text string")
+    counted = {r.doc_id for r in near_dedup.firsts(docs, 5).collect()}
+    return [p for i, p in enumerate(pairs) if counted & {2 * i, 2 * i + 1} == {2 * i}]
+
+
+def test_document_frequencies_count_every_document(spark):
+    passage = [f"p{i}" for i in range(30)]
+    pairs = passage_pairs(spark, passage)
+    docs = spark.createDataFrame([(2 * i + k, t) for i, p in enumerate(pairs) for k, t in enumerate(p)], "doc_id long, text string")
+    counted = {r.doc_id for r in near_dedup.firsts(docs, 5).collect()}
+    assert len(pairs) >= 10 and counted == {2 * i for i in range(len(pairs))}  # no first holds the passage
+    idf = near_dedup.idf_table(docs, 5)
+
+    def cells(text):
+        return next(near_dedup.shingle_words(pa.array([text]), 5, Powers()))[2] >> np.uint32(32 - near_dedup.SKETCH_BITS)
+    # It stands in one of the two documents of nearly every group (it joins a few of them).
+    assert np.abs(idf[cells(" ".join(passage))] - 255 * math.log(2) / math.log(1024)).max() <= 4
+    assert abs(np.median(idf[cells(pairs[0][0])]) - 255 * math.log(len(pairs)) / math.log(1024)) <= 4
+
+
+def test_shares_add_up_to_one_a_group(spark):
+    a, b, c = "one two three four five six seven", "red green blue white black grey pink", "a b c d e f g h i"
+    rows = [(1, a), (1, a), (2, a + " "), (None, a), (1, b), (None, c), (None, c), (3, None), (4, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = docs.withColumn("digest", near_dedup.text_digest()).alias("d").join(
+        near_dedup.shares(docs, 5).alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.digest") == F.col("s.digest")))
+    share = defaultdict(int)
+    for r in got.select("text", "share").collect():
+        share[r.text.strip()] += r.share / near_dedup.UNIT
+    assert share == pytest.approx({a: 1, b: 1, c: 1})
+    # Most documents of a large group hold what its first ones hold: it counts about once.
+    texts = [" ".join([f"w{i}" for i in range(200)] + [f"own{n}"]) for n in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert near_dedup.shares(docs, 5).agg(F.sum("share")).first()[0] < 3 * near_dedup.UNIT
+
+
 @pytest.mark.parametrize("kept", [0, 3])
 def test_late_links_join_components(spark, monkeypatch, kept):
     # Without most of the first comparisons, the links come from those inside the bands.

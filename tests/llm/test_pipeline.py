@@ -15,7 +15,7 @@ import corpus_pipeline
 from conformkit.llm import mixing, near_dedup, quality
 from conformkit.llm.common import table
 from tests.llm.test_other_operators import check_packed
-from tests.llm.test_text_operators import components_of, plain_similarities, plain_targets, rank_order
+from tests.llm.test_text_operators import components_of, passage_pairs, plain_similarities, plain_targets, rank_order
 
 SF = "/root/testdata/sf0.001"
 # The columns of documents, and two whose names the stages use themselves.
@@ -148,6 +148,20 @@ def test_run_matches_plain_stages(spark, tmp_path):
     check_packed(got, [(r[0], r[1]) for r in mixed])
 
 
+def test_near_stage_counts_every_document(spark):
+    # Two texts share a passage and differ in 3 shingles each: a link if the passage is
+    # rare.  It stands in half of all documents, but in few of the first of their copies.
+    passage = [f"p{i}" for i in range(30)]
+    pairs = passage_pairs(spark, passage)
+    texts = [*(t for p in pairs for t in p), *(" ".join([*own.split(), *passage]) for own in ("x1 x2 x3", "y1 y2 y3"))]
+    docs = spark.createDataFrame([(i, t, None, "a", len(t), "x", i) for i, t in enumerate(texts)], SCHEMA)
+    few = [r.doc_id for r in near_dedup.firsts(docs.select("doc_id", "text"), 5).collect() if "p0 " in texts[r.doc_id]]
+    assert len(few) <= 2
+    kept = {r.doc_id for r in corpus_pipeline.near(spark, docs, SF).collect()}
+    assert {len(texts) - 2, len(texts) - 1} <= kept
+    assert sum(i < len(texts) - 2 for i in kept) == len(pairs)  # the copies go
+
+
 def test_stages_keep_columns_and_run_handles_nothing(spark, tmp_path):
     docs = spark.createDataFrame(fixture_rows(spark)[:20], SCHEMA)
     for _, stage in corpus_pipeline.STAGES[:-1]:

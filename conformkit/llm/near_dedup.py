@@ -483,11 +483,13 @@ def deduplicate(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SH
     """One document of each class, all columns: that of the least doc_id, of several
     texts with this doc_id that of the least digest."""
     rows = classified(docs, threshold, shingle).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    keep = rows.groupBy("root").agg(F.min(F.struct("digest", "doc_id")).alias("k")).select("k.doc_id", "k.digest")
-    whole = docs.select(F.struct(*columns(docs)).alias("row"), F.col("doc_id"), text_digest().alias("digest"))
-    same = F.col("w.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("w.digest") == F.col("k.digest"))
-    return (whole.alias("w").join(keep.alias("k"), same, "left_semi")
-            .dropDuplicates(["doc_id", "digest"]).select("row.*"))
+    keep = rows.groupBy("root").agg(F.min(F.struct("digest", "doc_id")).alias("k"))
+    # Plain equal keys on both sides: texts are shuffled once, for the join and for
+    # dropping repeated rows.
+    key = lambda doc, digest: [F.coalesce(doc, F.lit(0)).alias("id"), doc.isNull().alias("no_id"), digest.alias("digest")]
+    whole = docs.select(F.struct(*columns(docs)).alias("row"), *key(F.col("doc_id"), text_digest()))
+    return (whole.join(keep.select(*key(F.col("k.doc_id"), F.col("k.digest"))), ["id", "no_id", "digest"], "left_semi")
+            .dropDuplicates(["id", "no_id", "digest"]).select("row.*"))
 
 
 def op4_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -312,6 +312,24 @@ def test_near_dedup_keeps_by_document_and_text(spark):
     assert sorted(r.text.strip() for r in near_dedup.deduplicate(same).collect()) == [a, b]
 
 
+def test_near_dedup_shuffles_texts_once(spark, monkeypatch):
+    a, b = "one two three", "red green blue"
+    rows = [(1, a), (1, a), (2, a + " "), (None, b), (None, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_dedup.classified(docs)
+    monkeypatch.setattr(near_dedup, "classified", lambda *_: found)
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        kept = near_dedup.deduplicate(docs)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.text for r in kept.collect()) == [a, b]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    above = plan[:plan.index("LeftSemi")]
+    assert "Exchange" not in above and above.count("first(row") == 2  # repeated rows go where the join left them
+
+
 def test_near_dedup_estimate():
     """Consistent sampling: the share of equal samples is near the similarity."""
     rng = np.random.default_rng(1)

@@ -49,7 +49,9 @@ from pyspark.sql import functions as F
 from .common import freed, table, text_buffers
 
 PROFILE = 300  # n-grams of a profile, and of a document
-SLICE = 1 << 21  # bytes of text worked on at once; only a memory bound
+SLICE = 1 << 21  # code points after which a text is cut for its head
+# Bytes of text, and rows, worked on at once; only memory bounds.
+BLOCK, ROWS = 1 << 18, 256
 UND = "und"
 SIZES = 40  # powers of two of distinct n-grams
 HALF = 64  # distinct n-grams by which half a text is known
@@ -61,18 +63,17 @@ def letter_table() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
-def sequences(col, letters: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+def sequences(col, letters: np.ndarray, cut: int = SLICE) -> Iterator[tuple[int, np.ndarray]]:
     """For every document that has a letter: (row, its code points with each run
-    of other characters as one 0, and a 0 at both ends).  Long texts come in
-    several parts that are cut at such a 0."""
-    data, off = text_buffers(pc.utf8_lower(col))
-    n = len(off) - 1
-    row = 0
+    of other characters as one 0, and a 0 at both ends).  Texts longer than 2 cut come
+    in several parts that are cut at such a 0."""
+    upto = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False), dtype=np.int64)])
+    n, row = len(col), 0
     while row < n:
-        end = max(row + 1, int(np.searchsorted(off, off[row] + SLICE, "right")) - 1)
-        raw = data[off[row]:off[end]]
+        end = max(row + 1, int(np.searchsorted(upto, upto[row] + BLOCK, "right")) - 1)
+        raw, off = text_buffers(pc.utf8_lower(col.slice(row, end - row)))
         chars = np.frombuffer(raw.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-        first = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])[off[row:end + 1] - off[row]]
+        first = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])[off]
         folded = np.where(letters[chars], chars, 0).astype(np.uint64)
         for r in range(row, end):
             doc = folded[first[r - row]:first[r - row + 1]]
@@ -80,12 +81,11 @@ def sequences(col, letters: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
                 continue
             doc = np.concatenate([[np.uint64(0)], doc, [np.uint64(0)]])
             doc = doc[np.concatenate([[True], (doc[1:] != 0) | (doc[:-1] != 0)])]
-            a = 0
+            a, gaps = 0, np.flatnonzero(doc == 0) if len(doc) > 2 * cut else []
             while a < len(doc) - 1:
                 b = len(doc) - 1
-                if b - a > 2 * SLICE:
-                    gaps = np.flatnonzero(doc[a + SLICE:] == 0)
-                    b = a + SLICE + int(gaps[0])
+                if b - a > 2 * cut:
+                    b = int(gaps[np.searchsorted(gaps, a + cut)])
                 yield r, doc[a:b + 1]
                 a = b
         row = end
@@ -108,7 +108,7 @@ def merged(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 def document_counts(col, letters) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(row, n-gram codes ascending, counts) of each document with a letter."""
     row, codes, counts = -1, [], []
-    for r, seq in sequences(col, letters):
+    for r, seq in sequences(col, letters, BLOCK):
         if r != row and codes:
             yield (row, codes[0], counts[0]) if len(codes) == 1 else (row, *merged(codes, counts))
             codes, counts = [], []
@@ -116,6 +116,9 @@ def document_counts(col, letters) -> Iterator[tuple[int, np.ndarray, np.ndarray]
         code, count = np.unique(ngrams(seq), return_counts=True)
         codes.append(code)
         counts.append(count)
+        if len(codes) > 16:
+            code, count = merged(codes, counts)
+            codes, counts = [code], [count]
     if codes:
         yield (row, codes[0], counts[0]) if len(codes) == 1 else (row, *merged(codes, counts))
 
@@ -132,9 +135,10 @@ def top(code: np.ndarray, count: np.ndarray, k: int) -> np.ndarray:
 def counted_per_language(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     letters = letter_table()
     for batch in batches:
-        lang = batch.column("lang")
+        lang, text = batch.column("lang"), batch.column("text")
         for name in pc.unique(lang).to_pylist():
-            col = batch.column("text").filter(pc.equal(lang, name))
+            rows = np.flatnonzero(pc.equal(lang, name).to_numpy(zero_copy_only=False))
+            cols = (text.take(pa.array(rows[at:at + ROWS])) for at in range(0, len(rows), ROWS))
             code, count, parts, size = [], [], [], 0
 
             def settle():
@@ -143,10 +147,10 @@ def counted_per_language(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
                 count.append(n)
                 parts.clear()
 
-            for _, seq in sequences(col, letters):
+            for _, seq in (s for col in cols for s in sequences(col, letters, BLOCK)):
                 parts.append(ngrams(seq))
                 size += len(seq)
-                if size > SLICE:
+                if size > BLOCK:
                     settle()
                     size = 0
                     if len(code) > 16:
@@ -309,7 +313,7 @@ def accepted(docs: DataFrame, profiles: dict[str, np.ndarray], least: np.ndarray
 
     def run(batches):
         letters = letter_table()
-        for b in batches:
+        for b in (batch.slice(i, ROWS) for batch in batches for i in range(0, batch.num_rows, ROWS)):
             some, keep, _ = judged(b.column(at), letters)
             low = np.flatnonzero(some & ~keep)
             texts = b.column(at).take(pa.array(low)).to_pylist()

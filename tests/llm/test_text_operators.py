@@ -6,6 +6,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -117,6 +118,41 @@ def test_language_bars_follow_one_rule(spark):
     assert langid.accepted(both, profiles, least).schema == both.schema
 
 
+def test_language_tasks_work_on_small_blocks():
+    # Two cores' tasks share an executor's memory: what one holds beyond its batch stays
+    # a small part of it, and does not grow with the batch.
+    rng = np.random.default_rng(1)
+    words = ["".join(chr(c) for c in rng.integers(97, 123, n)) for n in rng.integers(2, 9, 2000)]
+    texts = [" ".join(words[i] for i in rng.integers(0, 2000, 500)) for _ in range(3000)]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "lang": ["en", "de", "en"] * 1000})
+    assert batch.nbytes > 8 << 20
+    scorer, letters = langid.Scorer({"x": np.arange(97, 123, dtype=np.uint64)}), langid.letter_table()
+    for task in (lambda: [*langid.counted_per_language(iter([batch]))], lambda: scorer.judge(batch.column("text"), letters)):
+        tracemalloc.start()
+        task()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 40 << 20
+
+
+def test_language_counts_whole_texts_in_blocks():
+    texts = ["der und die " * 150_000, None, "", "x" * 1_200_000, *["the cat and the dog"] * 700, "12 !"]
+    letters, want = langid.letter_table(), {}
+    for row, seq in ((r, s) for r, t in enumerate(texts) for _, s in langid.sequences(pa.array([t], pa.string()), letters)):
+        want[row] = Counter(langid.ngrams(seq).tolist())
+    got = {row: Counter(dict(zip(code.tolist(), count.tolist())))
+           for row, code, count in langid.document_counts(pa.array(texts), letters)}
+    assert got == want and len(want) == 702
+    assert len([*langid.sequences(pa.array(texts[:1]), letters, langid.BLOCK)]) > 4
+    langs = ["de", None, "de", "en", *["en", "de"] * 350, "en"]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "lang": langs})
+    per = defaultdict(Counter)
+    for out in langid.counted_per_language(iter([batch])):
+        for lang, gram, n in zip(*(c.to_pylist() for c in out.columns)):
+            per[lang][gram % (1 << 64)] += n
+    assert per == {lang: sum((c for r, c in want.items() if langs[r] == lang), Counter()) for lang in ("de", "en")}
+
+
 def test_exact_dedup_batches(spark, odd, none):
     index = exact_dedup.fresh_index(spark)
     rows = exact_dedup.decide(odd, index).collect()
